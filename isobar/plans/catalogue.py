@@ -17,7 +17,7 @@ from isobar.schemas import (
 from isobar.session import configure, scratch_path
 from isobar.sinks.upsert import read_stored, upsert
 from isobar.sources import dimensions, payloads, tables
-from isobar.streaming.ingest import ingest, landed_stream
+from isobar.streaming.ingest import ingest
 from isobar.streaming.live import maintain_days
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,20 +325,25 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All payloads landed as files, streamed in several batches into the readings."""
-    landing = scratch_path(spark, "landing")
-    views.landed_payloads(spark, sf_dir).repartition(4).write.json(landing)
-    path = scratch_path(spark, "readings")
+    """All payloads landed as files, streamed in several batches into the readings.
+
+    Payloads carry whole seconds, so two readings may share a key; they land in one
+    file, where the greater text wins.
+    """
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "readings")
+    second = F.get_json_object("raw", "$.dt")
+    views.landed_payloads(spark, sf_dir).repartition(4, "city", second).write.json(landing)
     ingest(spark, landing, path, scratch_path(spark, "offsets"), max_files=2).awaitTermination()
     return views.flat_readings(read_stored(spark, path, OBSERVATIONS))
 
 
 @query
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily tables kept by a stream over the landed payloads."""
+    """Daily tables kept by a stream of readings in several batches; days arrive in pieces."""
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
-    views.landed_payloads(spark, sf_dir).repartition(2).write.json(landing)
-    readings = payloads.parse_payloads(landed_stream(spark, landing))
+    obs = views.observations(spark, sf_dir).select("city", "datetime", "temp", "pressure", "precipitation")
+    obs.repartition(4).write.parquet(landing)
+    readings = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     maintain_days(readings, root, scratch_path(spark, "offsets"), delay="60 days").awaitTermination()
     weather, rain = (read_stored(spark, f"{root}/{spec.name}", spec)
                      for spec in (STATISTICS["day"], PRECIPITATION_TOTALS["day"]))
