@@ -1,8 +1,10 @@
 """Readings joined with the city and country dimensions.
 
-No side is hinted as broadcast. Spark measures each side against
+No dimension is hinted as broadcast. Spark measures it against
 ``spark.sql.autoBroadcastJoinThreshold``, at planning and again at run time, and
-beyond it sort-merges, splitting a hot city's partition.
+beyond it sort-merges. Adaptive execution then splits a hot city's partition, but
+only where both sides come straight from their shuffle, as stored tables do; for a
+large derived dimension ask for the salted form of the join.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ def with_country(cities: DataFrame, countries: DataFrame) -> DataFrame:
     )
 
 
-def enrich(observations: DataFrame, cities: DataFrame) -> DataFrame:
+def enrich(observations: DataFrame, cities: DataFrame, salted: bool = False) -> DataFrame:
     """Readings with the attributes of their city; readings of unlisted cities vanish."""
+    if salted:
+        return salted_join(observations, cities, "city", "inner", spread=["datetime"])
     return observations.join(cities, "city")
 
 
@@ -36,9 +40,40 @@ def missing_cities(cities: DataFrame, observations: DataFrame) -> DataFrame:
     return cities.join(_seen(observations), "city", "left_anti")
 
 
-def locate(requests: DataFrame, dimension: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """Look every request's city up: its first match in the declared order, or nulls."""
-    return requests.join(first_row(dimension, ["city"], order), "city", "left")
+def locate(requests: DataFrame, dimension: DataFrame, order: Sequence[Column | str],
+           salted: bool = False) -> DataFrame:
+    """Look every request's city up: its first match in the declared order, or nulls.
+
+    The salted form spreads by the requests' other columns, so they need some that
+    tell a city's requests apart.
+    """
+    first = first_row(dimension, ["city"], order)
+    if salted:
+        return salted_join(requests, first, "city", "left", spread=[c for c in requests.columns if c != "city"])
+    return requests.join(first, "city", "left")
+
+
+def salted_join(facts: DataFrame, dimension: DataFrame, key: str, how: str, spread: Sequence[str],
+                share: float = 0.001, pieces: int = 1024) -> DataFrame:
+    """Inner or left join in which keys above ``share`` of the facts meet in many tasks.
+
+    At most ``1 / share`` keys can be that frequent, which bounds what is broadcast
+    to mark them. Their facts are spread over ``pieces`` by a hash of the ``spread``
+    columns and their dimension rows repeated for each piece; all other rows, and
+    the result, are those of the plain join.
+    """
+    hot = F.broadcast(
+        facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > F.lit(share) * facts.agg(F.count(F.lit(1))).scalar())
+        .select(key, F.lit(True).alias("_hot"))
+    )
+    piece = F.pmod(F.xxhash64(*spread), F.lit(pieces)).cast("int")
+    marked = facts.join(hot, key, "left").withColumn(
+        "_piece", F.when(F.col("_hot") | F.col(key).isNull(), piece).otherwise(0)).drop("_hot")
+    repeated = dimension.join(hot, key, "left").withColumn(
+        "_piece", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1)))
+                            .otherwise(F.array(F.lit(0))))).drop("_hot")
+    return marked.join(repeated, [key, "_piece"], how).drop("_piece")
 
 
 def coverage(cities: DataFrame, observations: DataFrame, run: Column) -> DataFrame:

@@ -23,12 +23,13 @@ def day_summary(df: DataFrame, cities: DataFrame | Sequence[str] | None = None,
                 start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Both daily results by tumbling one-day window, in one scan and one shuffle.
 
-    Here ``temp_min`` and ``temp_max`` are the extremes of ``temp`` itself.
+    Here ``temp_min`` and ``temp_max`` are the extremes of ``temp`` itself. The
+    choice of cities is stated on the result: Catalyst moves a list or a frame small
+    enough to broadcast down to the scan, and a larger frame meets one row per city
+    and day instead of a hot city's readings.
     """
     rows = in_period(df, start, end).filter(F.col("datetime").isNotNull())
-    if cities is not None:
-        rows = of_cities(rows, cities)
-    return (
+    summary = (
         rows.groupBy("city", F.window("datetime", "1 day"))
         .agg(
             F.avg("pressure").alias("avg_pressure"),
@@ -39,6 +40,7 @@ def day_summary(df: DataFrame, cities: DataFrame | Sequence[str] | None = None,
         )
         .select("city", F.col("window.start").alias("datetime"), *STATISTICS_COLUMNS[2:], "sum_precipitation")
     )
+    return summary if cities is None else of_cities(summary, cities)
 
 
 def daily_weather(df: DataFrame, cities: DataFrame | Sequence[str] | None = None,

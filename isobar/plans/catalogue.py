@@ -235,6 +235,12 @@ def observation_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.enrich(obs, views.cities(spark, sf_dir))
 
 
+@query
+def observation_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = views.observations(spark, sf_dir).select("city", "datetime", "temp")
+    return places.enrich(obs, views.cities(spark, sf_dir), salted=True)
+
+
 @query
 def missing_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.missing_cities(views.listed_cities(spark, sf_dir), views.observations(spark, sf_dir))

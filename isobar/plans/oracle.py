@@ -100,6 +100,9 @@ SELECT city, date_trunc('second', datetime)::TIMESTAMP AS datetime,
        (date_trunc('day', datetime) + INTERVAL 18 HOUR)::TIMESTAMP AS sunset
 FROM obs""")
 
+ENRICHED = _with(OBS, CITIES, query="""
+SELECT obs.city, datetime, temp, lat, lng, country_id FROM obs JOIN cities ON obs.city = cities.city""")
+
 ORACLE: dict[str, str] = {
     "scan_project": "SELECT user_id, ts, value FROM events WHERE event_type = 'view'",
     "scan_city": _with(OBS, query="SELECT * FROM obs WHERE city = 'CITY_7'"),
@@ -170,8 +173,8 @@ SELECT city, datetime, temp, humidity,
 FROM obs WINDOW w AS (PARTITION BY city ORDER BY datetime)"""),
     "fk_city_country": _with(CITIES, COUNTRIES, query="""
 SELECT city, lat, lng, country_id, name, subregion, region FROM cities JOIN countries ON country_id = id"""),
-    "observation_enriched": _with(OBS, CITIES, query="""
-SELECT obs.city, datetime, temp, lat, lng, country_id FROM obs JOIN cities ON obs.city = cities.city"""),
+    "observation_enriched": ENRICHED,
+    "observation_enriched_salted": ENRICHED,
     "missing_cities": _with(OBS, LISTED, query="""
 SELECT * FROM listed ANTI JOIN obs ON listed.city = obs.city"""),
     "covered_cities": _with(OBS, LISTED, query="""

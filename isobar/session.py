@@ -46,7 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only where that is unset, as in local tests, a temporary folder is made.
     """
     global _local_scratch
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="isobar-", ignore_cleanup_errors=True)

@@ -76,12 +76,12 @@ def replace(df: DataFrame, path: str, spec: TableSpec) -> None:
     _overwrite(_shaped(df, spec), path, spec, mode="static")
 
 
-def upsert_merging(batch: DataFrame, table: str, keys: Sequence[str], rank: Sequence[str]) -> None:
-    """The same upsert through MERGE INTO, for table formats that support it."""
-    rows = last_write(batch, keys, rank) if rank else batch
-    condition = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"batch.{k}") for k in keys])
-    (rows.alias("batch").mergeInto(table, condition)
-     .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+def upsert_merging(batch: DataFrame, table: str, spec: TableSpec, rank: Sequence[str]) -> None:
+    """The same upsert through MERGE INTO, for catalog tables whose format supports it."""
+    require_utc(batch.sparkSession)
+    rows = _shaped(last_write(batch, spec.keys, rank) if rank else batch, spec).alias("batch")
+    same_key = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"batch.{k}") for k in spec.keys])
+    rows.mergeInto(table, same_key).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:

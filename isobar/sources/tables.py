@@ -31,7 +31,7 @@ def of_city(df: DataFrame, city: str) -> DataFrame:
 def of_cities(df: DataFrame, cities: DataFrame | Sequence[str]) -> DataFrame:
     """Readings of many cities: a short list, or a frame with a ``city`` column."""
     if isinstance(cities, DataFrame):
-        return df.join(cities.select("city").distinct(), "city", "left_semi")
+        return df.join(cities.select("city"), "city", "left_semi")
     return df.filter(F.col("city").isin(list(cities)))
 
 

@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import os
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.operators.merging import add_counters, last_write, merge
+from isobar.schemas import OBSERVATIONS, PRECIPITATION_TOTALS, TableSpec, columns, TEXT, LONG
+from isobar.sinks import upsert as sink
+from isobar.sinks.upsert import read_stored, replace, upsert
+from readings import observation, rows
+
+D1, D2, D3 = datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6), datetime(2024, 2, 3, 6)
+
+
+def batch(spark, *readings):
+    """Readings with an arrival number."""
+    arrived = [r + (i,) for i, r in enumerate(readings)]
+    kinds = {f.name: f.dataType for f in OBSERVATIONS.schema}
+    return spark.createDataFrame(arrived, columns(("city",), **kinds, arrival=LONG))
+
+
+def temps(spark, path):
+    return {(r.city, r.datetime): r.temp for r in read_stored(spark, path, OBSERVATIONS).collect()}
+
+
+def files(path):
+    return {str(p.relative_to(path)): os.stat(p).st_mtime_ns for p in Path(path).rglob("*.parquet")}
+
+
+def test_later_batch_wins_and_repeats_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = batch(spark, observation("A", D1, temp=1.0), observation("B", D1, temp=2.0), observation("A", D2, temp=3.0))
+    second = batch(spark, observation("A", D1, temp=9.0), observation("C", D3, temp=4.0))
+    assert upsert(first, path, OBSERVATIONS, ["arrival"]) == [date(2024, 1, 1), date(2024, 1, 2)]
+    assert upsert(second, path, OBSERVATIONS, ["arrival"]) == [date(2024, 1, 1), date(2024, 2, 3)]
+    expected = {("A", D1): 9.0, ("B", D1): 2.0, ("A", D2): 3.0, ("C", D3): 4.0}
+    assert temps(spark, path) == expected
+    upsert(second, path, OBSERVATIONS, ["arrival"])
+    assert temps(spark, path) == expected
+
+
+def test_rank_decides_inside_a_batch_whatever_the_row_order(spark, tmp_path):
+    copies = [observation("A", D1, temp=float(i)) for i in range(50)]
+    for order in (1, -1):
+        path = str(tmp_path / f"t{order}")
+        df = batch(spark, *copies).orderBy(F.col("arrival") * order).repartition(5)
+        upsert(df, path, OBSERVATIONS, ["arrival"])
+        assert temps(spark, path) == {("A", D1): 49.0}
+
+
+def test_untouched_directories_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1), observation("A", D2)), path, OBSERVATIONS, ["arrival"])
+    before = files(path)
+    upsert(batch(spark, observation("B", D2)), path, OBSERVATIONS, ["arrival"])
+    after = files(path)
+    same = {n for n in before if before[n] == after.get(n)}
+    assert same and all("part=2024-01-01" in n for n in same)
+    assert len(temps(spark, path)) == 3
+
+
+def test_static_session_mode_does_not_matter(spark, tmp_path, conf):
+    conf(spark__sql__sources__partitionOverwriteMode="static")
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1)), path, OBSERVATIONS, ["arrival"])
+    upsert(batch(spark, observation("A", D3)), path, OBSERVATIONS, ["arrival"])
+    assert len(temps(spark, path)) == 2
+
+
+def test_empty_batch_and_null_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert upsert(batch(spark, observation("A", D1)).limit(0), path, OBSERVATIONS, ["arrival"]) == []
+    assert not os.path.exists(path)
+    with pytest.raises(ValueError, match="null in the key"):
+        upsert(batch(spark, observation("A", D1), observation("A", None)), path, OBSERVATIONS, ["arrival"])
+    assert not os.path.exists(path)
+
+
+def test_refuses_other_zones(spark, tmp_path, conf):
+    conf(spark__sql__session__timeZone="Asia/Bangkok")
+    with pytest.raises(ValueError, match="UTC"):
+        upsert(batch(spark, observation("A", D1)), str(tmp_path), OBSERVATIONS, ["arrival"])
+
+
+def test_more_directories_than_can_be_listed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "LISTED_PARTITIONS", 1)
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), path, OBSERVATIONS, ["arrival"])
+    before = files(path)
+    changed = batch(spark, observation("A", D1, temp=2.0), observation("B", D2, temp=2.0))
+    assert upsert(changed, path, OBSERVATIONS, ["arrival"]) is None
+    assert temps(spark, path) == {("A", D1): 2.0, ("B", D2): 2.0, ("A", D3): 1.0}
+    assert {n for n, t in files(path).items() if before.get(n) == t} == {n for n in before if "2024-02-03" in n}
+    with pytest.raises(ValueError, match="null in the key"):
+        upsert(batch(spark, observation("A", D1), observation("A", None)), path, OBSERVATIONS, ["arrival"])
+
+
+def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
+         spark__sql__adaptive__coalescePartitions__minPartitionSize="16k")
+    path = str(tmp_path / "t")
+    spec = PRECIPITATION_TOTALS["month"]
+    df = spark.range(0, 60000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 7)).alias("city"),
+        (F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60)).alias("datetime"),
+        F.rand(1).alias("sum_precipitation"))
+    upsert(df, path, spec, [])
+    assert len(files(path)) > 2 and all(n.startswith("part=2024-01-01/") for n in files(path))
+    assert read_stored(spark, path, spec).count() == 60000
+    for name in files(path):
+        stored = [(r.city, -r.datetime.timestamp()) for r in spark.read.parquet(f"{path}/{name}").collect()]
+        assert stored == sorted(stored)
+
+
+def test_hashed_directories_for_tables_without_time(spark, tmp_path):
+    spec = TableSpec("t", columns(("id",), id=LONG, name=TEXT), ("id",), buckets=4)
+    path = str(tmp_path / "t")
+    upsert(spark.range(100).withColumn("name", F.lit("old")), path, spec, [])
+    assert len(upsert(spark.range(50, 51).withColumn("name", F.lit("new")), path, spec, [])) == 1
+    stored = read_stored(spark, path, spec)
+    assert stored.count() == 100 and stored.filter("name = 'new'").collect() == [(50, "new")]
+    assert {n.split("/")[0] for n in files(path)} == {f"part={i}" for i in range(4)}
+
+
+def test_reading_prunes_directories_and_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, *[observation("A", d) for d in (D1, D2, D3)]), path, OBSERVATIONS, ["arrival"])
+    found = read_stored(spark, path, OBSERVATIONS, datetime(2024, 1, 1, 7), datetime(2024, 1, 3))
+    assert [r.datetime for r in found.collect()] == [D2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "GreaterThanOrEqual(datetime" in plan
+
+
+def test_replace_drops_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1)), path, OBSERVATIONS, ["arrival"])
+    replace(batch(spark, observation("B", D3)), path, OBSERVATIONS)
+    assert list(temps(spark, path)) == [("B", D3)]
+
+
+def test_merging_sort_merge_equals_broadcast(spark, conf):
+    existing = spark.range(1000).select(F.lit("HOT").alias("city"), F.col("id").alias("datetime"), F.lit(0).alias("v"))
+    changed = spark.range(900, 1100).select(F.lit("HOT").alias("city"), F.col("id").alias("datetime"), F.lit(1).alias("v"))
+    broadcast = rows(merge(existing, changed, ["city", "datetime"]))
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert rows(merge(existing, changed, ["city", "datetime"])) == broadcast
+    assert len(broadcast) == 1100 and sum(r[2] for r in broadcast) == 200
+
+
+def test_copies_shrink_before_the_shuffle(spark):
+    df = spark.range(10).withColumn("k", F.col("id") % 2)
+    plan = last_write(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_counters_add(spark):
+    a = spark.createDataFrame([("A", 1.5), ("B", 2.0)], "city string, n double")
+    b = spark.createDataFrame([("A", 0.25), ("C", 1.0)], "city string, n double")
+    assert rows(add_counters(a, b, ["city"], ["n"])) == [("A", 1.75), ("B", 2.0), ("C", 1.0)]
