@@ -19,7 +19,8 @@ def last_write(batch: DataFrame, keys: Sequence[str], rank: Sequence[str]) -> Da
     """One row per key: the one with the greatest rank, later columns breaking ties.
 
     Every scan task first keeps one row per key, so any number of copies of one
-    key shrinks before the shuffle.
+    key shrinks before the shuffle. Batches hold few copies as a rule, for which
+    ranking rows measured faster than aggregating them.
     """
     return first_row(batch, keys, [F.desc(c) for c in rank])
 

@@ -158,6 +158,12 @@ def test_copies_shrink_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
+def test_last_write_with_null_ranks(spark):
+    df = spark.createDataFrame([("A", None, 1), ("A", 0, 2), ("A", -1, 3)], "k string, r int, v int")
+    assert last_write(df, ["k"], ["r"]).collect() == [("A", 0, 2)]
+    assert last_write(df.select("v", "k"), ["k"], ["v"]).collect() == [(3, "A")]
+
+
 def test_counters_add(spark):
     a = spark.createDataFrame([("A", 1.5), ("B", 2.0)], "city string, n double")
     b = spark.createDataFrame([("A", 0.25), ("C", 1.0)], "city string, n double")
