@@ -1,6 +1,6 @@
 """Whole jobs over a root folder holding one directory per table.
 
-Run one with ``spark-submit``, e.g. ``python -m isobar.plans.jobs rollup --root <path>``.
+Run one with e.g. ``python -m isobar.plans.jobs rollup --root <path>``.
 """
 
 from __future__ import annotations

@@ -1,8 +1,11 @@
 """Keyed upsert into a partitioned parquet table.
 
 Parquet has no MERGE, so only the directories a batch touches are read, merged
-and swapped by dynamic partition overwrite. Until the job commits the old files
-stay in place, so a lost executor only repeats tasks. One writer at a time.
+and swapped by dynamic partition overwrite. Old files stay until that job commits,
+so a lost executor only repeats tasks. The commit itself deletes and renames: where
+stored rows are at stake, the merged rows are therefore first written beside the
+table, and a driver lost in between is made good by the next ``upsert`` or
+``recover``. One writer at a time.
 """
 
 from __future__ import annotations
@@ -49,6 +52,7 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) ->
     """
     spark = batch.sparkSession
     require_utc(spark)
+    recover(spark, path, spec)
     rows = last_write(batch, spec.keys, rank) if rank else batch
     rows = _shaped(rows, spec).persist()
     try:
@@ -64,12 +68,24 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) ->
             raise ValueError(f"null in the key {spec.keys} of {spec.name}")
         parts = [r[PARTITION] for r in touched] if listed else None
         existing = _existing(spark, path, spec, parts, rows)
-        _overwrite(merge(existing, rows, spec.keys) if existing is not None else rows, path, spec)
+        if existing is None:
+            _overwrite(rows, path, spec)
+        else:
+            merge(existing, rows, spec.keys).write.mode("overwrite").parquet(_pending(path))
+            _mark_pending(spark, path, True)
+            recover(spark, path, spec)
         return sorted(parts) if parts is not None else None
     finally:
         rows.unpersist()
 
 
+def recover(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Swap merged rows in that were written but not yet taken over; repeating it is harmless."""
+    if _is_pending(spark, path):
+        _overwrite(spark.read.schema(spec.stored_schema).parquet(_pending(path)), path, spec)
+        _mark_pending(spark, path, False)
+
+
 def replace(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Write a whole table anew; ``df`` must not read ``path`` and its keys must be unique."""
     require_utc(df.sparkSession)
@@ -95,6 +111,7 @@ def _stored(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
 
 def _existing(spark: SparkSession, path: str, spec: TableSpec, parts: list | None,
               rows: DataFrame) -> DataFrame | None:
+    """Stored rows of the touched directories, or None where there are none."""
     try:
         stored = _stored(spark, path, spec)
     except AnalysisException as error:
@@ -102,8 +119,28 @@ def _existing(spark: SparkSession, path: str, spec: TableSpec, parts: list | Non
             raise
         return None
     if parts is None:
-        return stored.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
-    return stored.filter(F.col(PARTITION).isin(parts))
+        touched = stored.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
+    else:
+        touched = stored.filter(F.col(PARTITION).isin(parts))
+    return None if touched.isEmpty() else touched
+
+
+# Names starting with an underscore are hidden from reads of the table.
+def _pending(path: str) -> str:
+    return f"{path}/_pending/rows"
+
+
+def _mark_pending(spark: SparkSession, path: str, pending: bool) -> None:
+    spark.range(int(pending)).coalesce(1).write.mode("overwrite").parquet(f"{path}/_pending/mark")
+
+
+def _is_pending(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.schema("id bigint").parquet(f"{path}/_pending/mark").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def _keyless(spec: TableSpec) -> Column:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 from datetime import date, datetime
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from isobar.operators.merging import add_counters, last_write, merge
 from isobar.schemas import OBSERVATIONS, PRECIPITATION_TOTALS, TableSpec, columns, TEXT, LONG
 from isobar.sinks import upsert as sink
-from isobar.sinks.upsert import read_stored, replace, upsert
+from isobar.sinks.upsert import read_stored, recover, replace, upsert
 from readings import observation, rows
 
 D1, D2, D3 = datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6), datetime(2024, 2, 3, 6)
@@ -28,7 +29,8 @@ def temps(spark, path):
 
 
 def files(path):
-    return {str(p.relative_to(path)): os.stat(p).st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    found = (p for p in Path(path).rglob("*.parquet") if "_pending" not in p.parts)
+    return {str(p.relative_to(path)): os.stat(p).st_mtime_ns for p in found}
 
 
 def test_later_batch_wins_and_repeats_change_nothing(spark, tmp_path):
@@ -116,6 +118,42 @@ def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_p
         assert stored == sorted(stored)
 
 
+def test_a_driver_lost_during_the_swap(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), path, OBSERVATIONS, ["arrival"])
+    swap = sink._overwrite
+
+    def lost(df, target, spec, mode="dynamic"):
+        shutil.rmtree(f"{target}/part=2024-01-01")
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(sink, "_overwrite", lost)
+    with pytest.raises(RuntimeError):
+        upsert(batch(spark, observation("B", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
+    monkeypatch.setattr(sink, "_overwrite", swap)
+    assert temps(spark, path) == {("A", D3): 1.0}
+    upsert(batch(spark, observation("C", D3, temp=3.0)), path, OBSERVATIONS, ["arrival"])
+    expected = {("A", D1): 1.0, ("B", D1): 2.0, ("A", D3): 1.0, ("C", D3): 3.0}
+    assert temps(spark, path) == expected
+    recover(spark, path, OBSERVATIONS)
+    assert temps(spark, path) == expected
+
+
+def test_a_driver_lost_before_the_swap(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1, temp=1.0)), path, OBSERVATIONS, ["arrival"])
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(sink, "_mark_pending", lost)
+    with pytest.raises(RuntimeError):
+        upsert(batch(spark, observation("A", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
+    monkeypatch.undo()
+    recover(spark, path, OBSERVATIONS)
+    assert temps(spark, path) == {("A", D1): 1.0}
+
+
 def test_hashed_directories_for_tables_without_time(spark, tmp_path):
     spec = TableSpec("t", columns(("id",), id=LONG, name=TEXT), ("id",), buckets=4)
     path = str(tmp_path / "t")
