@@ -73,7 +73,7 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) ->
         else:
             merge(existing, rows, spec.keys).write.mode("overwrite").parquet(_pending(path))
             _mark_pending(spark, path, True)
-            recover(spark, path, spec)
+            _take_over(spark, path, spec)
         return sorted(parts) if parts is not None else None
     finally:
         rows.unpersist()
@@ -82,8 +82,7 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) ->
 def recover(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """Swap merged rows in that were written but not yet taken over; repeating it is harmless."""
     if _is_pending(spark, path):
-        _overwrite(spark.read.schema(spec.stored_schema).parquet(_pending(path)), path, spec)
-        _mark_pending(spark, path, False)
+        _take_over(spark, path, spec)
 
 
 def replace(df: DataFrame, path: str, spec: TableSpec) -> None:
@@ -130,6 +129,11 @@ def _pending(path: str) -> str:
     return f"{path}/_pending/rows"
 
 
+def _take_over(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    _overwrite(spark.read.schema(spec.stored_schema).parquet(_pending(path)), path, spec)
+    _mark_pending(spark, path, False)
+
+
 def _mark_pending(spark: SparkSession, path: str, pending: bool) -> None:
     spark.range(int(pending)).coalesce(1).write.mode("overwrite").parquet(f"{path}/_pending/mark")
 

@@ -27,7 +27,7 @@ def random_readings(spark, seed, n=400, cities=5, days=800, hot=True):
     rows, seen = [], set()
     while len(rows) < n:
         city = "HOT" if hot and rng.random() < 1 / 3 else f"C{rng.randrange(cities)}"
-        when = datetime(2022, 11, 3) + timedelta(minutes=10 * rng.randrange(days * 144))
+        when = datetime(2022, 12, 28) + timedelta(minutes=10 * rng.randrange(days * 144))
         if (city, when) in seen:
             continue
         seen.add((city, when))
