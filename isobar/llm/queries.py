@@ -86,7 +86,7 @@ ORACLE = {
             SELECT *, CASE WHEN once > 0 THEN least(first_at / target, 1) END AS y1,
                    CASE WHEN twice > 0 THEN least((first_at + source_size) / target, 1) END AS y2 FROM taken)
         SELECT doc_id, size, source_size, target, once + twice AS taken,
-               round(least(CASE WHEN y1 > 0 THEN 2 * y1 / (rate + sqrt(greatest(rate * rate + 2 * slope * y1, 0))) ELSE y1 END, 1), 9) AS position,
-               round(least(CASE WHEN y2 > 0 THEN 2 * y2 / (rate + sqrt(greatest(rate * rate + 2 * slope * y2, 0))) ELSE y2 END, 1), 9) AS position_again
+               CASE WHEN y1 > 0 THEN round(least(2 * y1 / (rate + sqrt(greatest(rate * rate + 2 * slope * y1, 0))), 1), 9) ELSE y1 END AS position,
+               CASE WHEN y2 > 0 THEN round(least(2 * y2 / (rate + sqrt(greatest(rate * rate + 2 * slope * y2, 0))), 1), 9) ELSE y2 END AS position_again
         FROM placed""",
 }
