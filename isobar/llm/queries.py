@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import curriculum, histogram_sort, maxscore, order_minhash
+from isobar.llm import bpe, curriculum, histogram_sort, maxscore, ngram_join, order_minhash
 from isobar.llm.common import table
 
 
@@ -19,6 +20,15 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprinted_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Token ids of all documents, and the texts decoded from them, as digests."""
+    ranks = bpe.read_ranks(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents takes of each, and when it is first and again trained on."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -28,6 +38,11 @@ def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
                         when(0).alias("position"), when(1).alias("position_again")).orderBy("position", "doc_id")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, number of linked texts and number of equal texts of every document."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of nearly equal bytes."""
     text = F.coalesce("text", F.lit(""))
@@ -36,7 +51,8 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_maxscore, op2_order_minhash, op4_curriculum, op10_histogram_sort)}
+QUERIES = {f.__name__: f for f in (
+    op1_maxscore, op2_order_minhash, op3_byte_bpe, op4_curriculum, op5_ngram_join, op10_histogram_sort)}
 
 ORACLE = {
     "op1_maxscore": """
