@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from isobar.session import scratch_path
 
@@ -63,3 +65,27 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def map_texts(df: DataFrame, prepare: Callable[[], Callable[[list[str]], list]], added: str,
+              column: str = "text", keep: bool = False) -> DataFrame:
+    """Add columns that Python computes from a text column, batch by batch; null texts count as empty.
+
+    ``prepare`` runs once for each task and returns the function from a list of texts to the
+    added columns' values. Other columns pass through unchanged; the text itself only with
+    ``keep``; columns named like added ones are replaced.
+    """
+    new = T._parse_datatype_string(added)
+    rest = [f for f in df.schema.fields if f.name not in new.fieldNames() and (keep or f.name != column)]
+    out = T.StructType([*rest, *new.fields])
+    names, schema = [f.name for f in rest], to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = prepare()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(column).to_pylist()]
+            values = compute(texts)
+            made = [pa.array(v, schema.field(len(names) + i).type) for i, v in enumerate(values)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n).cast(schema.field(n).type) for n in names), *made], schema=schema)
+
+    return df.select(*dict.fromkeys([*names, column])).mapInArrow(run, out)

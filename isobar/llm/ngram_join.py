@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from isobar.llm.common import free_name, stored
+from isobar.llm.common import free_name, map_texts, stored
 from isobar.llm.components import connected
 
 NGRAM = 5
@@ -106,11 +106,8 @@ def _chunks(texts: list[str]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def _sketched(batches: Iterator[pd.DataFrame], n: int, bands: int, rows: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        texts = batch["text"].tolist()
-        for part in _chunks(texts):
-            yield batch.iloc[part].drop(columns="text").assign(bands=band_hashes(texts[part], n, bands, rows))
+def _sketched(texts: list[str], n: int, bands: int, rows: int) -> list[list]:
+    return [[x for part in _chunks(texts) for x in band_hashes(texts[part], n, bands, rows)]]
 
 
 def links(texts: list[str], side: np.ndarray, n: int, threshold: float) -> np.ndarray:
@@ -175,9 +172,8 @@ def text_classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     """
     bands, rows = banding(threshold, recall)
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.unhex(F.md5("text")))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sketched = stored(keyed.select("doc_id", "digest", "text").mapInPandas(
-        lambda b: _sketched(b, n, bands, rows), f"doc_id {kind}, digest binary, bands array<long>"), "sketches")
+    sketched = stored(map_texts(keyed.select("doc_id", "digest", "text"), lambda: lambda texts: _sketched(texts, n, bands, rows),
+                                "bands array<long>"), "sketches")
     texts = stored(sketched.groupBy("digest").agg(
         F.min("doc_id").alias("kept_id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")), "texts")
 

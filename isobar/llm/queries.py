@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from isobar.llm import bpe, curriculum, histogram_sort, maxscore, ngram_join, order_minhash
+from isobar.llm import (
+    bpe, curriculum, histogram_sort, html_density, language_mixture, maxscore, ngram_join, order_minhash, toxicity, wacz)
 from isobar.llm.common import table
 
 
@@ -43,6 +44,43 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % folds
+
+
+def fitted_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from labels outside the held-out fold."""
+    return toxicity.model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _fold(5) != 0)
+
+
+def op6_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), fitted_toxicity(spark, sf_dir))
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_density.extract(table(spark, sf_dir, "pages"))
+
+
+def fitted_languages(docs: DataFrame):
+    """Learned from documents outside the held-out fold."""
+    return language_mixture.model(docs, _fold(4) != 2)
+
+
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_mixture.predict(docs.select("doc_id", "text"), fitted_languages(docs))
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", F.map_keys("mixture").alias("languages"))
+
+
+def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in ZIP packages, read back."""
+    return wacz.round_trip(table(spark, sf_dir, "pages"), least=0)
+
+
 def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of nearly equal bytes."""
     text = F.coalesce("text", F.lit(""))
@@ -52,7 +90,9 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_maxscore, op2_order_minhash, op3_byte_bpe, op4_curriculum, op5_ngram_join, op10_histogram_sort)}
+    op1_maxscore, op2_order_minhash, op3_byte_bpe, op4_curriculum, op5_ngram_join,
+    op6_compression_toxicity, op7_text_density, op8_language_mixture, op9_zip_warc,
+    op10_histogram_sort)}
 
 ORACLE = {
     "op1_maxscore": """
