@@ -28,8 +28,14 @@ def first_field(array: Column | str, field: str) -> Column:
     return F.get(_column(array), 0).getField(field)
 
 
+# Epoch seconds of the years 1 to 9999.
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
+
+
 def epoch_to_timestamp(seconds: Column | str) -> Column:
-    return F.timestamp_seconds(_column(seconds))
+    """Whole epoch seconds as a time; null beyond the years 1 to 9999."""
+    value = _column(seconds)
+    return F.timestamp_seconds(F.when(value.between(*EPOCH_RANGE), value).cast("bigint"))
 
 
 def timestamp_text(moment: Column | str) -> Column:

@@ -7,13 +7,16 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
+from isobar.session import require_utc
+
 GRAINS = ("day", "month", "year")
 
 
 def bucket(df: DataFrame, grain: str, column: str = "datetime") -> Column:
-    """Start of the calendar period, in the type of the column itself."""
+    """Start of the UTC calendar period, in the type of the column itself; refused in sessions of another zone."""
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain}")
+    require_utc(df.sparkSession)
     return F.date_trunc(grain, column).cast(df.schema[column].dataType)
 
 

@@ -3,12 +3,13 @@
 No dimension is hinted as broadcast. Spark measures it against
 ``spark.sql.autoBroadcastJoinThreshold``, at planning and again at run time, and
 beyond it sort-merges. Adaptive execution then splits a hot city's partition, but
-only where both sides come straight from their shuffle, as stored tables do; for a
-large derived dimension ask for the salted form of the join.
+only where both sides come straight from their shuffle, as stored tables do; for
+derived dimensions the salted form of the join, which finds hot cities itself, is the default.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,8 +24,11 @@ def with_country(cities: DataFrame, countries: DataFrame) -> DataFrame:
     )
 
 
-def enrich(observations: DataFrame, cities: DataFrame, salted: bool = False) -> DataFrame:
-    """Readings with the attributes of their city; readings of unlisted cities vanish."""
+def enrich(observations: DataFrame, cities: DataFrame, salted: bool = True) -> DataFrame:
+    """Readings with the attributes of their city; readings of unlisted cities vanish.
+
+    ``salted=False`` spares counting the cities where the dimension is stored or known to be small.
+    """
     if salted:
         return salted_join(observations, cities, "city", "inner", spread=["datetime"])
     return observations.join(cities, "city")
@@ -41,38 +45,40 @@ def missing_cities(cities: DataFrame, observations: DataFrame) -> DataFrame:
 
 
 def locate(requests: DataFrame, dimension: DataFrame, order: Sequence[Column | str],
-           salted: bool = False) -> DataFrame:
+           salted: bool | None = None) -> DataFrame:
     """Look every request's city up: its first match in the declared order, or nulls.
 
-    The salted form spreads by the requests' other columns, so they need some that
+    Salted by default where requests have more columns than the city: that form spreads by the requests' other columns, so they need some that
     tell a city's requests apart.
     """
     first = first_row(dimension, ["city"], order)
-    if salted:
+    if salted or salted is None and len(requests.columns) > 1:
         return salted_join(requests, first, "city", "left", spread=[c for c in requests.columns if c != "city"])
     return requests.join(first, "city", "left")
 
 
 def salted_join(facts: DataFrame, dimension: DataFrame, key: str, how: str, spread: Sequence[str],
-                share: float = 0.001, pieces: int = 1024) -> DataFrame:
+                share: float = 0.001) -> DataFrame:
     """Inner or left join in which keys above ``share`` of the facts meet in many tasks.
 
     At most ``1 / share`` keys can be that frequent, which bounds what is broadcast
-    to mark them. Their facts are spread over ``pieces`` by a hash of the ``spread``
-    columns and their dimension rows repeated for each piece; all other rows, and
+    to mark them. Each is cut into pieces of about that share by a hash of the ``spread``
+    columns, and its dimension rows are repeated for each piece; all other rows, and
     the result, are those of the plain join.
     """
+    if not 0 < share <= 1:
+        raise ValueError("share must lie above 0 and not above 1")
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    limit = F.lit(share) * counts.agg(F.sum("_n")).scalar()
     hot = F.broadcast(
-        facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(share) * facts.agg(F.count(F.lit(1))).scalar())
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    piece = F.pmod(F.xxhash64(*spread), F.lit(pieces)).cast("int")
+        counts.where((F.col("_n") > limit) & F.col(key).isNotNull())
+        .select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_pieces")))
+    piece = lambda n: F.pmod(F.xxhash64(*spread), n).cast("int")
     marked = facts.join(hot, key, "left").withColumn(
-        "_piece", F.when(F.col("_hot") | F.col(key).isNull(), piece).otherwise(0)).drop("_hot")
+        "_piece", F.when(F.col("_pieces").isNotNull(), piece(F.col("_pieces")))
+        .when(F.col(key).isNull(), piece(F.lit(math.ceil(1 / share)))).otherwise(0)).drop("_pieces")
     repeated = dimension.join(hot, key, "left").withColumn(
-        "_piece", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1)))
-                            .otherwise(F.array(F.lit(0))))).drop("_hot")
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))).drop("_pieces")
     return marked.join(repeated, [key, "_piece"], how).drop("_piece")
 
 

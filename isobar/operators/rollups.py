@@ -101,6 +101,19 @@ def precipitation_from_partials(partials: DataFrame, grain: str) -> DataFrame:
     return _by_period(partials, grain).agg(F.sum("sum_precipitation").alias("sum_precipitation"))
 
 
+def summary_from_partials(partials: DataFrame, grain: str) -> DataFrame:
+    """Statistics and precipitation of any grain from finer partials, in one aggregation."""
+    return _by_period(partials, grain).agg(*_merge_statistics(), F.sum("sum_precipitation").alias("sum_precipitation"))
+
+
+def coarser_partials(partials: DataFrame, grain: str) -> DataFrame:
+    """Partials of a coarser grain: a year over months reads 12 rows per city."""
+    sums = ("n", "temp_sum", "temp_count", "pressure_sum", "pressure_count")
+    return _by_period(partials, grain).agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("temp_min").alias("temp_min"), F.max("temp_max").alias("temp_max"),
+        F.sum("sum_precipitation").alias("sum_precipitation"))
+
+
 def all_grains(df: DataFrame) -> DataFrame:
     """Day, month and year in one frame with a ``grain`` column.
 

@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from isobar.functions.temporal import bucket
 
-# Up to this many rows per city a single pass is enough; see ``newest``.
-SINGLE_PASS_ROWS = 100
-
 
 def newest(df: DataFrame, n: int) -> DataFrame:
-    """The ``n`` newest readings of each city.
+    """The ``n`` newest readings of each city; of equal times the greater other values come first.
 
-    Spark keeps at most ``n`` rows per city in every scan task before the shuffle,
-    so a city's final group is bounded by ``n`` times the number of tasks. For
-    large ``n`` a first cut per city and day bounds it by ``n`` times the days.
+    A first cut per city and day bounds what meets for a city to ``n`` rows for each of its days.
     """
-    if n > SINGLE_PASS_ROWS:
-        df = _first_rows(df.withColumn("_day", bucket(df, "day")), ("city", "_day"), n).drop("_day")
-    return _first_rows(df, ("city",), n)
+    by_day = _first_rows(df.withColumn("_day", bucket(df, "day")), ("city", "_day"), n).drop("_day")
+    return _first_rows(by_day, ("city",), n)
 
 
 def latest(df: DataFrame) -> DataFrame:
-    """Current conditions: the newest reading of each city, kept one per city and task before the shuffle."""
-    others = [c for c in df.columns if c != "city"]
-    newest_row = F.max_by(F.struct(*others), "datetime").alias("_newest")
-    return df.groupBy("city").agg(newest_row).select("city", "_newest.*").select(*df.columns)
+    """Current conditions: the newest reading of each city; of equal times the one of the greatest other values.
+
+    The newest time per city is found over two columns by hash aggregation; only rows of that
+    time are then looked at whole.
+    """
+    newest_time = df.groupBy("city").agg(F.max("datetime").alias("datetime"))
+    return _first_rows(df.join(newest_time, ["city", "datetime"], "left_semi"), ("city",), 1)
 
 
 def history(df: DataFrame) -> DataFrame:
@@ -36,30 +33,36 @@ def history(df: DataFrame) -> DataFrame:
     return df.orderBy("city", F.desc("datetime"))
 
 
-def trend(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+def trend(df: DataFrame, measures: Sequence[str] | Mapping[str, Column | str]) -> DataFrame:
     """Each reading with the change of its measures since the city's previous one.
 
+    ``measures`` are columns, nested ones like ``wind.speed`` included (named wind_speed), or
+    names with their columns. Rows without a time have no place in a series and are left out.
+
     A plain window over the city would put a hot city into one task. Rows are
     windowed per (city, day) instead; the first row of a day takes its predecessor
-    from the city's last earlier day, found over one row per city and day. With
-    (city, second) as key a day holds 86,400 rows at most.
+    from the city's last earlier day, found over one row per city and day of the same
+    windowed rows. With (city, second) as key a day holds 86,400 rows at most.
     """
-    series = df.select("city", "datetime", *measures).withColumn("_day", bucket(df, "day"))
-    reading = F.struct(*measures)
+    named = dict(measures) if isinstance(measures, Mapping) else {m.replace(".", "_"): m for m in measures}
+    reading = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in named.items()])
+    series = df.where(F.col("datetime").isNotNull()).select(
+        "city", "datetime", bucket(df, "day").alias("_day"), reading.alias("_reading"))
 
-    within = Window.partitionBy("city", "_day").orderBy("datetime")
-    chained = series.withColumn("_previous", F.lag(reading).over(within))
+    # Both uses of this frame shuffle the same columns, so the readings are scanned and shuffled once.
+    within = Window.partitionBy("city", "_day").orderBy("datetime", "_reading")
+    chained = series.select(
+        "*", F.lag("_reading").over(within).alias("_previous"), F.lead(F.lit(True), 1, False).over(within).alias("_followed"))
 
     across = Window.partitionBy("city").orderBy("_day")
-    carried = (
-        series.groupBy("city", "_day")
-        .agg(F.max_by(reading, "datetime").alias("_last"))
-        .select("city", "_day", F.lag("_last").over(across).alias("_carried"))
-    )
+    carried = chained.where(~F.col("_followed")).select(
+        F.col("city").alias("_city"), F.col("_day").alias("_on"), F.lag("_reading").over(across).alias("_carried"))
     previous = F.coalesce("_previous", "_carried")
-    return chained.join(carried, ["city", "_day"]).select(
-        "city", "datetime", *measures,
-        *[(F.col(m) - previous.getField(m)).alias(f"{m}_delta") for m in measures],
+    # Null-safe, or one side's scan would get a filter that the other has not.
+    same_day = F.col("city").eqNullSafe(F.col("_city")) & F.col("_day").eqNullSafe(F.col("_on"))
+    return chained.join(carried, same_day).select(
+        "city", "datetime", "_reading.*",
+        *[(F.col(f"_reading.{m}") - previous.getField(m)).alias(f"{m}_delta") for m in named],
     )
 
 
@@ -69,7 +72,8 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    return _ranked(df, keys, [F.desc("datetime")], n)
+    others = [F.desc(c) for c in df.columns if c not in (*keys, "datetime")]
+    return _ranked(df, keys, [F.desc("datetime"), *others], n)
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:

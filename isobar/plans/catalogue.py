@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -10,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from isobar.functions.readings import kelvin_to_celsius, timestamp_text
 from isobar.functions.temporal import bucket, in_period, period_range
 from isobar.operators import merging, places, rollups, series
-from isobar.plans import views
+from isobar.plans import jobs, views
 from isobar.schemas import (
-    CITIES, CITIES_SCHEMA, COUNTRIES_SCHEMA, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS,
+    CITIES, CITIES_SCHEMA, COUNTRIES_SCHEMA, DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS,
 )
-from isobar.session import configure, scratch_path
+from isobar.session import scratch_path
+from isobar.sinks.tables import create_table, write_table
 from isobar.sinks.upsert import read_stored, upsert
 from isobar.sources import dimensions, payloads, tables
 from isobar.streaming.ingest import ingest
@@ -33,12 +35,8 @@ def query(function: Query) -> Query:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Sums and averages to nine places, since their order of addition is not fixed.
-
-    Averages of short decimals often end in an exact half of the ninth place, where
-    the last bit would decide; the small shift moves the boundary away from there.
-    """
-    return df.withColumns({c: F.round(F.col(c) + F.lit(2e-10), 9) for c in columns})
+    """Sums and averages to nine places, since their order of addition is not fixed."""
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -51,7 +49,6 @@ def spread(df: DataFrame) -> DataFrame:
 @query
 def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chosen columns under a predicate on another one, both reaching the file scan."""
-    configure(spark)
     return tables.read_table(spark, "sf", "events", ["user_id", "ts", "value"], "event_type = 'view'",
                              fmt="parquet", path=f"{sf_dir}/events.parquet")
 
@@ -91,19 +88,23 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_flatten_kelvin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat variant: Kelvin, epoch time, rain an object and snow the number 0."""
-    obs = views.observations(spark, sf_dir)
+    """The flat variant: Kelvin, epoch time, rain and snow an object or the number 0."""
+    obs, k = views.observations(spark, sf_dir), F.col("humidity")
     epoch = F.unix_timestamp(F.col("datetime").cast("timestamp"))
-    rain = F.when(F.col("precipitation.rain").isNotNull(),
-                  F.create_map(F.lit("1h"), F.col("precipitation.rain")))
-    document = F.to_json(F.struct(
-        "city", epoch.alias("time"), "main", F.col("temp_k").alias("temp"), "pressure",
-        F.struct(rain.alias("rain"), F.lit(0).alias("snow")).alias("precipitation"),
-        epoch.alias("sunrise"),
+    amount = lambda name: F.when(
+        F.col(f"precipitation.{name}").isNotNull(),
+        F.to_json(F.create_map(F.lit("1h"), F.col(f"precipitation.{name}")))).otherwise("0")
+    body = F.to_json(F.struct(
+        "city", epoch.alias("time"), "main", F.col("temp_k").alias("temp"), (F.col("temp_k") - 1).alias("feels_like"),
+        (F.col("temp_k") - k / F.lit(10.0)).alias("temp_min"), (F.col("temp_k") + k / F.lit(10.0)).alias("temp_max"),
+        "pressure", k.cast("double").alias("humidity"), epoch.cast("double").alias("sunrise"),
     ))
-    parsed = payloads.parse_flat_documents(obs.select(document.alias("doc")))
+    document = F.concat(F.expr("left(body, length(body) - 1)"), F.lit(',"precipitation":{"rain":'), amount("rain"),
+                        F.lit(',"snow":'), amount("snow"), F.lit("}}"))
+    parsed = payloads.parse_flat_documents(obs.withColumn("body", body).select(document.alias("doc")))
     return views.flat_readings(parsed).select(
-        "city", "datetime", "main", "temp", "pressure", "rain", "snow", "sunrise", "sunset")
+        "city", "datetime", "main", "temp", "feels_like", "temp_min", "temp_max", "pressure", "humidity",
+        "rain", "snow", "sunrise", "sunset")
 
 
 @query
@@ -119,13 +120,23 @@ def json_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def to_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = payloads.to_documents(views.observations(spark, sf_dir).drop("datetime"))
-    part = lambda path, kind: F.get_json_object("doc", path).cast(kind)
+    """Every column of a reading to a document and back."""
+    obs = views.observations(spark, sf_dir)
+    documents = payloads.to_documents(obs)
+    part = lambda name, kind, path=None: F.get_json_object("doc", f"$.{path or name}").cast(kind).alias(name)
     return documents.select(
-        part("$.city", "string").alias("city"), part("$.main", "string").alias("main"),
-        part("$.temp", "double").alias("temp"), part("$.humidity", "int").alias("humidity"),
-        part("$.precipitation.rain", "double").alias("rain"),
-    )
+        *[part(f.name, f.dataType) for f in obs.schema if f.name != "precipitation"],
+        part("rain", "double", "precipitation.rain"), part("snow", "double", "precipitation.snow"))
+
+
+@query
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as they come: readings kept and payloads turned away, with the reason."""
+    landed = views.rough_payloads(spark, sf_dir)
+    kept = views.flat_readings(payloads.parse_payloads(landed)).select(
+        "city", "datetime", "humidity", "visibility", F.lit("kept").alias("outcome"))
+    away = payloads.rejected_payloads(landed).select("city", F.col("reason").alias("outcome"))
+    return merging.union_batches([kept, away])
 
 
 # -- aggregates -----------------------------------------------------------------
@@ -160,7 +171,10 @@ def agg_yearly_precip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_all_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rollups.all_grains(views.observations_long(spark, sf_dir)), *AVERAGES, "sum_precipitation")
+    """In whole units of 1e-5, so that sums are exact whatever their order."""
+    result = rollups.all_grains(views.in_units(views.observations_long(spark, sf_dir)))
+    measures = [*AVERAGES, "temp_min", "temp_max", "sum_precipitation"]
+    return result.withColumns({c: F.col(c) / F.lit(1e5) for c in measures})
 
 
 @query
@@ -218,8 +232,10 @@ def history_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trend_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = series.trend(views.observations(spark, sf_dir), ["temp", "humidity"])
-    return rounded(changes, "temp_delta")
+    wind = F.struct((F.col("temp_k") / 10).alias("speed"), F.col("humidity").cast("double").alias("deg"))
+    obs = views.observations(spark, sf_dir).withColumn("wind", wind)
+    changes = series.trend(obs, ["temp", "humidity", "wind.speed", "wind.deg"])
+    return rounded(changes, "temp_delta", "wind_speed_delta")
 
 
 # -- joins ----------------------------------------------------------------------
@@ -232,13 +248,13 @@ def fk_city_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def observation_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = views.observations(spark, sf_dir).select("city", "datetime", "temp")
-    return places.enrich(obs, views.cities(spark, sf_dir))
+    return places.enrich(obs, views.cities(spark, sf_dir), salted=False)
 
 
 @query
 def observation_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = views.observations(spark, sf_dir).select("city", "datetime", "temp")
-    return places.enrich(obs, views.cities(spark, sf_dir), salted=True)
+    return places.enrich(obs, views.cities(spark, sf_dir))
 
 
 @query
@@ -274,13 +290,10 @@ RANK = ("l_orderkey", "l_linenumber", "l_partkey", "temp", "pressure", "precipit
 
 @query
 def upsert_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches merged one after the other."""
-    keys = OBSERVATIONS.keys
-    merged = None
-    for batch in _batches(spark, sf_dir):
-        rows = merging.last_write(batch, keys, RANK).select(*views.LONG_SCHEMA.fieldNames())
-        merged = rows if merged is None else merging.merge(merged, rows, keys)
-    return spread(merged)
+    """Three batches, later ones winning, in one pass: the batch is the leading rank."""
+    rows = views.observations_long(spark, sf_dir)
+    merged = merging.last_write(rows, OBSERVATIONS.keys, ("batch", *RANK))
+    return spread(merged.select(*views.LONG_SCHEMA.fieldNames()))
 
 
 @query
@@ -321,10 +334,10 @@ def csv_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cities from a CSV with other names and order, loaded by position into a table."""
+    """Cities from a CSV with the loader's columns, by position, into a table."""
     path, table = scratch_path(spark, "cities-csv"), scratch_path(spark, "cities")
-    views.cities(spark, sf_dir).select("country_id", "city", "lat", "lng").write.csv(path, header=True)
-    rows = dimensions.bulk_load(spark, path, ["country_id", "city", "latitude", "longitude"], CITIES_SCHEMA)
+    views.numbered_cities(spark, sf_dir).select("country_id", "city_id", "city", "lat", "lng").write.csv(path, header=True)
+    rows = dimensions.bulk_load(spark, path, ["country_id", "city_id", "name", "latitude", "longitude"], CITIES_SCHEMA)
     upsert(rows, table, CITIES, rank=["lat"])
     return read_stored(spark, table, CITIES)
 
@@ -337,9 +350,11 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, where the greater text wins.
     """
     landing, path = scratch_path(spark, "landing"), scratch_path(spark, "readings")
-    second = F.get_json_object("raw", "$.dt")
-    views.landed_payloads(spark, sf_dir).repartition(4, "city", second).write.json(landing)
-    ingest(spark, landing, path, scratch_path(spark, "offsets"), max_files=2).awaitTermination()
+    second = F.get_json_object("raw", "$.dt").cast("long")
+    for arrival in range(2):  # readings of even and odd seconds, landed and streamed one after the other
+        half = views.landed_payloads(spark, sf_dir).where(second % 2 == arrival)
+        half.repartition("city", second).write.mode("append").json(landing)
+        ingest(spark, landing, path, f"{path}-offsets").awaitTermination()
     return views.flat_readings(read_stored(spark, path, OBSERVATIONS))
 
 
@@ -348,11 +363,78 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily tables kept by a stream of readings in several batches; days arrive in pieces."""
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
     obs = views.observations(spark, sf_dir).select("city", "datetime", "temp", "pressure", "precipitation")
-    obs.repartition(4).write.parquet(landing)
-    readings = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    maintain_days(readings, root, scratch_path(spark, "offsets"), delay="60 days").awaitTermination()
+    for arrival in range(2):  # the second run goes on from the state of the first
+        obs.where(F.second("datetime") % 2 == arrival).write.mode("append").parquet(landing)
+        readings = spark.readStream.schema(obs.schema).parquet(landing)
+        maintain_days(readings, root, f"{root}-offsets", delay="60 days").awaitTermination()
+    return _daily(spark, root, DAY_SUMMARY)
+
+
+def _daily(spark: SparkSession, root: str, statistics) -> DataFrame:
+    """Both stored daily tables side by side."""
     weather, rain = (read_stored(spark, f"{root}/{spec.name}", spec)
-                     for spec in (STATISTICS["day"], PRECIPITATION_TOTALS["day"]))
+                     for spec in (statistics, PRECIPITATION_TOTALS["day"]))
     both = weather.join(rain, ["city", "datetime"])
     both = both.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
     return rounded(both, *AVERAGES, "sum_precipitation")
+
+
+def _stored_readings(spark: SparkSession, sf_dir: str, where=None) -> str:
+    """The month's readings in a table below a new root."""
+    root = scratch_path(spark, "root")
+    obs = views.observations(spark, sf_dir)
+    whole = views.as_observations(obs if where is None else obs.where(where))
+    upsert(whole, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS, rank=["temp", "pressure"])
+    return root
+
+
+@query
+def process_day_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's two results, computed from stored readings and written to their tables."""
+    root = _stored_readings(spark, sf_dir)
+    jobs.process_day(spark, root, DAY)
+    return _daily(spark, root, DAY_SUMMARY)
+
+
+@query
+def refresh_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six aggregate tables after a roll-up and a refresh by a later batch."""
+    late = F.pmod(F.crc32(F.encode("city", "UTF-8")), F.lit(5)) == 0
+    root = _stored_readings(spark, sf_dir, ~late)
+    jobs.rollup(spark, root)
+    batch = views.as_observations(views.observations(spark, sf_dir).where(late))
+    upsert(batch, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS, rank=["temp", "pressure"])
+    jobs.refresh(spark, root, batch)
+    grains = []
+    for grain in STATISTICS:
+        weather, rain = (read_stored(spark, jobs.table_path(root, spec), spec)
+                         for spec in (STATISTICS[grain], PRECIPITATION_TOTALS[grain]))
+        grains.append(weather.join(rain, ["city", "datetime"]).withColumn("grain", F.lit(grain)))
+    both = merging.union_batches(grains).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+    return rounded(both, *AVERAGES, "sum_precipitation")
+
+
+@query
+def document_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents parsed and upserted into the readings, then read back."""
+    obs = views.observations(spark, sf_dir)
+    document = F.to_json(F.struct("city", timestamp_text("datetime").alias("datetime"), "main",
+                                  F.col("temp").cast("string").alias("temp"), "pressure"))
+    root = scratch_path(spark, "root")
+    documents = obs.select(document.alias("doc"), F.struct("temp", "pressure", "main").alias("arrival"))
+    jobs.insert_documents(documents, root, rank=["arrival"])
+    stored = read_stored(spark, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS)
+    return stored.select("city", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "main", "temp", "pressure")
+
+
+@query
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table over an upserted path, read after a second upsert brought new directories."""
+    path, database = scratch_path(spark, "catalog"), f"roundtrip_{uuid.uuid4().hex[:8]}"
+    batches = _batches(spark, sf_dir)
+    name = create_table(spark, database, views.LONG_READINGS, path)
+    for batch in batches:
+        upsert(batch, path, views.LONG_READINGS, RANK, table=name)
+    copy = tables.read_table(spark, database, views.LONG_READINGS.name)
+    write_table(copy, database, "copy", "overwrite", path=f"{path}-copy", compression="zstd")
+    return spread(tables.read_table(spark, database, "copy").select(*views.LONG_SCHEMA.fieldNames()))

@@ -6,31 +6,33 @@ Run one with e.g. ``python -m isobar.plans.jobs rollup --root <path>``.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from isobar.functions.temporal import floor_to, next_period, period_range
+from isobar.functions.temporal import bucket, floor_to, next_period, period_range
 from isobar.operators.rollups import (
-    PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, daily_partials, day_summary,
-    precipitation_from_partials, statistics_from_partials,
+    PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, daily_partials, day_summary, summary_from_partials,
 )
 from isobar.schemas import (
-    DAILY_PARTIALS, OBSERVATIONS, PARTITION, PRECIPITATION_TOTALS, STATISTICS, TableSpec,
+    DAILY_PARTIALS, DAY_SUMMARY, MONTHLY_PARTIALS, OBSERVATIONS, PARTITION, PRECIPITATION_TOTALS, STATISTICS, TableSpec,
 )
 from isobar.session import configure
-from isobar.sinks.upsert import read_stored, replace, upsert
+from isobar.sinks.upsert import read_parts, read_stored, recover, replace, upsert
 from isobar.sources.payloads import rows_from_documents
 from isobar.streaming.ingest import ingest
 
 
+AGGREGATES = (DAILY_PARTIALS, MONTHLY_PARTIALS, *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
+
+
 def table_path(root: str, spec: TableSpec) -> str:
     return f"{root.rstrip('/')}/{spec.name}"
 
 
 def insert_documents(documents: DataFrame, root: str, rank: Sequence[str],
-                     spec: TableSpec = OBSERVATIONS, column: str = "doc") -> list | None:
+                     spec: TableSpec = OBSERVATIONS, column: str = "doc") -> list:
     """Insert JSON documents as rows of a table; ``rank`` columns stand beside the text."""
     rows = rows_from_documents(documents, spec.schema, column, keep=rank)
     return upsert(rows, table_path(root, spec), spec, rank)
@@ -40,73 +42,102 @@ def process_day(spark: SparkSession, root: str, instant: datetime,
                 cities: DataFrame | Sequence[str] | None = None) -> None:
     """Both daily results of the day holding ``instant``, for some or all cities.
 
-    One scan of one day's directory feeds both tables. The extremes written are
-    those of ``temp``; :func:`rollup` and :func:`refresh` write those of the
+    One scan of one day's directory feeds both tables. The extremes are those of ``temp``
+    and so have their own table; :func:`rollup` and :func:`refresh` keep those of the
     readings' own ``temp_min`` and ``temp_max``.
     """
     start, end = period_range("day", instant)
     observations = read_stored(spark, table_path(root, OBSERVATIONS), OBSERVATIONS, start, end)
     summary = day_summary(observations, cities).persist()
     try:
-        for columns, spec in ((PRECIPITATION_COLUMNS, PRECIPITATION_TOTALS["day"]),
-                              (STATISTICS_COLUMNS, STATISTICS["day"])):
-            upsert(summary.select(*columns), table_path(root, spec), spec, rank=[])
+        store_summary(summary, root, DAY_SUMMARY, PRECIPITATION_TOTALS["day"])
     finally:
         summary.unpersist()
 
 
+def store_summary(summary: DataFrame, root: str, statistics: TableSpec, precipitation: TableSpec,
+                  write: Callable[[DataFrame, str, TableSpec], object] | None = None) -> None:
+    """Write a frame that holds statistics and precipitation to its two tables."""
+    write = write or (lambda df, path, spec: upsert(df, path, spec, rank=[]))
+    for columns, spec in ((STATISTICS_COLUMNS, statistics), (PRECIPITATION_COLUMNS, precipitation)):
+        write(summary.select(*columns), table_path(root, spec), spec)
+
+
 def rollup(spark: SparkSession, root: str) -> None:
-    """All aggregate tables anew: the readings are scanned once, into day partials."""
-    observations = read_stored(spark, table_path(root, OBSERVATIONS), OBSERVATIONS)
-    replace(daily_partials(observations), table_path(root, DAILY_PARTIALS), DAILY_PARTIALS)
-    partials = read_stored(spark, table_path(root, DAILY_PARTIALS), DAILY_PARTIALS)
-    for grain in STATISTICS:
-        replace(statistics_from_partials(partials, grain), table_path(root, STATISTICS[grain]), STATISTICS[grain])
-        replace(precipitation_from_partials(partials, grain),
-                table_path(root, PRECIPITATION_TOTALS[grain]), PRECIPITATION_TOTALS[grain])
+    """All aggregate tables anew: the readings are scanned once, each grain's partials once."""
+    path = lambda spec: table_path(root, spec)
+    for spec in (OBSERVATIONS, *AGGREGATES):
+        recover(spark, path(spec), spec)
+    replace(daily_partials(read_stored(spark, path(OBSERVATIONS), OBSERVATIONS)), path(DAILY_PARTIALS), DAILY_PARTIALS)
+    days = read_stored(spark, path(DAILY_PARTIALS), DAILY_PARTIALS)
+    replace(coarser_partials(days, "month"), path(MONTHLY_PARTIALS), MONTHLY_PARTIALS)
+    months = read_stored(spark, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS)
+    for grain, partials in (("day", days), ("month", months), ("year", months)):
+        summary = summary_from_partials(partials, grain).persist()
+        try:
+            store_summary(summary, root, STATISTICS[grain], PRECIPITATION_TOTALS[grain], replace)
+        finally:
+            summary.unpersist()
+
+
+def refresh(spark: SparkSession, root: str, changed: DataFrame) -> None:
+    """Bring the aggregate tables up to date after readings of some (city, datetime) changed.
+
+    Only the changed cities' days are recomputed from the readings, then their months from
+    the day partials and their years from the month partials. What is read is the directories
+    that hold them, what is rewritten the directories of the results.
+    """
+    path = lambda spec: table_path(root, spec)
+    for spec in (OBSERVATIONS, *AGGREGATES):
+        recover(spark, path(spec), spec)
+    days = changed.select("city", bucket(changed, "day").alias("datetime")).distinct().persist()
+    held: list[DataFrame] = [days]
+
+    def of(source: TableSpec, grain: str) -> DataFrame:
+        """Stored rows of the changed cities in their changed periods of ``grain``."""
+        touched = days.select("city", bucket(days, grain).alias("_period")).distinct()
+        names = days.select(bucket(days, grain).alias("_period")).distinct().collect()  # one row for each period
+        rows = read_parts(spark, path(source), source, _directories(source, grain, [r[0] for r in names]))
+        period = bucket(rows, grain)
+        return rows.withColumn("_period", period).join(touched, ["city", "_period"], "left_semi").drop("_period", PARTITION)
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
 
+    try:
+        if days.isEmpty():
+            return
+        fresh = keep(daily_partials(of(OBSERVATIONS, "day")))
+        upsert(fresh, path(DAILY_PARTIALS), DAILY_PARTIALS, rank=[])
+        store_summary(summary_from_partials(fresh, "day"), root, STATISTICS["day"], PRECIPITATION_TOTALS["day"])
+        months = keep(coarser_partials(of(DAILY_PARTIALS, "month"), "month"))
+        upsert(months, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS, rank=[])
+        store_summary(summary_from_partials(months, "month"), root, STATISTICS["month"], PRECIPITATION_TOTALS["month"])
+        years = keep(summary_from_partials(of(MONTHLY_PARTIALS, "year"), "year"))
+        store_summary(years, root, STATISTICS["year"], PRECIPITATION_TOTALS["year"])
+    finally:
+        for df in held:
+            df.unpersist()
 
-def refresh(spark: SparkSession, root: str, days: Sequence[date] | None) -> None:
-    """Bring the aggregate tables up to date after readings of some days changed.
 
-    The days are recomputed from the readings, their months and years from the day
-    partials. ``None`` stands for more days than can be listed: everything is redone.
-    """
-    if days is None:
-        return rollup(spark, root)
-    if not days:
-        return
-    observations = read_stored(spark, table_path(root, OBSERVATIONS), OBSERVATIONS, with_partition=True)
-    changed = observations.filter(F.col(PARTITION).isin(list(days)))
-    upsert(daily_partials(changed), table_path(root, DAILY_PARTIALS), DAILY_PARTIALS, rank=[])
-    for grain in STATISTICS:
-        partials = _covering(spark, root, grain, days)
-        upsert(statistics_from_partials(partials, grain), table_path(root, STATISTICS[grain]),
-               STATISTICS[grain], rank=[])
-        upsert(precipitation_from_partials(partials, grain), table_path(root, PRECIPITATION_TOTALS[grain]),
-               PRECIPITATION_TOTALS[grain], rank=[])
+def _directories(spec: TableSpec, grain: str, periods: Sequence[datetime]) -> set[date]:
+    """Directories of a table that can hold rows of whole periods of ``grain``."""
+    found = set()
+    for start in periods:
+        at, end = floor_to(spec.grain, start), next_period(grain, start)
+        while at < end:
+            found.add(at.date())
+            at = next_period(spec.grain, at)
+    return found
 
 
 def run_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, every: str | None = None,
-               max_files: int | None = None):
+               max_files: int | None = None, archive: str | None = None):
     """Stream landed payloads into the readings and refresh the aggregates of each batch."""
     return ingest(spark, landing, table_path(root, OBSERVATIONS), checkpoint, every, max_files,
-                  after=lambda days: refresh(spark, root, days))
-
-
-def _covering(spark: SparkSession, root: str, grain: str, days: Sequence[date]) -> DataFrame:
-    """Day partials of every whole period of ``grain`` that holds one of the days."""
-    starts = sorted({floor_to(grain, datetime(d.year, d.month, d.day)) for d in days})
-    partials = read_stored(spark, table_path(root, DAILY_PARTIALS), DAILY_PARTIALS,
-                           starts[0], next_period(grain, starts[-1]), with_partition=True)
-    if grain == "year":
-        months = {date(s.year, m, 1) for s in starts for m in range(1, 13)}
-    else:
-        months = {floor_to("month", s).date() for s in starts}
-    partials = partials.filter(F.col(PARTITION).isin(sorted(months)))
-    if grain == "day":
-        partials = partials.filter(F.to_date("datetime").isin(list(days)))
-    return partials.drop(PARTITION)
+                  after=lambda changed: refresh(spark, root, changed), rejects=f"{root.rstrip('/')}/rejected_payloads",
+                  archive=archive)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -115,6 +146,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     landing = commands.add_parser("ingest", help="upsert landed payload files and refresh aggregates")
     landing.add_argument("--landing", required=True)
     landing.add_argument("--checkpoint", required=True)
+    landing.add_argument("--archive", help="where files go once they are processed; they stay by default")
     landing.add_argument("--every", help="interval such as '10 minutes'; once by default")
     commands.add_parser("rollup", help="recompute every aggregate table")
     day = commands.add_parser("day", help="daily tables of one day")
@@ -126,7 +158,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     spark = configure(SparkSession.builder.appName("isobar").getOrCreate())
     if args.command == "ingest":
-        run_ingest(spark, args.landing, args.root, args.checkpoint, args.every).awaitTermination()
+        run_ingest(spark, args.landing, args.root, args.checkpoint, args.every, archive=args.archive).awaitTermination()
     elif args.command == "rollup":
         rollup(spark, args.root)
     else:

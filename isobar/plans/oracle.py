@@ -47,7 +47,7 @@ def _with(*views: str, query: str) -> str:
 def _statistics(grain: str) -> str:
     return f"""
 SELECT city, date_trunc('{grain}', datetime)::TIMESTAMP AS datetime,
-       round(avg(pressure) + 2e-10, 9) AS avg_pressure, round(avg(temp) + 2e-10, 9) AS avg_temp,
+       round(avg(pressure), 9) AS avg_pressure, round(avg(temp), 9) AS avg_temp,
        min(temp_min) AS temp_min, max(temp_max) AS temp_max
 FROM long GROUP BY 1, 2"""
 
@@ -55,24 +55,34 @@ FROM long GROUP BY 1, 2"""
 def _precipitation(grain: str) -> str:
     return f"""
 SELECT city, date_trunc('{grain}', datetime)::TIMESTAMP AS datetime,
-       round(sum(coalesce(rain, 0) + coalesce(snow, 0)) + 2e-10, 9) AS sum_precipitation
+       round(sum(coalesce(rain, 0) + coalesce(snow, 0)), 9) AS sum_precipitation
 FROM long GROUP BY 1, 2"""
 
 
 def _grain(grain: str) -> str:
     return f"""
 SELECT '{grain}' AS grain, city, date_trunc('{grain}', datetime)::TIMESTAMP AS datetime,
-       round(avg(pressure) + 2e-10, 9) AS avg_pressure, round(avg(temp) + 2e-10, 9) AS avg_temp,
+       round(avg(pressure), 9) AS avg_pressure, round(avg(temp), 9) AS avg_temp,
        min(temp_min) AS temp_min, max(temp_max) AS temp_max,
-       round(sum(coalesce(rain, 0) + coalesce(snow, 0)) + 2e-10, 9) AS sum_precipitation
+       round(sum(coalesce(rain, 0) + coalesce(snow, 0)), 9) AS sum_precipitation
 FROM long GROUP BY 2, 3"""
 
 
+def _exact(grain: str) -> str:
+    return f"""
+SELECT '{grain}' AS grain, city, date_trunc('{grain}', datetime)::TIMESTAMP AS datetime,
+       sum(pressure)::DOUBLE / count(pressure) / 1e5::DOUBLE AS avg_pressure,
+       sum(temp)::DOUBLE / count(temp) / 1e5::DOUBLE AS avg_temp,
+       min(temp_min)::DOUBLE / 1e5::DOUBLE AS temp_min, max(temp_max)::DOUBLE / 1e5::DOUBLE AS temp_max,
+       sum(coalesce(rain, 0) + coalesce(snow, 0)) / 1e5::DOUBLE AS sum_precipitation
+FROM units GROUP BY 2, 3"""
+
+
 DAY_SUMMARY = """
 SELECT city, date_trunc('day', datetime)::TIMESTAMP AS datetime,
-       round(avg(pressure) + 2e-10, 9) AS avg_pressure, round(avg(temp) + 2e-10, 9) AS avg_temp,
+       round(avg(pressure), 9) AS avg_pressure, round(avg(temp), 9) AS avg_temp,
        min(temp) AS temp_min, max(temp) AS temp_max,
-       round(sum(coalesce(rain, 0) + coalesce(snow, 0)) + 2e-10, 9) AS sum_precipitation
+       round(sum(coalesce(rain, 0) + coalesce(snow, 0)), 9) AS sum_precipitation
 FROM obs {where} GROUP BY 1, 2"""
 
 WINNERS = _with(LONG, query="""
@@ -116,8 +126,10 @@ SELECT city, datetime, temp_k, round(temp_k - 273.15::DOUBLE, 2) AS celsius FROM
     "json_flatten": FLATTENED,
     "json_flatten_kelvin": _with(OBS, query="""
 SELECT city, date_trunc('second', datetime)::TIMESTAMP AS datetime, main,
-       round(temp_k - 273.15::DOUBLE, 2) AS temp, pressure,
-       coalesce(rain, 0) AS rain, 0::DOUBLE AS snow,
+       round(temp_k - 273.15::DOUBLE, 2) AS temp, round(temp_k - 1 - 273.15::DOUBLE, 2) AS feels_like,
+       round(temp_k - humidity / 10.0::DOUBLE - 273.15::DOUBLE, 2) AS temp_min,
+       round(temp_k + humidity / 10.0::DOUBLE - 273.15::DOUBLE, 2) AS temp_max,
+       pressure, humidity::DOUBLE AS humidity, coalesce(rain, 0) AS rain, coalesce(snow, 0) AS snow,
        date_trunc('second', datetime)::TIMESTAMP AS sunrise, NULL::TIMESTAMP AS sunset
 FROM obs"""),
     "json_insert": _with(OBS, query="""
@@ -127,14 +139,26 @@ SELECT city, date_trunc('second', datetime)::TIMESTAMP AS datetime, main, NULL::
        NULL::INT AS visibility, temp_k AS wind_speed, NULL::DOUBLE AS wind_deg, NULL::DOUBLE AS wind_gust,
        rain, snow, NULL::INT AS clouds, NULL::TIMESTAMP AS sunrise, NULL::TIMESTAMP AS sunset
 FROM obs"""),
-    "to_json_rows": _with(OBS, query="SELECT city, main, temp, humidity, rain FROM obs"),
+    "to_json_rows": _with(OBS, query="""
+SELECT * REPLACE (date_trunc('millisecond', datetime)::TIMESTAMP AS datetime) FROM obs"""),
+    "payload_rejects": _with(OBS, query="""
+SELECT city, CASE WHEN humidity % 7 > 3 THEN date_trunc('second', datetime)::TIMESTAMP END AS datetime,
+       CASE WHEN humidity % 7 = 4 THEN 100000.25::DOUBLE WHEN humidity % 7 > 4 THEN 55.126::DOUBLE END AS humidity,
+       CASE WHEN humidity % 7 > 3 THEN humidity END AS visibility,
+       ['no payload', 'broken text', 'no time', 'time out of range', 'kept', 'kept', 'kept'][humidity % 7 + 1] AS outcome
+FROM obs"""),
     "agg_daily": _with(LONG, query=_statistics("day")),
     "agg_monthly": _with(LONG, query=_statistics("month")),
     "agg_yearly": _with(LONG, query=_statistics("year")),
     "rollup_from_daily": _with(LONG, query=_statistics("month")),
     "agg_monthly_precip": _with(LONG, query=_precipitation("month")),
     "agg_yearly_precip": _with(LONG, query=_precipitation("year")),
-    "agg_all_grains": _with(LONG, query="\nUNION ALL".join(_grain(g) for g in ("day", "month", "year"))),
+    "agg_all_grains": _with(LONG, query=f"""
+, units AS (
+  SELECT city, datetime, CAST(round(temp * 1e5) AS BIGINT) AS temp, CAST(round(temp_min * 1e5) AS BIGINT) AS temp_min,
+         CAST(round(temp_max * 1e5) AS BIGINT) AS temp_max, CAST(round(pressure * 1e5) AS BIGINT) AS pressure,
+         round(rain * 1e5) AS rain, round(snow * 1e5) AS snow FROM long)
+{" UNION ALL ".join(_exact(g) for g in ("day", "month", "year"))}"""),
     "counter_merge": _with(LONG, query=_precipitation("month")),
     "daily_stats_window": _with(OBS, query=f"""
 SELECT city, datetime, avg_pressure, avg_temp, temp_min, temp_max FROM ({DAY_SUMMARY.format(where='')})"""),
@@ -150,16 +174,16 @@ SELECT city, datetime, sum_precipitation FROM ({DAY_SUMMARY.format(where='')})""
   FROM obs GROUP BY city)
 SELECT region, subregion, name, grouping(region, subregion, name)::INT AS level,
        count(*) AS n_cities, coalesce(sum(n), 0)::BIGINT AS n_readings,
-       round(sum(temp_sum) / sum(temp_count) + 2e-10, 9) AS avg_temp,
+       round(sum(temp_sum) / sum(temp_count), 9) AS avg_temp,
        min(temp_min) AS temp_min, max(temp_max) AS temp_max,
-       round(sum(precipitation) + 2e-10, 9) AS sum_precipitation
+       round(sum(precipitation), 9) AS sum_precipitation
 FROM cities JOIN countries ON country_id = id LEFT JOIN per_city USING (city)
 GROUP BY ROLLUP (region, subregion, name)"""),
     "coverage": _with(OBS, LISTED, query="""
 SELECT date_trunc('day', datetime)::TIMESTAMP AS run, count(*) AS n_fetched,
        count(DISTINCT (obs.city, datetime)) AS n_loaded, count(DISTINCT listed.city) AS n_covered,
        (SELECT count(*) FROM listed) AS n_cities,
-       round(count(DISTINCT listed.city)::DOUBLE / (SELECT count(*) FROM listed) + 2e-10, 9) AS coverage
+       round(count(DISTINCT listed.city)::DOUBLE / (SELECT count(*) FROM listed), 9) AS coverage
 FROM obs LEFT JOIN listed ON obs.city = listed.city GROUP BY 1"""),
     "latest_per_city": _with(OBS, query="""
 SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1"""),
@@ -168,8 +192,10 @@ SELECT city, datetime, temp, pressure FROM obs
 QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) <= 3"""),
     "history_desc": _with(OBS, query="SELECT city, datetime, temp FROM obs ORDER BY city, datetime DESC"),
     "trend_delta": _with(OBS, query="""
-SELECT city, datetime, temp, humidity,
-       round(temp - lag(temp) OVER w + 2e-10, 9) AS temp_delta, humidity - lag(humidity) OVER w AS humidity_delta
+SELECT city, datetime, temp, humidity, temp_k / 10 AS wind_speed, humidity::DOUBLE AS wind_deg,
+       round(temp - lag(temp) OVER w, 9) AS temp_delta, humidity - lag(humidity) OVER w AS humidity_delta,
+       round(temp_k / 10 - lag(temp_k / 10) OVER w, 9) AS wind_speed_delta,
+       humidity::DOUBLE - lag(humidity::DOUBLE) OVER w AS wind_deg_delta
 FROM obs WINDOW w AS (PARTITION BY city ORDER BY datetime)"""),
     "fk_city_country": _with(CITIES, COUNTRIES, query="""
 SELECT city, lat, lng, country_id, name, subregion, region FROM cities JOIN countries ON country_id = id"""),
@@ -189,7 +215,15 @@ SELECT listed.city, lat, lng FROM listed LEFT JOIN first_site ON listed.city = f
     "union_batches": _with(OBS, query="""
 SELECT city, datetime, main, temp, CASE WHEN main IN ('view', 'signup') THEN humidity END AS humidity FROM obs"""),
     "csv_dimension": _with(COUNTRIES, query="SELECT * FROM countries"),
-    "bulk_load": _with(CITIES, query="SELECT * FROM cities"),
+    "bulk_load": _with(CITIES, query="SELECT *, (lat + 1075)::BIGINT AS city_id FROM cities"),
+    "table_roundtrip": WINNERS,
+    "process_day_stored": _with(OBS, query=DAY_SUMMARY.format(
+        where="WHERE datetime >= TIMESTAMP '2024-01-05' AND datetime < TIMESTAMP '2024-01-06'")),
+    "refresh_stored": _with(OBS, query="\nUNION ALL".join(_grain(g).replace("FROM long", "FROM obs") for g in ("day", "month", "year"))),
+    "document_insert": _with(OBS, query="""
+SELECT city, date_trunc('second', datetime)::TIMESTAMP AS datetime, main, temp, pressure FROM obs
+QUALIFY row_number() OVER (
+  PARTITION BY city, date_trunc('second', datetime) ORDER BY temp DESC, pressure DESC, main DESC) = 1"""),
     # Of two readings in one second the greater payload text wins: an empty
     # condition list sorts below a filled one, then the condition and Kelvin text.
     "stream_ingest": FLATTENED + """

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from isobar.schemas import DOUBLE, KEY, PRECIPITATION, TEXT, TableSpec, columns
-from isobar.session import configure
+from isobar.schemas import DOUBLE, KEY, OBSERVATION_SCHEMA, PRECIPITATION, TEXT, TableSpec, columns
 
 LONG_SCHEMA = columns(
     KEY, city=TEXT, datetime=TimestampNTZType(), temp=DOUBLE, temp_min=DOUBLE, temp_max=DOUBLE,
@@ -16,7 +15,6 @@ LONG_READINGS = TableSpec("long_readings", LONG_SCHEMA, KEY, "year")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +56,15 @@ def observations_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_units(readings: DataFrame) -> DataFrame:
+    """Measures as whole numbers of 1e-5."""
+    units = lambda c: F.round(F.col(c) * 1e5)
+    return readings.withColumns({
+        **{c: units(c).cast("long") for c in ("temp", "temp_min", "temp_max", "pressure")},
+        "precipitation": F.struct(*[units(f"precipitation.{c}").alias(c) for c in ("rain", "snow")]),
+    })
+
+
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities that readings come from."""
     return table(spark, sf_dir, "events").select("user_id").distinct().select(
@@ -68,6 +75,16 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def numbered_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cities(spark, sf_dir).withColumn("city_id", (F.col("lat") + 1075).cast("long"))
+
+
+def as_observations(obs: DataFrame) -> DataFrame:
+    """Readings with every column of the stored table; what the fixture lacks is null."""
+    value = lambda f: F.col(f.name) if f.name in obs.columns else F.lit(None)
+    return obs.select(*[value(f).cast(f.dataType).alias(f.name) for f in OBSERVATION_SCHEMA])
+
+
 def listed_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longer list of cities to be polled; many have no readings."""
     return table(spark, sf_dir, "customer").select(
@@ -115,6 +132,23 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs.select("city", F.to_json(payload).alias("raw"))
 
 
+def rough_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as a service may send them: some missing, broken, without or with odd times and numbers."""
+    k, second = F.col("humidity"), F.unix_timestamp(F.col("datetime").cast("timestamp"))
+    decimal = F.concat(second.cast("string"), F.lit(".0"))
+    text = lambda dt, humidity, rest="": F.concat(
+        F.lit('{"dt":'), dt, F.lit(',"main":{"humidity":'), humidity, F.lit('},"visibility":'), k.cast("string"), F.lit(".0}"))
+    raw = (
+        F.when(k % 7 == 0, F.lit(None).cast("string"))
+        .when(k % 7 == 1, F.lit('{"dt": 17'))
+        .when(k % 7 == 2, F.lit('{"main": {"humidity": 5}}'))
+        .when(k % 7 == 3, text(F.lit("100000000000000000"), F.lit("5")))
+        .when(k % 7 == 4, text(decimal, F.lit("100000.25")))
+        .otherwise(text(decimal, F.lit("55.126")))
+    )
+    return observations(spark, sf_dir).select("city", raw.alias("raw"))
+
+
 def flat_readings(observed: DataFrame) -> DataFrame:
     """Typed readings with structs spread and zone-free times, for comparison."""
     nested = {"wind": ("speed", "deg", "gust"), "precipitation": ("rain", "snow")}

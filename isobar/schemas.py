@@ -29,7 +29,7 @@ PRECIPITATION = columns(rain=DOUBLE, snow=DOUBLE)
 OBSERVATION_SCHEMA = columns(
     KEY, city=TEXT, datetime=TIME, main=TEXT, description=TEXT,
     temp=DOUBLE, feels_like=DOUBLE, temp_min=DOUBLE, temp_max=DOUBLE, pressure=DOUBLE,
-    humidity=DecimalType(5, 2), sea_level=DOUBLE, grnd_level=DOUBLE, visibility=INT,
+    humidity=DecimalType(38, 18), sea_level=DOUBLE, grnd_level=DOUBLE, visibility=INT,
     wind=WIND, precipitation=PRECIPITATION, clouds=INT, sunrise=TIME, sunset=TIME,
 )
 STATISTICS_SCHEMA = columns(
@@ -40,25 +40,26 @@ PARTIALS_SCHEMA = columns(
     KEY, city=TEXT, datetime=TIME, n=LONG, temp_sum=DOUBLE, temp_count=LONG,
     pressure_sum=DOUBLE, pressure_count=LONG, temp_min=DOUBLE, temp_max=DOUBLE, sum_precipitation=DOUBLE,
 )
-CITIES_SCHEMA = columns(("city",), city=TEXT, lat=DOUBLE, lng=DOUBLE, country_id=INT)
+CITIES_SCHEMA = columns(("city",), city=TEXT, lat=DOUBLE, lng=DOUBLE, country_id=INT, city_id=LONG)
 COUNTRIES_SCHEMA = columns(("id",), id=INT, name=TEXT, subregion=TEXT, region=TEXT)
 
-# Raw reading as delivered: Kelvin, epoch seconds, amounts per hour under '1h'.
+# Raw reading as delivered: Kelvin, epoch seconds, amounts per hour under '1h'. Whole
+# numbers may come with a decimal point, so they are read as doubles and cast.
 PAYLOAD_SCHEMA = columns(
-    dt=LONG,
+    dt=DOUBLE,
     weather=ArrayType(columns(main=TEXT, description=TEXT)),
     main=columns(temp=DOUBLE, feels_like=DOUBLE, temp_min=DOUBLE, temp_max=DOUBLE,
                  pressure=DOUBLE, humidity=DOUBLE, sea_level=DOUBLE, grnd_level=DOUBLE),
-    visibility=INT, wind=WIND, rain=MapType(TEXT, DOUBLE), snow=MapType(TEXT, DOUBLE),
-    clouds=columns(all=INT), sys=columns(sunrise=LONG, sunset=LONG),
+    visibility=DOUBLE, wind=WIND, rain=MapType(TEXT, DOUBLE), snow=MapType(TEXT, DOUBLE),
+    clouds=columns(all=DOUBLE), sys=columns(sunrise=DOUBLE, sunset=DOUBLE),
 )
 # The same reading already flattened, with Kelvin, epoch ``time`` and rain/snow
 # either a whole object or the number 0, hence text.
 FLAT_SCHEMA = columns(
-    city=TEXT, time=LONG, main=TEXT, description=TEXT, temp=DOUBLE, feels_like=DOUBLE,
+    city=TEXT, time=DOUBLE, main=TEXT, description=TEXT, temp=DOUBLE, feels_like=DOUBLE,
     temp_min=DOUBLE, temp_max=DOUBLE, pressure=DOUBLE, humidity=DOUBLE, sea_level=DOUBLE,
-    grnd_level=DOUBLE, visibility=INT, wind=WIND, precipitation=columns(rain=TEXT, snow=TEXT),
-    clouds=INT, sunrise=LONG, sunset=LONG,
+    grnd_level=DOUBLE, visibility=DOUBLE, wind=WIND, precipitation=columns(rain=TEXT, snow=TEXT),
+    clouds=DOUBLE, sunrise=DOUBLE, sunset=DOUBLE,
 )
 LANDED_SCHEMA = columns(city=TEXT, raw=TEXT)
 
@@ -104,6 +105,9 @@ class TableSpec:
 
 OBSERVATIONS = TableSpec("realtime_weather", OBSERVATION_SCHEMA, KEY, "day")
 DAILY_PARTIALS = TableSpec("daily_partials", PARTIALS_SCHEMA, KEY, "month")
+MONTHLY_PARTIALS = TableSpec("monthly_partials", PARTIALS_SCHEMA, KEY, "year")
+# Daily extremes of ``temp`` itself; those of STATISTICS are of the readings' own temp_min and temp_max.
+DAY_SUMMARY = TableSpec("daily_summary", STATISTICS_SCHEMA, KEY, "month")
 CITIES = TableSpec("cities", CITIES_SCHEMA, ("city",), buckets=4)
 COUNTRIES = TableSpec("countries", COUNTRIES_SCHEMA, ("id",), buckets=1)
 
@@ -119,7 +123,7 @@ PRECIPITATION_TOTALS = {
 }
 TABLES = {
     spec.name: spec
-    for spec in (OBSERVATIONS, DAILY_PARTIALS, CITIES, COUNTRIES,
+    for spec in (OBSERVATIONS, DAILY_PARTIALS, MONTHLY_PARTIALS, DAY_SUMMARY, CITIES, COUNTRIES,
                  *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
 }
 

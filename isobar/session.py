@@ -43,11 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables.
 
     On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``.
-    Only where that is unset, as in local tests, a temporary folder is made.
+    Only in local mode, and where that is unset, a temporary folder is made.
     """
     global _local_scratch
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="isobar-", ignore_cleanup_errors=True)
         shared = _local_scratch.name

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from isobar.schemas import PARTITION, TableSpec, columns_ddl
+from isobar.sinks.files import Folder
 
 MODES = ("append", "overwrite", "ignore")
+# Formats that a catalog table can hold; any other name is a connector.
+CATALOG_FORMATS = ("parquet", "orc", "json", "csv", "text")
 
 
 def create_table(spark: SparkSession, database: str, spec: TableSpec, location: str | None = None) -> str:
@@ -19,27 +22,33 @@ def create_table(spark: SparkSession, database: str, spec: TableSpec, location:
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(spec.stored_schema)})
         USING parquet PARTITIONED BY ({PARTITION}) {at}
-        TBLPROPERTIES ('key' = '{",".join(spec.keys)}')
+        TBLPROPERTIES ('key' = '{",".join(spec.keys)}', 'layout' = '{spec.grain or spec.buckets}')
     """)
-    if location:
+    known = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if known.get("layout") != f"{spec.grain or spec.buckets}":
+        raise ValueError(f"{name} is laid out by {known.get('layout')}, not {spec.grain or spec.buckets}")
+    if location and Folder(spark, location).has(""):
         spark.sql(f"MSCK REPAIR TABLE {name}")
         spark.catalog.refreshTable(name)
     return name
 
 
 def write_table(df: DataFrame, database: str, table: str, mode: str = "append", fmt: str = "parquet",
-                partition_by: Sequence[str] = (), **options: str) -> None:
-    """Write to a catalog table, or through a connector when options are given.
+                partition_by: Sequence[str] = (), names: tuple[str, str] = ("keyspace", "table"), **options: str) -> None:
+    """Write to a catalog table with the format's options, or through a connector.
+
+    A connector is any format that is not a built-in file format; it gets the database
+    and table as the options called ``names``.
 
     This is the plain write: ``append`` does not look at keys, see
     :func:`isobar.sinks.upsert.upsert` for that.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode}")
-    writer = df.write.format(fmt).mode(mode)
+    writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if options:
-        writer.options(**options).save()
-    else:
+    if fmt in CATALOG_FORMATS:
         writer.saveAsTable(f"`{database}`.`{table}`")
+    else:
+        writer.options(**dict(zip(names, (database, table)))).save()

@@ -1,54 +1,60 @@
 """Keyed upsert into a partitioned parquet table.
 
-Parquet has no MERGE, so only the directories a batch touches are read, merged
-and swapped by dynamic partition overwrite. Old files stay until that job commits,
-so a lost executor only repeats tasks. The commit itself deletes and renames: where
-stored rows are at stake, the merged rows are therefore first written beside the
-table, and a driver lost in between is made good by the next ``upsert`` or
-``recover``. One writer at a time.
+Parquet has no MERGE, so the directories a batch touches are read, merged and written
+anew, beside the table and in their final layout; then they are renamed into place. Only
+those directories are opened and listed, so the cost follows the batch, not the table.
+A mark stands while renames are under way: readers then take the new directories from
+beside the table, and a writer first finishes what a lost driver left. One writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isobar.functions.temporal import floor_to, in_period
 from isobar.operators.merging import last_write, merge
 from isobar.schemas import PARTITION, TableSpec
 from isobar.session import require_utc
+from isobar.sinks.files import Folder
 
-# One directory per calendar day makes this 27 years; larger batches still merge,
-# matching directories by a join instead of a literal list.
-LISTED_PARTITIONS = 10_000
+# Names starting with an underscore are hidden from Spark's own reads of the table.
+NEW, MARK, LAYOUT = "_new", "_moving", "_layout"
+UPSERT, REPLACE = "upsert", "replace"
+STATEMENT_PARTITIONS = 500  # partitions named in one catalog statement; more take several
 
 
 def read_stored(spark: SparkSession, path: str, spec: TableSpec, start: datetime | None = None,
                 end: datetime | None = None, with_partition: bool = False) -> DataFrame:
-    """Read an upserted table, pruning directories and rows to ``[start, end)``."""
-    df = _stored(spark, path, spec)
+    """Read an upserted table whole, or rows in ``[start, end)`` from the directories that can hold them."""
+    names = None
+    if spec.grain and (start is not None or end is not None):
+        low = _name(floor_to(spec.grain, start).date()) if start is not None else ""
+        high = _name(floor_to("day", end).date()) if end is not None else "~"
+        names = lambda n: low <= n <= high
+    df = _opened(spark, path, spec, names)
     if spec.grain:
-        if start is not None:
-            df = df.filter(F.col(PARTITION) >= F.lit(floor_to(spec.grain, start).date()))
-        if end is not None:
-            df = df.filter(F.col(PARTITION) <= F.lit(floor_to("day", end).date()))
         df = in_period(df, start, end)
     return df if with_partition else df.drop(PARTITION)
 
 
-def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) -> list[date | int] | None:
-    """Insert or replace the batch's rows by key.
+def read_parts(spark: SparkSession, path: str, spec: TableSpec, parts: Iterable[date | int]) -> DataFrame:
+    """Rows of the named directories, with their partition column; those that don't exist have none."""
+    wanted = {_name(p) for p in parts}
+    return _opened(spark, path, spec, wanted.__contains__, wanted)
 
-    Returns the touched directories, or None where they are too many to list.
+
+def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], table: str | None = None) -> list[date | int]:
+    """Insert or replace the batch's rows by key and return the touched directories.
 
     ``rank`` names the columns that decide between copies of a key inside the batch
     (greatest wins); they need not be stored. Pass an empty list only for a batch
     whose keys are unique, such as an aggregate grouped by them. Rows already
     stored always yield to the batch, so repeating a batch changes nothing.
+    ``table`` names a catalog table over the path, which is told of new directories.
     """
     spark = batch.sparkSession
     require_utc(spark)
@@ -56,47 +62,41 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str]) ->
     rows = last_write(batch, spec.keys, rank) if rank else batch
     rows = _shaped(rows, spec).persist()
     try:
-        touched = (
-            rows.groupBy(PARTITION).agg(F.bool_or(_keyless(spec)).alias("keyless"))
-            .limit(LISTED_PARTITIONS + 1).collect()
-        )
+        # One row for each directory, which the driver has to name to open it.
+        touched = rows.groupBy(PARTITION).agg(F.bool_or(_keyless(spec)).alias("keyless")).collect()
         if not touched:
             return []
-        listed = len(touched) <= LISTED_PARTITIONS
-        keyed = not any(r.keyless for r in touched) if listed else _all_keyed(rows, spec)
-        if not keyed:
+        if any(r.keyless for r in touched):
             raise ValueError(f"null in the key {spec.keys} of {spec.name}")
-        parts = [r[PARTITION] for r in touched] if listed else None
-        existing = _existing(spark, path, spec, parts, rows)
-        if existing is None:
-            _overwrite(rows, path, spec)
-        else:
-            merge(existing, rows, spec.keys).write.mode("overwrite").parquet(_pending(path))
-            _mark_pending(spark, path, True)
-            _take_over(spark, path, spec)
-        return sorted(parts) if parts is not None else None
+        parts = sorted(r[PARTITION] for r in touched)
+        _check_layout(spark, path, spec)
+        known = [p for p in parts if Folder(spark, path).has(_name(p))]
+        merged = merge(read_parts(spark, path, spec, known), rows, spec.keys) if known else rows
+        _write_beside(merged, path, spec)
+        _move(spark, path, spec, UPSERT, table)
+        return parts
     finally:
         rows.unpersist()
 
 
-def recover(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Swap merged rows in that were written but not yet taken over; repeating it is harmless."""
-    if _is_pending(spark, path):
-        _take_over(spark, path, spec)
+def replace(df: DataFrame, path: str, spec: TableSpec, table: str | None = None) -> None:
+    """Write a whole table anew; its keys must be unique. Until the new rows are complete the old ones stay."""
+    spark = df.sparkSession
+    require_utc(spark)
+    recover(spark, path, spec)
+    _check_layout(spark, path, spec)
+    _write_beside(_shaped(df, spec), path, spec)
+    _move(spark, path, spec, REPLACE, table)
 
 
-def replace(df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Write a whole table anew; ``df`` must not read ``path`` and its keys must be unique."""
-    require_utc(df.sparkSession)
-    _overwrite(_shaped(df, spec), path, spec, mode="static")
+def recover(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Finish the renames that a lost driver left; repeating it is harmless."""
+    if Folder(spark, path).has(MARK):
+        _finish(spark, path, spec)
 
 
-def upsert_merging(batch: DataFrame, table: str, spec: TableSpec, rank: Sequence[str]) -> None:
-    """The same upsert through MERGE INTO, for catalog tables whose format supports it."""
-    require_utc(batch.sparkSession)
-    rows = _shaped(last_write(batch, spec.keys, rank) if rank else batch, spec).alias("batch")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"batch.{k}") for k in spec.keys])
-    rows.mergeInto(table, same_key).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+def _name(part: date | int) -> str:
+    return f"{PARTITION}={part}"
 
 
 def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -104,61 +104,81 @@ def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:
     return typed.withColumn(PARTITION, spec.partition(typed))
 
 
-def _stored(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    return spark.read.schema(spec.stored_schema).parquet(path)
-
-
-def _existing(spark: SparkSession, path: str, spec: TableSpec, parts: list | None,
-              rows: DataFrame) -> DataFrame | None:
-    """Stored rows of the touched directories, or None where there are none."""
-    try:
-        stored = _stored(spark, path, spec)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    if parts is None:
-        touched = stored.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
-    else:
-        touched = stored.filter(F.col(PARTITION).isin(parts))
-    return None if touched.isEmpty() else touched
-
-
-# Names starting with an underscore are hidden from reads of the table.
-def _pending(path: str) -> str:
-    return f"{path}/_pending/rows"
-
-
-def _take_over(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    _overwrite(spark.read.schema(spec.stored_schema).parquet(_pending(path)), path, spec)
-    _mark_pending(spark, path, False)
-
-
-def _mark_pending(spark: SparkSession, path: str, pending: bool) -> None:
-    spark.range(int(pending)).coalesce(1).write.mode("overwrite").parquet(f"{path}/_pending/mark")
-
+def _opened(spark: SparkSession, path: str, spec: TableSpec, wanted=None, among: set[str] | None = None) -> DataFrame:
+    """The table's directories that are ``wanted`` (all by default), as they will be once renames are finished.
 
-def _is_pending(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.schema("id bigint").parquet(f"{path}/_pending/mark").isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-
-
-def _keyless(spec: TableSpec) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
-
-
-def _all_keyed(rows: DataFrame, spec: TableSpec) -> bool:
-    return rows.filter(_keyless(spec)).isEmpty()
-
-
-def _overwrite(df: DataFrame, path: str, spec: TableSpec, mode: str = "dynamic") -> None:
+    ``among`` spares the listing of the root where the possible names are known.
+    """
+    folder, beside = Folder(spark, path), Folder(spark, f"{path}/{NEW}")
+    mark = folder.read(MARK)
+    here = {n for n in among if folder.has(n)} if among is not None else set(folder.directories(f"{PARTITION}="))
+    there: set[str] = set()
+    if mark is not None:
+        mode, *names = mark.split("\n")
+        there = {n for n in names if beside.has(n)}
+        here = (here & set(names) if mode == REPLACE else here) - there
+    frames = [
+        spark.read.schema(spec.stored_schema).option("basePath", base).parquet(*[f"{base}/{n}" for n in sorted(names)])
+        for base, found in ((path, here), (f"{path}/{NEW}", there))
+        if (names := [n for n in found if wanted is None or wanted(n)])
+    ]
+    if not frames:
+        if among is None and not folder.has(""):
+            raise FileNotFoundError(f"no table at {path}")
+        return spark.createDataFrame([], spec.stored_schema)
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _check_layout(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """The number of hashed directories is part of a stored table: another one would put a key in two places."""
+    folder, layout = Folder(spark, path), f"{spec.grain or spec.buckets}"
+    known = folder.read(LAYOUT)
+    if known is None:
+        folder.write(LAYOUT, layout)
+    elif known != layout:
+        raise ValueError(f"{path} is laid out by {known}, not {layout}")
+
+
+def _write_beside(df: DataFrame, path: str, spec: TableSpec) -> None:
     # Rebalancing sizes files by bytes: adaptive execution splits a large
     # directory over tasks and joins small ones, whatever city dominates it.
     (df.hint("rebalance", PARTITION)
        .sortWithinPartitions(PARTITION, *spec.sort_columns())
-       .write.mode("overwrite").option("partitionOverwriteMode", mode)
-       .partitionBy(PARTITION).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(PARTITION).parquet(f"{path}/{NEW}"))
+
+
+def _move(spark: SparkSession, path: str, spec: TableSpec, mode: str, table: str | None) -> None:
+    names = Folder(spark, f"{path}/{NEW}").directories(f"{PARTITION}=")
+    Folder(spark, path).write(MARK, "\n".join([mode, *names]))
+    _finish(spark, path, spec)
+    if table:
+        _tell_catalog(spark, table, spec, mode, names)
+
+
+def _finish(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    folder, beside = Folder(spark, path), Folder(spark, f"{path}/{NEW}")
+    mode, *names = folder.read(MARK).split("\n")
+    for name in names:
+        if beside.has(name):
+            folder.take(f"{NEW}/{name}", name)
+    if mode == REPLACE:
+        for name in set(folder.directories(f"{PARTITION}=")) - set(names):
+            folder.remove(name)
+    folder.remove(MARK)
+    folder.remove(NEW)
+    spark.catalog.refreshByPath(path)  # frames cached over the old files
+
+
+def _tell_catalog(spark: SparkSession, table: str, spec: TableSpec, mode: str, names: list[str]) -> None:
+    if mode == REPLACE:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    for i in range(0, len(names), STATEMENT_PARTITIONS):
+        value = lambda n: f"DATE'{n}'" if spec.grain else n
+        parts = " ".join(f"PARTITION ({PARTITION}={value(n.partition('=')[2])})" for n in names[i:i + STATEMENT_PARTITIONS])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(table)
+
+
+def _keyless(spec: TableSpec) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])

@@ -12,14 +12,19 @@ ALIASES = {
     "latitude": "lat", "lattitude": "lat",
     "longitude": "lng", "longtitude": "lng",
     "time": "datetime",
+    "name": "city",
 }
 
 
-def harmonise(df: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
-    """Rename known spellings, leaving a name alone where its target already exists."""
-    present = set(df.columns)
+def harmonise(df: DataFrame, schema: StructType | None = None, aliases: dict[str, str] = ALIASES) -> DataFrame:
+    """Rename known spellings, leaving a name alone where its target already exists.
+
+    With the ``schema`` of the target table only its own columns are targets, and none of them is renamed.
+    """
+    present, wanted = set(df.columns), set(schema.fieldNames()) if schema else None
+    fits = lambda old, new: new != "city" if wanted is None else new in wanted and old not in wanted
     return df.withColumnsRenamed(
-        {old: new for old, new in aliases.items() if old in present and new not in present}
+        {old: new for old, new in aliases.items() if old in present and new not in present and fits(old, new)}
     )
 
 
@@ -35,11 +40,13 @@ def read_dimension(spark: SparkSession, path: str, schema: StructType) -> DataFr
 def bulk_load(spark: SparkSession, path: str, columns: Sequence[str], schema: StructType) -> DataFrame:
     """Read a CSV by position: the caller's column list replaces the skipped header.
 
-    Only ``schema``'s columns are kept, cast to its types.
+    Only ``schema``'s columns are kept, cast to its types; those the list lacks are null
+    where they may be.
     """
     text = StructType([StructField(c, StringType()) for c in columns])
-    rows = harmonise(spark.read.csv(path, schema=text, header=True, enforceSchema=True, mode="FAILFAST"))
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    rows = harmonise(spark.read.csv(path, schema=text, header=True, enforceSchema=True, mode="FAILFAST"), schema)
+    value = lambda f: F.lit(None) if f.nullable and f.name not in rows.columns else F.col(f.name)
+    return rows.select(*[value(f).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

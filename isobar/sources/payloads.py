@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from isobar.functions.readings import (
-    epoch_to_timestamp, first_field, hourly_amount, kelvin_to_celsius,
+    EPOCH_RANGE, epoch_to_timestamp, first_field, hourly_amount, kelvin_to_celsius,
 )
 from isobar.schemas import FLAT_SCHEMA, LANDED_SCHEMA, OBSERVATION_SCHEMA, PAYLOAD_SCHEMA
 
@@ -21,15 +21,13 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_payloads(landed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One typed row per payload that has a time; others are dropped.
+    """One typed row per payload that has a time; see ``rejected_payloads`` for the others.
 
     Each text is parsed once: a filter on a field of ``from_json`` would be pushed
     below the projection and parse the text again, but does not cross the generator.
+    A number that does not fit its column is null, the row stays.
     """
-    parsed = landed.select(
-        F.col("city").alias("_city"), *keep,
-        F.inline(F.array(F.from_json("raw", PAYLOAD_SCHEMA))),
-    ).filter(F.col("dt").isNotNull())
+    parsed = _parsed(landed, keep).filter(F.col("dt").between(*EPOCH_RANGE))
     values = {
         "city": F.col("_city"),
         "datetime": epoch_to_timestamp("dt"),
@@ -46,11 +44,30 @@ def parse_payloads(landed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _observations(parsed, values, keep)
 
 
+def rejected_payloads(landed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """city, raw and the reason of every payload that gives no reading."""
+    time = F.col("dt")
+    reason = (
+        F.when(F.col("_raw").isNull(), "no payload")
+        .when(F.get_json_object("_raw", "$").isNull(), "broken text")
+        .when(time.isNull(), "no time")
+        .when(~time.between(*EPOCH_RANGE), "time out of range")
+    )
+    return _parsed(landed, keep).select(F.col("_city").alias("city"), F.col("_raw").alias("raw"), *keep, reason.alias("reason")).filter(
+        F.col("reason").isNotNull())
+
+
+def _parsed(landed: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return landed.select(
+        F.col("city").alias("_city"), F.col("raw").alias("_raw"), *[c for c in keep if c != "raw"],
+        *([F.col("raw")] if "raw" in keep else []), F.inline(F.array(F.from_json("raw", PAYLOAD_SCHEMA))))
+
+
 def parse_flat_documents(documents: DataFrame, column: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
     """The flat Kelvin variant with epoch ``time``, brought to the same typed rows."""
     parsed = documents.select(
         *keep, F.inline(F.array(F.from_json(column, FLAT_SCHEMA)))
-    ).filter(F.col("time").isNotNull())
+    ).filter(F.col("time").between(*EPOCH_RANGE))
     amount = lambda name: hourly_amount(F.from_json(f"precipitation.{name}", "map<string, double>"))
     values = {
         "datetime": epoch_to_timestamp("time"),
@@ -87,7 +104,7 @@ def to_documents(df: DataFrame, column: str = "doc", keep: Sequence[str] = ()) -
 
 def _observations(parsed: DataFrame, values: dict[str, Column], keep: Sequence[str]) -> DataFrame:
     return parsed.select(*keep, *[
-        values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+        values.get(f.name, F.col(f.name)).try_cast(f.dataType).alias(f.name)
         for f in OBSERVATION_SCHEMA.fields
     ])
 

@@ -10,14 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 def read_table(spark: SparkSession, database: str, table: str,
                columns: Sequence[str] | None = None, where: Column | str | None = None,
-               fmt: str | None = None, **options: str) -> DataFrame:
-    """Scan a catalog table, or a connector's when ``fmt`` and its options are given.
+               fmt: str | None = None, names: tuple[str, str] = ("keyspace", "table"), **options: str) -> DataFrame:
+    """Scan a catalog table, or a connector's when its format is given.
+
+    Reader options apply to either; a connector gets the database and table as the options
+    called ``names``. A built-in file format is read by its ``path`` option.
 
     The predicate is applied before the projection, so it may use columns that
     are not selected; both reach the scan.
     """
-    df = (spark.read.format(fmt).options(**options).load() if fmt
-          else spark.table(f"`{database}`.`{table}`"))
+    reader = spark.read.options(**options)
+    if fmt is None:
+        df = reader.table(f"`{database}`.`{table}`")
+    elif "path" in options:
+        df = reader.format(fmt).load()
+    else:
+        df = reader.format(fmt).options(**dict(zip(names, (database, table)))).load()
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df

@@ -26,8 +26,10 @@ def test_reordered_header_is_an_error(spark, tmp_path):
 
 def test_bulk_load_binds_by_position(spark, tmp_path):
     path = written(tmp_path, "w,x,y,z,extra\n7,100,Avalon,1.5,-2.25\n")
-    loaded = bulk_load(spark, path, ["country_id", "city_id", "city", "latitude", "longitude"], CITIES_SCHEMA)
-    assert [tuple(r) for r in loaded.collect()] == [("Avalon", 1.5, -2.25, 7)]
+    loaded = bulk_load(spark, path, ["country_id", "city_id", "name", "latitude", "longitude"], CITIES_SCHEMA)
+    assert [tuple(r) for r in loaded.collect()] == [("Avalon", 1.5, -2.25, 7, 100)]
+    countries = bulk_load(spark, written(tmp_path, "a,b,c,d\n1,France,W,E\n"), ["id", "name", "subregion", "region"], COUNTRIES_SCHEMA)
+    assert [tuple(r) for r in countries.collect()] == [(1, "France", "W", "E")]
 
 
 def test_spellings(spark):

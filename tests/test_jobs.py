@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from isobar.functions.temporal import period_range
 from isobar.operators import rollups
 from isobar.plans import jobs
-from isobar.plans.jobs import insert_documents, process_day, refresh, table_path
-from isobar.schemas import CITIES, DAILY_PARTIALS, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
+from isobar.plans.jobs import insert_documents, process_day, refresh, rollup, table_path
+from isobar.schemas import CITIES, DAILY_PARTIALS, DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
 from isobar.sinks.upsert import read_stored, upsert
 from readings import close, random_readings, rows
 
@@ -37,37 +37,45 @@ def assert_current(spark, root):
                      rows(rollups.precipitation(observations, grain)))
 
 
-def test_rollup_then_refresh(spark, root):
-    refresh(spark, root, None)
+def test_rollup_then_refresh(spark, root, monkeypatch):
+    rollup(spark, root)
     assert_current(spark, root)
     document = {"city": "HOT", "datetime": "2022-12-28 23:59:59", "temp": 99.0, "temp_max": 120.0,
                 "precipitation": {"rain": 7.0, "snow": 0.0}}
     documents = spark.createDataFrame([(json.dumps(document), 1)], "doc string, arrival int")
     days = insert_documents(documents, root, rank=["arrival"])
     assert days == [date(2022, 12, 28)]
-    refresh(spark, root, days)
+    changed = stored(spark, root, OBSERVATIONS).where("temp = 99").select("city", "datetime")
+    assert rows(changed, "city") == [("HOT",)]
+    read = []
+    monkeypatch.setattr(jobs, "daily_partials", lambda df: read.append(df.select("city").distinct().collect()) or rollups.daily_partials(df))
+    refresh(spark, root, changed)
+    assert read == [[("HOT",)]]  # other cities of the day are not read again
+    assert_current(spark, root)
+    refresh(spark, root, changed.limit(0))
     assert_current(spark, root)
-    refresh(spark, root, [])
 
 
 def test_documents_of_other_tables(spark, tmp_path):
     documents = [(json.dumps({"city": "A", "lat": "1.5", "lng": v, "country_id": 3}), v) for v in (1, 2)]
     insert_documents(spark.createDataFrame(documents, "doc string, v int"), str(tmp_path), ["v"], CITIES)
-    assert rows(stored(spark, str(tmp_path), CITIES)) == [("A", 1.5, 2.0, 3)]
+    assert rows(stored(spark, str(tmp_path), CITIES)) == [("A", 1.5, 2.0, 3, None)]
 
 
 def test_process_day_for_some_and_all_cities(spark, root):
     observations = stored(spark, root, OBSERVATIONS)
     start, end = period_range("day", observations.filter("city = 'HOT'").agg(F.min("datetime")).first()[0])
     when = start + timedelta(hours=15)
+    rollup(spark, root)
+    before = rows(stored(spark, root, STATISTICS["day"]))
     process_day(spark, root, when, ["HOT"])
-    assert close(rows(stored(spark, root, STATISTICS["day"])),
+    assert close(rows(stored(spark, root, DAY_SUMMARY)),
                  rows(rollups.daily_weather(observations, ["HOT"], start, end)))
     for _ in range(2):
         process_day(spark, root, when)
-    assert close(rows(stored(spark, root, STATISTICS["day"])), rows(rollups.daily_weather(observations, None, start, end)))
-    assert close(rows(stored(spark, root, PRECIPITATION_TOTALS["day"])),
-                 rows(rollups.daily_precipitation(observations, None, start, end)))
+    assert close(rows(stored(spark, root, DAY_SUMMARY)), rows(rollups.daily_weather(observations, None, start, end)))
+    assert close(rows(stored(spark, root, PRECIPITATION_TOTALS["day"])), rows(rollups.daily_precipitation(observations)))
+    assert rows(stored(spark, root, STATISTICS["day"])) == before
 
 
 def test_command_line(spark, root):

@@ -90,7 +90,7 @@ def test_adaptive_execution_splits_a_hot_city(spark, conf, tmp_path):
          spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
          spark__sql__adaptive__skewJoin__skewedPartitionFactor="2")
     skewed(spark).select("city").distinct().withColumn("lat", F.lit(1.0)).write.parquet(str(tmp_path / "cities"))
-    found = places.enrich(skewed(spark), spark.read.parquet(str(tmp_path / "cities"))).agg(F.sum("lat"), F.count("temp"))
+    found = places.enrich(skewed(spark), spark.read.parquet(str(tmp_path / "cities")), salted=False).agg(F.sum("lat"), F.count("temp"))
     assert tuple(found.collect()[0]) == (200000.0, 200000)
     assert "skew=true" in final_plan(found)
 
@@ -102,7 +102,7 @@ def test_salted_join_equals_the_plain_one(spark, conf, threshold, how):
     facts = skewed(spark, 3000).unionByName(
         spark.createDataFrame([(None, None, 1.0), ("unlisted", None, 2.0)], "city string, datetime timestamp, temp double"))
     dimension = facts.filter("city <> 'unlisted'").select("city").distinct().withColumn("lat", F.length("city"))
-    salted = places.salted_join(facts, dimension, "city", how, ["datetime"], share=0.1, pieces=16)
+    salted = places.salted_join(facts, dimension, "city", how, ["datetime"], share=0.1)
     assert salted.columns == ["city", "datetime", "temp", "lat"]
     assert rows(salted) == rows(facts.join(dimension, "city", how))
 
@@ -113,11 +113,13 @@ def test_salting_spreads_only_the_hot_city(spark, conf):
     facts = skewed(spark, 30000)
     dimension = facts.select("city").distinct().withColumn("lat", F.lit(1.0))
     largest = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
-    joined = places.salted_join(facts, dimension, "city", "inner", ["datetime"], share=0.1, pieces=64)
-    assert largest(places.enrich(facts, dimension)) > 10000 > 5000 > largest(joined)
+    joined = places.salted_join(facts, dimension, "city", "inner", ["datetime"], share=0.02)
+    assert largest(places.enrich(facts, dimension, salted=False)) > 10000 > 5000 > largest(joined)
 
 
 def test_salted_lookup(spark):
     requests = spark.createDataFrame([("A", 1), ("A", 2), ("Z", 3)], "city string, id int")
     sites = spark.createDataFrame([("A", 2.0), ("A", 1.0), ("B", 3.0)], "city string, lat double")
-    assert rows(places.locate(requests, sites, ["lat"], salted=True)) == rows(places.locate(requests, sites, ["lat"]))
+    assert rows(places.locate(requests, sites, ["lat"])) == rows(places.locate(requests, sites, ["lat"], salted=False))
+    with pytest.raises(ValueError, match="share"):
+        places.salted_join(requests, sites, "city", "left", ["id"], share=0)

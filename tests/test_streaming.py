@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators import rollups
 from isobar.plans.jobs import run_ingest, table_path
-from isobar.schemas import DAILY_PARTIALS, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
+from isobar.schemas import DAILY_PARTIALS, DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
 from isobar.sinks.upsert import read_stored
 from isobar.sources.payloads import parse_payloads, read_landed
 from isobar.streaming.ingest import ingest, landed_stream
@@ -55,8 +55,14 @@ def test_last_poll_wins_across_and_within_batches(spark, tmp_path):
     land(landing, "broken.json")
     with open(os.path.join(landing, "broken.json"), "w") as out:
         out.write(json.dumps({"city": "C", "raw": "{"}) + "\n")
-    ingest(spark, landing, table, cp).awaitTermination()
-    assert rows(read_stored(spark, table, OBSERVATIONS), "city", "temp") == [("A", 3.0), ("B", 3.0)]
+    with open(os.path.join(landing, "odd.json"), "w") as out:
+        for raw in ('{"dt": 1e17}', '{"main": {}}', None, '{"dt": 1704067200.0, "main": {"humidity": 100000.5}, "visibility": 7.0}'):
+            out.write(json.dumps({"city": "D", "raw": raw}) + "\n")
+    ingest(spark, landing, table, cp, rejects=str(tmp_path / "rejects")).awaitTermination()
+    assert rows(read_stored(spark, table, OBSERVATIONS), "city", "temp") == [("A", 3.0), ("B", 3.0), ("D", None)]
+    assert rows(read_stored(spark, table, OBSERVATIONS).where("city = 'D'"), "visibility", F.col("humidity").cast("double")) == [(7, 100000.5)]
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")), "city", "reason") == [
+        ("C", "broken text"), ("D", "no payload"), ("D", "no time"), ("D", "time out of range")]
 
 
 def test_failed_batch_is_repeated_after_restart(spark, tmp_path):
@@ -70,7 +76,7 @@ def test_failed_batch_is_repeated_after_restart(spark, tmp_path):
         ingest(spark, landing, table, cp, after=fail).awaitTermination()
     land(landing, "b.json", *polls(1))
     seen = []
-    ingest(spark, landing, table, cp, after=seen.extend).awaitTermination()
+    ingest(spark, landing, table, cp, after=lambda df: seen.extend(r.datetime.date() for r in df.collect())).awaitTermination()
     assert rows(read_stored(spark, table, OBSERVATIONS)) == rows(parse_payloads(read_landed(spark, landing)))
     assert min(seen) == date(2024, 1, 30)
 
@@ -99,11 +105,35 @@ def test_live_days_follow_late_rows_and_ignore_repeats(spark, tmp_path):
     land(landing, "1.json", *polls(0), *polls(1))
     start()
     expected = rollups.day_summary(parse_payloads(read_landed(spark, landing)).dropDuplicates(["city", "datetime"]))
-    weather, rain = STATISTICS["day"], PRECIPITATION_TOTALS["day"]
+    weather, rain = DAY_SUMMARY, PRECIPITATION_TOTALS["day"]
     assert close(rows(read_stored(spark, f"{root}/{weather.name}", weather)), rows(expected, *weather.columns))
     assert close(rows(read_stored(spark, f"{root}/{rain.name}", rain)), rows(expected, *rain.columns))
 
 
+def test_a_row_behind_any_watermark_counts_in_the_stored_tables(spark, tmp_path):
+    landing, table, root = (str(tmp_path / n) for n in ("landing", "table", "root"))
+
+    def run():
+        readings = parse_payloads(landed_stream(spark, landing))
+        ingest(spark, landing, table, str(tmp_path / "cp")).awaitTermination()
+        maintain_days(readings, root, str(tmp_path / "cp2"), delay="1 hour", stored=table).awaitTermination()
+
+    land(landing, "0.json", ("A", datetime(2024, 1, 1, 6), 280.0), ("A", datetime(2024, 3, 1, 6), 280.0))
+    run()
+    land(landing, "1.json", ("A", datetime(2024, 1, 1, 7), 290.0))  # two months late
+    run()
+    expected = rollups.day_summary(parse_payloads(read_landed(spark, landing)))
+    assert close(rows(read_stored(spark, f"{root}/{DAY_SUMMARY.name}", DAY_SUMMARY)), rows(expected, *DAY_SUMMARY.columns))
+
+
+def test_processed_files_are_archived(spark, tmp_path):
+    landing, archive = str(tmp_path / "landing"), str(tmp_path / "archive")
+    for i in range(3):
+        land(landing, f"{i}.json", *polls(i))
+        ingest(spark, landing, str(tmp_path / "table"), str(tmp_path / "cp"), archive=archive).awaitTermination()
+    assert len(os.listdir(landing)) < 3
+
+
 def test_append_mode_emits_finished_days_only(spark, tmp_path):
     landing = str(tmp_path / "landing")
     land(landing, "0.json", ("A", datetime(2024, 1, 1, 6), 280.0), ("A", datetime(2024, 1, 5, 6), 280.0))
@@ -121,6 +151,6 @@ def test_ntz_streams_can_be_watermarked(spark, tmp_path):
                              2.0D AS pressure, named_struct('rain', 1.0D, 'snow', 0.5D) AS precipitation""")
     df.write.parquet(source)
     maintain_days(spark.readStream.schema(df.schema).parquet(source), str(tmp_path / "root"),
-                  str(tmp_path / "cp")).awaitTermination()
+                  str(tmp_path / "cp"), delay="2 days").awaitTermination()
     spec = PRECIPITATION_TOTALS["day"]
     assert rows(read_stored(spark, f"{tmp_path}/root/{spec.name}", spec), "city", "sum_precipitation") == [("A", 1.5)]

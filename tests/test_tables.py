@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
 from pyspark.sql.types import StructType
 
 from isobar.operators.merging import union_batches
-from isobar.schemas import CITIES, COUNTRIES, OBSERVATIONS, columns_ddl
+from isobar.schemas import CITIES, OBSERVATIONS, columns_ddl
 from isobar.sinks.tables import create_table, write_table
-from isobar.sinks.upsert import upsert, upsert_merging
+from isobar.sinks.upsert import replace, upsert
 from isobar.sources.tables import of_cities, of_city, read_table, run_sql
 
 
@@ -29,15 +31,22 @@ def test_create_table(spark, database):
 
 def test_ddl_of_types(spark):
     ddl = columns_ddl(OBSERVATIONS.schema)
-    assert "`humidity` decimal(5,2)" in ddl and "`wind` struct<speed:double,deg:double,gust:double>" in ddl
+    assert "`humidity` decimal(38,18)" in ddl and "`wind` struct<speed:double,deg:double,gust:double>" in ddl
     assert StructType.fromDDL(ddl).fieldNames() == OBSERVATIONS.columns
 
 
 def test_catalog_table_over_an_upserted_path(spark, database, tmp_path):
     path = str(tmp_path / "cities")
-    upsert(spark.createDataFrame([("A", 1.0, 2.0, 3)], CITIES.schema), path, CITIES, [])
+    upsert(spark.createDataFrame([("A", 1.0, 2.0, 3, 4)], CITIES.schema), path, CITIES, [])
     name = create_table(spark, database, CITIES, path)
     assert spark.table(name).select("city", "country_id").collect() == [("A", 3)]
+    more = spark.createDataFrame([(c, 1.0, 2.0, 5, 6) for c in "BCDEFGHIJK"], CITIES.schema)
+    upsert(more, path, CITIES, [], table=name)
+    assert spark.table(name).count() == 11
+    replace(more.where("city < 'D'"), path, CITIES, table=name)
+    assert {r.city for r in spark.table(name).collect()} == {"B", "C"}
+    with pytest.raises(ValueError, match="laid out"):
+        create_table(spark, database, dataclasses.replace(CITIES, buckets=8), path)
 
 
 def test_write_modes(spark, database):
@@ -54,11 +63,15 @@ def test_write_modes(spark, database):
         write_table(two, database, "t", mode="replace")
 
 
-def test_connector_format(spark, tmp_path):
+def test_connector_format(spark, database, tmp_path):
     path = str(tmp_path / "t")
-    write_table(spark.createDataFrame([("A", 1), ("B", 2)], "city string, v int"), "d", "t", fmt="orc", path=path)
-    found = read_table(spark, "d", "t", ["v"], "city = 'B'", fmt="orc", path=path)
-    assert found.collect() == [(2,)]
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "city string, v int")
+    write_table(df, database, "t", fmt="orc", path=path, compression="zlib")
+    assert read_table(spark, database, "t", ["v"], "city = 'B'").collect() == [(2,)]
+    assert read_table(spark, database, "t", ["v"], "city = 'B'", fmt="orc", path=path).collect() == [(2,)]
+    # A connector gets the names as options; this one takes one of them as its path.
+    write_table(df, path, "t", fmt="org.apache.spark.sql.execution.datasources.orc.OrcFileFormat", mode="overwrite", names=("path", "table"))
+    assert spark.read.orc(path).count() == 2
 
 
 def test_scan_pushes_predicate_and_columns(spark, database):
@@ -86,10 +99,3 @@ def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([("A", 1)], "city string, v int")
     b = spark.createDataFrame([("B",)], "city string")
     assert sorted(union_batches([a, b]).collect()) == [("A", 1), ("B", None)]
-
-
-def test_merge_into_is_left_to_formats_that_have_it(spark, database):
-    create_table(spark, database, COUNTRIES)
-    batch = spark.createDataFrame([(1, "A", None, None)], COUNTRIES.schema)
-    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE"):
-        upsert_merging(batch, "climate.countries", COUNTRIES, [])

@@ -1,8 +1,7 @@
 from __future__ import annotations
 
 import os
-import shutil
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from isobar.operators.merging import add_counters, last_write, merge
 from isobar.schemas import OBSERVATIONS, PRECIPITATION_TOTALS, TableSpec, columns, TEXT, LONG
 from isobar.sinks import upsert as sink
+from isobar.sinks.files import Folder
 from isobar.sinks.upsert import read_stored, recover, replace, upsert
 from readings import observation, rows
 
@@ -29,7 +29,7 @@ def temps(spark, path):
 
 
 def files(path):
-    found = (p for p in Path(path).rglob("*.parquet") if "_pending" not in p.parts)
+    found = (p for p in Path(path).rglob("*.parquet") if "_new" not in p.parts)
     return {str(p.relative_to(path)): os.stat(p).st_mtime_ns for p in found}
 
 
@@ -88,17 +88,38 @@ def test_refuses_other_zones(spark, tmp_path, conf):
         upsert(batch(spark, observation("A", D1)), str(tmp_path), OBSERVATIONS, ["arrival"])
 
 
-def test_more_directories_than_can_be_listed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sink, "LISTED_PARTITIONS", 1)
+def test_many_directories(spark, tmp_path):
     path = str(tmp_path / "t")
-    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), path, OBSERVATIONS, ["arrival"])
+    days = [D1 + timedelta(days=i) for i in range(60)]
+    assert upsert(batch(spark, *[observation("A", d, temp=1.0) for d in days]), path, OBSERVATIONS, ["arrival"]) == [
+        d.date() for d in days]
     before = files(path)
-    changed = batch(spark, observation("A", D1, temp=2.0), observation("B", D2, temp=2.0))
-    assert upsert(changed, path, OBSERVATIONS, ["arrival"]) is None
-    assert temps(spark, path) == {("A", D1): 2.0, ("B", D2): 2.0, ("A", D3): 1.0}
-    assert {n for n, t in files(path).items() if before.get(n) == t} == {n for n in before if "2024-02-03" in n}
-    with pytest.raises(ValueError, match="null in the key"):
-        upsert(batch(spark, observation("A", D1), observation("A", None)), path, OBSERVATIONS, ["arrival"])
+    changed = batch(spark, *[observation("A", d, temp=2.0) for d in days[:40]], observation("B", days[0], temp=2.0))
+    assert len(upsert(changed, path, OBSERVATIONS, ["arrival"])) == 40
+    assert sorted(temps(spark, path).values()) == [1.0] * 20 + [2.0] * 41
+    assert {n for n, t in files(path).items() if before.get(n) == t} == {
+        n for n in before if any(f"part={d.date()}" in n for d in days[40:])}
+
+
+def test_cost_follows_the_batch_and_not_the_table(spark, tmp_path):
+    def tasks(stored, group):
+        path = str(tmp_path / group)
+        upsert(batch(spark, *[observation("A", D1 + timedelta(days=i)) for i in range(stored)]), path, OBSERVATIONS, ["arrival"])
+        spark.sparkContext.setJobGroup(group, group)
+        upsert(batch(spark, observation("B", D1)), path, OBSERVATIONS, ["arrival"])
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+        return sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks)
+
+    assert tasks(100, "small") == tasks(1000, "large")
+
+
+def test_layout_is_part_of_the_table(spark, tmp_path):
+    spec = TableSpec("t", columns(("id",), id=LONG), ("id",), buckets=4)
+    upsert(spark.range(10), str(tmp_path / "t"), spec, [])
+    with pytest.raises(ValueError, match="laid out"):
+        upsert(spark.range(10), str(tmp_path / "t"), TableSpec("t", spec.schema, ("id",), buckets=8), [])
 
 
 def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_path, conf):
@@ -118,25 +139,53 @@ def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_p
         assert stored == sorted(stored)
 
 
-def test_a_driver_lost_during_the_swap(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("removed", [True, False])
+def test_a_driver_lost_during_the_swap(spark, tmp_path, monkeypatch, removed):
     path = str(tmp_path / "t")
     upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), path, OBSERVATIONS, ["arrival"])
-    swap = sink._overwrite
 
-    def lost(df, target, spec, mode="dynamic"):
-        shutil.rmtree(f"{target}/part=2024-01-01")
+    def lost(folder, source, name):
+        if removed:
+            folder.remove(name)
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(sink, "_overwrite", lost)
+    monkeypatch.setattr(Folder, "take", lost)
     with pytest.raises(RuntimeError):
         upsert(batch(spark, observation("B", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
-    monkeypatch.setattr(sink, "_overwrite", swap)
-    assert temps(spark, path) == {("A", D3): 1.0}
+    monkeypatch.undo()
+    expected = {("A", D1): 1.0, ("B", D1): 2.0, ("A", D3): 1.0}
+    assert temps(spark, path) == expected  # no row is missing meanwhile
+    found = read_stored(spark, path, OBSERVATIONS, datetime(2024, 1, 1), datetime(2024, 1, 2))
+    assert found.count() == 2
     upsert(batch(spark, observation("C", D3, temp=3.0)), path, OBSERVATIONS, ["arrival"])
-    expected = {("A", D1): 1.0, ("B", D1): 2.0, ("A", D3): 1.0, ("C", D3): 3.0}
+    expected |= {("C", D3): 3.0}
+    assert temps(spark, path) == expected
+    recover(spark, path, OBSERVATIONS)
+    assert temps(spark, path) == expected
+    assert not [n for n in os.listdir(path) if n.startswith(("_new", "_moving"))]
+
+
+def test_a_driver_lost_while_a_table_is_replaced(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D2, temp=1.0)), path, OBSERVATIONS, ["arrival"])
+    new = batch(spark, observation("A", D1, temp=5.0), observation("B", D3, temp=5.0))
+    take, moved = Folder.take, []
+
+    def lost(folder, source, name):
+        if moved:
+            raise RuntimeError("driver lost")
+        moved.append(name)
+        take(folder, source, name)
+
+    monkeypatch.setattr(Folder, "take", lost)
+    with pytest.raises(RuntimeError):
+        replace(new, path, OBSERVATIONS)
+    monkeypatch.undo()
+    expected = {("A", D1): 5.0, ("B", D3): 5.0}
     assert temps(spark, path) == expected
     recover(spark, path, OBSERVATIONS)
     assert temps(spark, path) == expected
+    assert sorted(n for n in os.listdir(path) if n.startswith("part")) == ["part=2024-01-01", "part=2024-02-03"]
 
 
 def test_a_driver_lost_before_the_swap(spark, tmp_path, monkeypatch):
@@ -146,7 +195,7 @@ def test_a_driver_lost_before_the_swap(spark, tmp_path, monkeypatch):
     def lost(*_):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(sink, "_mark_pending", lost)
+    monkeypatch.setattr(sink, "_move", lost)
     with pytest.raises(RuntimeError):
         upsert(batch(spark, observation("A", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
     monkeypatch.undo()
@@ -170,7 +219,8 @@ def test_reading_prunes_directories_and_rows(spark, tmp_path):
     found = read_stored(spark, path, OBSERVATIONS, datetime(2024, 1, 1, 7), datetime(2024, 1, 3))
     assert [r.datetime for r in found.collect()] == [D2]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(part" in plan and "GreaterThanOrEqual(datetime" in plan
+    assert {f.split("part=")[1][:10] for f in found.inputFiles()} <= {"2024-01-01", "2024-01-02", "2024-01-03"}
+    assert "GreaterThanOrEqual(datetime" in plan
 
 
 def test_replace_drops_what_was_there(spark, tmp_path):
