@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from isobar.llm.common import count_at_most, free_name, longs, pieces, stored
 
-LOW, HIGH = -(2**63), 2**63 - 1
+BITS = 52  # of a hash; approximate quantiles go through doubles, which hold so many exactly
+LOW, HIGH = -(2**(BITS - 1)), 2**(BITS - 1) - 1
 FAN = 16
 ROUNDS = 40
 
@@ -106,13 +107,13 @@ def _candidates(keys: DataFrame, bounds, ranges: list[int]) -> set[tuple[int, in
 
 
 def split(keys: DataFrame, shards: int, ranges: int, tolerance: float) -> Splitting:
-    """Find boundaries for a stored frame of g, r (longs) and size.
+    """Find boundaries for a stored frame of g, r (longs of BITS bits) and size.
 
     Splitters fit when the bytes below them differ from their share by at most ``tolerance``
     of one shard; where no key border is so near, the nearest one is taken. Of the borders
     that fit, one between groups is preferred. Rows of equal g and r can't be separated.
     """
-    bounds = [(LOW + (2**64 * i) // ranges, LOW) for i in range(1, ranges)]
+    bounds = [(LOW + (2**BITS * i) // ranges, LOW) for i in range(1, ranges)]
     for _ in range(ROUNDS):
         rows, sizes = _histogram(keys, bounds)
         total, below = sum(sizes), [0]
@@ -148,11 +149,12 @@ def split(keys: DataFrame, shards: int, ranges: int, tolerance: float) -> Splitt
 def shard(df: DataFrame, size: Column, group: Column, row: Column, shards: int = 8, tolerance: float = 0.002) -> DataFrame:
     """Add ``shard`` (0 to shards - 1, of nearly equal total size) and ``slot`` (gapless from 0 in its shard).
 
-    Rows are ordered by ``group`` and ``row`` (two longs without nulls). All columns are
+    Rows are ordered by ``group`` and ``row`` (two hashes as longs, without nulls; their upper BITS count). All columns are
     kept; columns called shard or slot are replaced. An empty frame gives an empty one.
     Rows with equal group and row share a shard, in any order among themselves.
     """
     spark = df.sparkSession
+    group, row = F.shiftright(group, 64 - BITS), F.shiftright(row, 64 - BITS)
     g, r, at = (free_name(df, n) for n in ("_g", "_r", "_range"))
     keys = stored(df.select(group.alias("g"), row.alias("r"), size.cast("bigint").alias("size")), "histogram-keys")
     found = split(keys, shards, max(pieces(spark), 4 * shards), tolerance)
