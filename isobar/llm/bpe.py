@@ -1,10 +1,11 @@
 """Byte-level BPE over a corpus: every distinct word is encoded once.
 
 Texts are cut into pre-tokens. A block of documents keeps its distinct pre-tokens and, for
-every position, which of them stands there. The blocks' words meet in one shuffle in which
-each distinct word is encoded once; ids go back to the blocks that hold the word, and each
-block puts its documents together by position. A word has at most one row for each block, so
-frequent words make no hot key. Decoding looks every id up in the table of token bytes, whose
+every position, which of them stands there. Words are dealt to shelves by their hash; a
+block's words of one shelf travel as one row, and where the rows of a shelf meet, each
+distinct word is encoded once. Ids go back to the blocks, and each block puts its documents
+together by position. A word comes at most once from each block, so frequent words make no
+hot key. Decoding looks every id up in the table of token bytes, whose
 size is that of the vocabulary.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,8 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from isobar.llm.common import stored
+from isobar.llm.common import bounded_batches, pieces
+from isobar.session import scratch_path
 
 BLOCK_BYTES = 8 << 20
 
@@ -66,10 +69,9 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _packed(places: list[np.ndarray]) -> bytes:
-    """Word numbers as compressed byte planes."""
-    flat = np.concatenate(places) if places else np.empty(0, np.uint32)
-    planes = flat.astype("<u4").view(np.uint8).reshape(-1, 4).T
+def _packed(values: np.ndarray) -> bytes:
+    """Non-negative integers as compressed byte planes."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
@@ -78,16 +80,33 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _lists(lengths: np.ndarray, flat: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, shelves: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     cut = regex.compile(pattern).findall
     kept, places, words, size = [], [], {}, 0
 
     def block() -> pa.RecordBatch:
         docs = pa.concat_tables(kept).to_struct_array()
         docs = pa.concat_arrays(docs.chunks) if isinstance(docs, pa.ChunkedArray) else docs
+        encoded = [w.encode() for w in words]
+        shelf = np.array([zlib.crc32(w) % shelves for w in encoded], np.int64)
+        order = np.argsort(shelf, kind="stable")  # words are numbered shelf after shelf
+        number = np.empty(len(order), np.uint32)
+        number[order] = np.arange(len(order), dtype=np.uint32)
+        filled, starts = np.unique(shelf[order], return_index=True)
+        parts = []
+        for k, members in zip(filled.tolist(), np.split(order, starts[1:])):
+            own = [encoded[i] for i in members.tolist()]
+            parts.append({"shelf": k, "lengths": _packed(np.array([len(w) for w in own])),
+                          "words": zstandard.ZstdCompressor(level=3).compress(b"".join(own))})
+        flat = number[np.concatenate(places)] if words else np.empty(0, np.uint32)
         row = {
-            "block": pa.array([uuid.uuid4().hex]), "words": pa.array([[w.encode() for w in words]], schema.field("words").type),
-            "counts": pa.array([np.array([len(p) for p in places], "<u4").tobytes()]), "places": pa.array([_packed(places)]),
+            "block": pa.array([uuid.uuid4().hex]), "words": pa.array([parts], schema.field("words").type),
+            "counts": pa.array([_packed(np.array([len(p) for p in places]))]), "places": pa.array([_packed(flat)]),
             "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs).cast(schema.field("docs").type),
         }
         return pa.RecordBatch.from_arrays([row[f.name] for f in schema], schema=schema)
@@ -108,38 +127,57 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, schema: pa.Schema)
         yield block()
 
 
+ENCODED = pa.schema([("block", pa.string()), ("shelf", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())])
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    known: dict[bytes, list[int]] = {}  # a word stands on one shelf only, so it is encoded here and nowhere else
     for batch in batches:
-        words = batch.column("word")
-        ids = [encode_word(w.as_py(), ranks) for w in words]
-        yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+        for row in batch.to_pylist():
+            flat = zstandard.ZstdDecompressor().decompress(row["words"])
+            ids = []
+            for word in _lists(_unpacked(row["lengths"]), flat):
+                found = known.get(word)
+                if found is None:
+                    found = known[word] = encode_word(word, ranks)
+                ids.append(found)
+            yield pa.RecordBatch.from_pylist([{
+                "block": row["block"], "shelf": row["shelf"], "lengths": _packed(np.array([len(x) for x in ids])),
+                "ids": _packed(np.array([i for x in ids for i in x])),
+            }], ENCODED)
 
 
 def _assembled(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    none = np.empty(0, np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
             docs = batch.column("docs")[i].values
-            if (entries := batch.column("entries")[i].values) is None:
-                at, lists = np.empty(0, np.int64), pa.array([], pa.list_(pa.int32()))
-            else:
-                at, lists = entries.field("at").to_numpy(), entries.field("ids")
-            order = np.argsort(at)  # entries cover every word of the block once
-            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.empty(0, np.int64)
-            lengths, starts, flat = lengths[order].astype(np.int64), starts[order].astype(np.int64), lists.flatten().to_numpy()
-            counts = np.frombuffer(batch.column("counts")[i].as_py(), "<u4")
+            shelves = sorted(batch.column("shelves")[i].as_py() or [], key=lambda x: x["shelf"])
+            lengths = np.concatenate([none, *(_unpacked(x["lengths"]) for x in shelves)]).astype(np.int64)
+            flat = np.concatenate([none, *(_unpacked(x["ids"]) for x in shelves)]).astype("<u4")
+            starts = np.cumsum(lengths) - lengths
             places, done, ids = _unpacked(batch.column("places")[i].as_py()), 0, []
-            for n in counts:
+            for n in _unpacked(batch.column("counts")[i].as_py()).tolist():
                 own = places[done : done + n]
                 done += n
                 size = lengths[own]
-                total = int(size.sum())
                 first = np.repeat(starts[own] - (np.cumsum(size) - size), size)
-                ids.append(flat[first + np.arange(total)].astype("<u4").tobytes())
+                ids.append(flat[first + np.arange(len(first))].tobytes())
             columns = [docs.field(f.name) for f in list(schema)[:-1]]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], schema=schema)
 
 
+def _shelved(df: DataFrame, buckets: int) -> DataFrame:
+    """The blocks, written once to the shared folder and bucketed, so that a join by block moves only its other side."""
+    spark, name = df.sparkSession, f"bpe_blocks_{uuid.uuid4().hex}"
+    df.write.option("path", scratch_path(spark, "bpe-blocks")).option("compression", "zstd").bucketBy(
+        buckets, "block").saveAsTable(name)
+    blocks = spark.table(name)
+    blocks.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return blocks
+
+
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -152,23 +190,27 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     A null text counts as empty and has no ids. All other columns are kept, but one called ids
     is replaced. No special tokens are recognised.
     """
+    bounded_batches(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
     kept = T.StructType([T.StructField(f.name, f.dataType) for f in rest])
+    shelf = T.StructType([
+        T.StructField("shelf", T.IntegerType()), T.StructField("lengths", T.BinaryType()), T.StructField("words", T.BinaryType())])
     block = T.StructType([
-        T.StructField("block", T.StringType()), T.StructField("words", T.ArrayType(T.BinaryType())),
+        T.StructField("block", T.StringType()), T.StructField("words", T.ArrayType(shelf)),
         T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType()),
         T.StructField("docs", T.ArrayType(kept)),
     ])
     out = T.StructType([*kept.fields, T.StructField("ids", T.BinaryType())])
-    block_arrow, out_arrow = _arrow(block), _arrow(out)
-    blocks = stored(docs.select("text", *kept.names).mapInArrow(lambda b: _blocks(b, pattern, block_arrow), block), "bpe-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    table = words.select("word").distinct().mapInArrow(lambda b: _encoded(b, ranks), "word binary, ids array<int>")
-    entries = words.join(table.hint("merge"), "word").groupBy("block").agg(
-        F.collect_list(F.struct("at", "ids")).alias("entries"))  # the words of one block, bounded by its bytes
+    block_arrow, out_arrow, shelves = _arrow(block), _arrow(out), pieces(docs.sparkSession, 1)
+    blocks = _shelved(docs.select("text", *kept.names).mapInArrow(
+        lambda b: _blocks(b, pattern, shelves, block_arrow), block), shelves)
+    encoded = blocks.select("block", F.inline("words")).repartition("shelf").mapInArrow(
+        lambda b: _encoded(b, ranks), "block string, shelf int, lengths binary, ids binary")
+    entries = encoded.groupBy("block").agg(
+        F.collect_list(F.struct("shelf", "lengths", "ids")).alias("shelves"))  # the words of one block, bounded by its bytes
     return (
         blocks.select("block", "docs", "counts", "places").join(entries.hint("merge"), "block", "left")
-        .select("docs", "counts", "places", "entries").mapInArrow(lambda b: _assembled(b, out_arrow), out)
+        .select("docs", "counts", "places", "shelves").mapInArrow(lambda b: _assembled(b, out_arrow), out)
     )
 
 

@@ -67,6 +67,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches small enough that long texts don't fill a Python worker; the session keeps the setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def map_texts(df: DataFrame, prepare: Callable[[], Callable[[list[str]], list]], added: str,
               column: str = "text", keep: bool = False) -> DataFrame:
     """Add columns that Python computes from a text column, batch by batch; null texts count as empty.
@@ -75,6 +81,7 @@ def map_texts(df: DataFrame, prepare: Callable[[], Callable[[list[str]], list]],
     added columns' values. Other columns pass through unchanged; the text itself only with
     ``keep``; columns named like added ones are replaced.
     """
+    bounded_batches(df.sparkSession)
     new = T._parse_datatype_string(added)
     rest = [f for f in df.schema.fields if f.name not in new.fieldNames() and (keep or f.name != column)]
     out = T.StructType([*rest, *new.fields])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from isobar.llm.common import free_name, stored
+from isobar.llm.common import bounded_batches, free_name, stored
 from isobar.session import scratch_path
 
 ARCHIVE_BYTES = 32 << 20
@@ -216,6 +216,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, limit: int = A
     marked = keyed.join(largest.hint("merge"), key, "left").select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html", revisit.alias("revisit"),
         F.when(revisit, F.col(top)).cast("long").alias("refers_to"))
+    bounded_batches(pages.sparkSession)
     return stored(marked.mapInArrow(lambda b: _written(b, folder, limit), "archive string, records long"), "archives")
 
 
