@@ -34,7 +34,7 @@ def banding(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int =
     """Bands and rows: the most rows with which pairs at the threshold meet with the wanted probability."""
     fits = []
     for rows in range(1, hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold < 1 else 1
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows))) if threshold < 1 else 1
         if bands * rows <= hashes:
             fits.append((bands, rows))
     if not fits:

@@ -1,0 +1,153 @@
+"""Order MinHash, curriculum and histogram sort."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.llm import curriculum, histogram_sort, order_minhash
+
+
+def texts(n, seed=1):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(rng.randrange(40))
+                     for _ in range(rng.randrange(3, 60))) for _ in range(n)]
+
+
+def test_edits_and_next_documents(documents):
+    rows = list(enumerate(texts(200)))
+    found = {r.doc_id: r for r in order_minhash.fingerprinted_edits(documents(*rows)).collect()}
+    assert len(found) == 200
+    for i, text in rows:
+        following = rows[i - 1][1]  # descending ids; after 0 comes the last
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        assert found[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and found[i].n_chars == len(text)
+    mean = lambda name: sum(r[name] for r in found.values()) / 200
+    assert mean("near_edited") > 0.15 > 0.02 > mean("near_next")
+
+
+def test_signature_follows_order_and_repeats(documents):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(words[30:] + words[:30])
+    rows = documents((1, a), (2, b), (3, a), (4, " ".join(words[:59] + ["new"])), (5, "same " * 40), (6, "same " * 80))
+    sig = {r.doc_id: r.s for r in rows.select("doc_id", order_minhash.signature(F.col("text")).alias("s")).collect()}
+    like = lambda x, y: sum(p == q for p, q in zip(sig[x], sig[y])) / 64
+    assert like(1, 3) == 1 and like(1, 4) > 0.8
+    assert like(1, 2) < like(1, 4)  # the same k-mers but for a few, in another order
+    assert like(5, 6) < 1  # the same k-mers, but not as often
+
+
+def test_order_minhash_odd_rows(odd):
+    found = order_minhash.fingerprinted_edits(odd).collect()
+    assert len(found) == 10
+    empty = [r for r in found if r.n_chars == 0]
+    assert {r.fingerprint for r in empty} == {""} and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+    assert order_minhash.fingerprinted_edits(odd.limit(0)).count() == 0
+    one = order_minhash.fingerprinted_edits(odd.where("doc_id = 7")).first()
+    assert one.near_next == 1.0  # its own successor
+
+
+def brute_targets(sizes, share=1.5):
+    order = sorted(k for k in sizes if k is not None) + [None] * (None in sizes)
+    weight = {k: (3, 1, 2)[i % 3] for i, k in enumerate(order)}
+    left, open_, target = share * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[k] for k in open_)
+        full = {k for k in open_ if weight[k] * level >= 2 * sizes[k]}
+        if not full:
+            return target | {k: weight[k] * level for k in open_}
+        for k in full:
+            target[k] = 2 * sizes[k]
+            left -= target[k]
+        open_ -= full
+    return target
+
+
+def test_mix_meets_targets(documents):
+    rng = random.Random(3)
+    rows = [(i, t, None, rng.choice(["a", "a", "a", "b", "c", "Z", "é", None])) for i, t in enumerate(texts(400, 2))]
+    mixed = curriculum.assign(documents(*rows), curriculum.words(F.col("text")))
+    found = mixed.collect()
+    assert len(found) == 400
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in found:
+        assert r.size == len(r.text.split()) and 0 <= r.taken <= 2 * r.size and r.taken == sum(t.words for t in r.takes)
+        assert [t.position for t in r.takes] == sorted(t.position for t in r.takes)
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+    expected = brute_targets(sizes)
+    for r in found:
+        assert r.target == pytest.approx(expected[r.source]) and r.source_size == sizes[r.source]
+    assert all(abs(taken[s] - expected[s]) < 1.001 for s in sizes)
+    again = {(r.doc_id, r.taken) for r in mixed.repartition(7).collect()}
+    assert again == {(r.doc_id, r.taken) for r in found}
+
+
+@pytest.mark.parametrize("schedule", [((0, 1), (1, 1)), ((0, 2), (1, 0)), ((0, 0), (0.25, 3), (1, 1))])
+def test_positions_invert_the_integral(spark, schedule):
+    def demand(u):  # midpoint rule
+        total = done = 0.0
+        for k in range(20_000):
+            x = (k + 0.5) / 20_000
+            (a, p), (b, q) = next((l, r) for l, r in zip(schedule, schedule[1:]) if l[0] <= x <= r[0])
+            rate = p + (q - p) * (x - a) / (b - a)
+            total += rate
+            done += rate * (x < u)
+        return done / total
+
+    for share in (0.0, 0.1, 0.5, 0.9, 1.0):
+        at = spark.range(1).select(curriculum.position(schedule, F.lit(share))).first()[0]
+        assert demand(at) == pytest.approx(share, abs=2e-3)
+    with pytest.raises(ValueError):
+        curriculum.integrated([(0, 1), (0.5, 1)])
+
+
+def test_training_order_and_whole_documents(documents):
+    rows = [(i, t, None, "ab"[i % 2]) for i, t in enumerate(texts(100, 5))]
+    mixed = curriculum.assign(documents(*rows), curriculum.words(F.col("text")), whole=True)
+    assert all(t.words == r.size for r in mixed.collect() for t in r.takes)
+    ordered = curriculum.in_training_order(mixed)
+    positions = [r.position for r in ordered.collect()]
+    assert positions == sorted(positions) and len(positions) == sum(len(r.takes) for r in mixed.collect())
+
+
+def test_mix_odd_rows(odd):
+    clashing = odd.withColumn("kind", F.lit("mine")).withColumn("size", F.lit(-1))
+    found = curriculum.assign(clashing, curriculum.words(F.col("text"))).collect()
+    assert len(found) == 10 and all(r.taken <= 2 * r.size for r in found)
+    assert curriculum.assign(odd.limit(0), curriculum.words(F.col("text"))).count() == 0
+    assert curriculum.assign(odd.where("text is null"), curriculum.words(F.col("text"))).agg(F.sum("taken")).first()[0] == 0
+
+
+@pytest.mark.parametrize("copies", [0, 900])
+def test_shards_are_even_and_slots_gapless(documents, copies):
+    rows = [(i, t) for i, t in enumerate(texts(900, 7))] + [(10_000 + i, "one copy of many " * 3) for i in range(copies)]
+    found = histogram_sort.shard_documents(documents(*rows), 8).collect()
+    assert len(found) == len(rows)
+    total, largest = sum(r.size for r in found), max(r.size for r in found)
+    by = defaultdict(list)
+    for r in found:
+        assert r.size == len(r.text.encode()) + 1
+        by[r.shard].append(r)
+    assert set(by) == set(range(8))
+    for rows_ in by.values():
+        assert sorted(r.slot for r in rows_) == list(range(len(rows_)))
+        assert abs(sum(r.size for r in rows_) - total / 8) <= 2 * largest
+    if not copies:  # without a large group, equal texts share a shard
+        where = defaultdict(set)
+        for r in found:
+            where[r.text].add(r.shard)
+        assert all(len(s) == 1 for s in where.values())
+
+
+def test_shards_of_odd_rows(odd):
+    clashing = odd.withColumn("shard", F.lit("mine")).withColumn("_g", F.lit(1))
+    found = histogram_sort.shard_documents(clashing, 3)
+    assert found.count() == 10 and "_g" in found.columns
+    assert histogram_sort.shard_documents(odd.limit(0), 3).count() == 0
+    assert {r.shard for r in histogram_sort.shard_documents(odd.limit(1), 3).collect()} <= {0, 1, 2}
