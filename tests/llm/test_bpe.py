@@ -48,6 +48,13 @@ def test_words_of_any_length():
         assert bpe.encode_word(word, RANKS) == LIBRARY._encode_single_piece(word)
 
 
+def test_null_ids_stay_null(spark):
+    word = bytearray(np.array(LIBRARY.encode_ordinary("é漢 word"), "<u4").tobytes())
+    rows = [(1, word), (2, None), (3, bytearray()), (4, word)]
+    found = {r.k: r.decoded for r in bpe.decode(spark.createDataFrame(rows, "k int, ids binary").coalesce(1), RANKS).collect()}
+    assert found == {1: "é漢 word".encode(), 2: None, 3: b"", 4: "é漢 word".encode()}
+
+
 def test_an_unknown_id_is_an_error(spark):
     encoded = spark.createDataFrame([(bytearray(np.array([99_999_999], "<u4").tobytes()),)], "ids binary")
     with pytest.raises(Exception, match="out of bounds"):
