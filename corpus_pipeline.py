@@ -13,16 +13,16 @@ from isobar.llm import bpe, curriculum, language_mixture, ngram_join, toxicity
 from isobar.llm.common import stored, table
 from isobar.llm.queries import fitted_languages, fitted_toxicity
 
-LEAST_LANGUAGE_SCORE = 0.3
+LEAST_SHARE = 0.3
 TOXIC = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a letter and a language that stands out; others go."""
+    """Documents with a language that holds a fair share of the text; those without a letter, or a medley of many, go."""
     found = language_mixture.predict(docs.select(*COLUMNS), fitted_languages(docs), keep=True)
-    known = (F.col("lang_pred") != language_mixture.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(known).select(*COLUMNS)
+    share = F.coalesce(F.try_element_at("mixture", F.col("lang_pred")), F.lit(0.0))  # none for an unknown language
+    return found.where(share >= LEAST_SHARE).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
