@@ -217,12 +217,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 def _decoded(batches: Iterator[pa.RecordBatch], tokens: list[bytes], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     table = pa.array(tokens, pa.binary())
     for batch in batches:
-        texts = [
-            b"".join(pc.take(table, pa.array(np.frombuffer(x.as_py(), "<u4"))).to_pylist()) if x.is_valid else None
-            for x in batch.column("ids")
-        ]
+        packed = batch.column("ids")
+        flat = np.frombuffer(b"".join(packed.drop_null().to_pylist()), "<u4")
+        found = pc.take(table, pa.array(flat))  # all tokens' bytes end to end; texts are cut from them
+        offsets = np.frombuffer(found.buffers()[1], np.int32)[found.offset :][: len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
+        counts = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False) // 4
+        ends = pa.py_buffer(offsets[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32))
+        texts = pa.Array.from_buffers(pa.binary(), len(packed), [None, ends, found.buffers()[2]])
+        if packed.null_count:
+            texts = pc.if_else(packed.is_valid(), texts, pa.scalar(None, pa.binary()))
         columns = [batch.column(f.name) for f in list(schema)[:-1]]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([*columns, texts], schema=schema)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
