@@ -1,7 +1,7 @@
 """WARC records in ZIP-packaged archives: written by tasks, read by byte ranges without extraction.
 
-An archive is a ZIP file whose members are stored uncompressed: the WARC data and an index with
-each record's offset and length. The reader takes the central directory (ZIP64 where the sizes
+An archive is a ZIP file whose members are stored as they are: the WARC data, each record a gzip
+member of its own, and an index with each record's offset and length. The reader takes the central directory (ZIP64 where the sizes
 or counts say so), locates the index and the data inside the file, and reads each record by its
 range. Equal payloads are found by their digest before writing; one of them is a response, the
 others are revisits that refer to it. Archives have a bounded size, so a task holds one at a time.
@@ -10,6 +10,7 @@ others are revisits that refer to it. Archives have a bounded size, so a task ho
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -29,7 +30,7 @@ from isobar.session import scratch_path
 ARCHIVE_BYTES = 32 << 20
 # ZIP record signatures, names inside the package.
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 CONTROL = {c: f"%{c:02X}" for c in [*range(32), 127]}
@@ -82,6 +83,7 @@ class Package:
         self.data, self.index = io.BytesIO(), []
 
     def add(self, raw: bytes, url: str) -> None:
+        raw = gzip.compress(raw, 6, mtime=0)
         self.index.append(json.dumps({"url": url.translate(CONTROL), "offset": self.data.tell(), "length": len(raw)}))
         self.data.write(raw)
 
@@ -163,7 +165,7 @@ def read(path: str) -> Iterator[dict]:
                 entry = json.loads(line.decode("utf-8", "surrogatepass"))
                 if entry["offset"] + entry["length"] > data.size:
                     raise ValueError("record lies outside its member")
-                yield parse(_at(source, data.start + entry["offset"], entry["length"]))
+                yield parse(gzip.decompress(_at(source, data.start + entry["offset"], entry["length"])))
 
 
 MANIFEST = pa.schema([("archive", pa.string()), ("records", pa.int64())])
