@@ -3,8 +3,9 @@
 Every DOM node gets a density: its characters for each tag, lowered the more of them stand in
 links. A node's sum adds up its children's densities; the node of the largest sum holds the
 article. The least density on its way up to the body is the threshold that sibling blocks of
-the same kind must meet to belong to it. Parts that are boilerplate by their tag, role, class
-or id are taken out before. Work is per page, in Arrow batches, without a shuffle.
+the same kind must meet to belong to it. Parts that no reader sees as text are taken out
+before; parts that their tag, role, class or id calls boilerplate only if they hold neither
+the article nor most of the text. Work is per page, in Arrow batches, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,44 +30,68 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-# Boilerplate by element, role and words of class or id.
+# Never text of an article.
 DROPPED = frozenset(
-    "head script style noscript template form nav footer aside iframe object svg canvas button select textarea input dialog menu"
-    " audio video math".split())
+    "head script style noscript template iframe object svg canvas button select textarea input audio video math".split())
+# Boilerplate by element, role and words of class or id, unless it wraps the article.
+ASIDES = frozenset("nav footer aside dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side aside menu nav"
-    " navbar navigation breadcrumb breadcrumbs header masthead footer foot comment comments disqus respond reply replies"
-    " discussion notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup"
-    " login share sharing social related recommended pagination pager toolbar widget copyright".split())
+    " navbar navigation breadcrumb breadcrumbs header masthead footer foot notice notices cookie cookies consent gdpr alert"
+    " popup modal overlay newsletter subscribe subscription signup login share sharing social pagination pager toolbar widget"
+    " copyright".split())
+#: Their parts look like articles, so an article, a title or much text outside tells more.
+LISTS = frozenset("comment comments disqus respond reply replies discussion related recommended".split())
+#: Words that may stand beside a hint in one class name.
+NEUTRAL = frozenset(
+    "area bar block box button buttons container form google group inner item items link links list main page post posts"
+    " section site slot thread top unit wrap wrapper x".split())
+LANDMARKS = frozenset(("article", "main", "h1"))
+#: Share of the page's text outside links that a wrapper holds.
+LARGE = 2 / 3
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = (
+        "tag", "parent", "parts", "dropped", "doubt", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: str = ""):
+        self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
+        self.holds: frozenset[str] = frozenset()
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _boilerplate(tag: str, attributes: list[tuple[str, str | None]], parent: Node) -> bool:
-    if tag in DROPPED:
-        return True
-    given = dict(attributes)
-    if tag == "header" and not _within(parent, ("article", "main")):
-        return True
-    if (given.get("role") or "").lower() in ROLES or "hidden" in given:
-        return True
-    if "display:none" in (given.get("style") or "").replace(" ", "").lower():
-        return True
-    if tag in ("html", "body", "article", "main") or tag in HEADINGS:
+def _unseen(tag: str, given: dict[str, str | None]) -> bool:
+    if tag in ("html", "body"):
         return False
-    named = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{given.get('class') or ''} {given.get('id') or ''}")
-    return not HINTS.isdisjoint(re.split(r"[^a-z]+", named.lower()))
+    return tag in DROPPED or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", "").lower()
+
+
+def _named(name: str) -> str:
+    """What a class name or id says as a whole: "list", "hint" or nothing, as for has-sidebar or ad-free."""
+    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) - {""}
+    if not words <= HINTS | LISTS | NEUTRAL:
+        return ""
+    return "list" if words & LISTS else "hint" if words & HINTS else ""
+
+
+def _doubt(tag: str, given: dict[str, str | None], parent: Node) -> str:
+    """Why a node may be boilerplate: "aside" by tag or role, "hint" (also a form) or "list"."""
+    if tag in ASIDES or tag == "header" and not _within(parent, ("article", "main")):
+        return "aside"
+    if (given.get("role") or "").lower() in ROLES and tag not in ("html", "body", "form"):
+        return "aside"
+    if tag in ("html", "body", "article", "main") or tag in HEADINGS:
+        return ""
+    if tag == "form":
+        return "hint"
+    found = {_named(n) for n in [*(given.get("class") or "").split(), given.get("id") or ""]}
+    return "list" if "list" in found else "hint" if "hint" in found else ""
 
 
 def _within(node: Node | None, tags) -> bool:
@@ -82,7 +107,7 @@ class Builder(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.open = Node("#root", None, False)
+        self.root = self.open = Node("#root", None)
         self.nodes = [self.root]
 
     def handle_starttag(self, tag, attrs):
@@ -90,7 +115,8 @@ class Builder(HTMLParser):
             self._end({"p"}, {"table", "td", "th", "button", "object", "blockquote", "div", "article", "section", "li"})
         if tag in ENDS:
             self._end(*ENDS[tag])
-        node = Node(tag, self.open, _boilerplate(tag, attrs, self.open))
+        given = dict(attrs)
+        node = Node(tag, self.open, _unseen(tag, given), _doubt(tag, given, self.open))
         self.open.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -120,12 +146,17 @@ class Builder(HTMLParser):
             self.open = found.parent
 
 
-def _measure(nodes: list[Node]) -> None:
-    """Counts and densities, children before parents; dropped parts count nothing."""
+def _spread(nodes: list[Node]) -> None:
     for node in nodes:
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
+
+
+def _count(nodes: list[Node]) -> None:
+    """Children before parents; dropped parts count nothing."""
     for node in reversed(nodes):
+        node.tags = node.link_chars = node.link_tags = 0
+        node.holds = LANDMARKS & {node.tag}
         node.chars = sum(len(SPACE.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
         for child in node.parts:
             if isinstance(child, Node) and not child.dropped:
@@ -133,6 +164,55 @@ def _measure(nodes: list[Node]) -> None:
                 node.tags += 1 + child.tags
                 node.link_chars += child.chars if child.tag == "a" else child.link_chars
                 node.link_tags += (child.tag == "a") + child.link_tags
+                node.holds |= child.holds
+
+
+def _drop_boilerplate(nodes: list[Node]) -> None:
+    """Drop doubtful nodes, unless they hold a landmark or most of the text.
+
+    Where a landmark stands outside all doubtful nodes, asides need more than an article to stay
+    (``main``), and lists ``main`` or ``h1``; where an article or main does, no node stays for its text.
+    """
+    _spread(nodes)
+    if not any(n.doubt and not n.dropped for n in nodes):
+        return
+    _count(nodes)
+    plain = lambda n: n.chars - n.link_chars
+    most = LARGE * plain(nodes[0])
+
+    def free() -> set[str]:
+        """Landmarks in no node that is still doubtful."""
+        found, inside = set(), set()
+        for n in nodes:
+            if n.dropped or n.doubt or n.parent in inside:
+                inside.add(n)
+            elif n.tag in LANDMARKS:
+                found.add(n.tag)
+        return found
+
+    large = lambda n: plain(n) > 0 and plain(n) >= most
+    for node in nodes:
+        if node.doubt == "hint" and node.holds:
+            node.doubt = ""
+    outside = free()
+    for node in nodes:
+        if node.doubt == "hint" and large(node) and not outside & {"article", "main"}:
+            node.doubt = ""
+    outside = free()
+    for node in nodes:
+        if node.doubt == "list" and node.holds & {"main", "h1"} or node.doubt == "aside" and "main" in node.holds:
+            node.doubt = ""
+        elif node.doubt in ("list", "aside") and not outside and ("article" in node.holds or large(node)):
+            node.doubt = ""
+    for node in nodes:
+        node.dropped = node.dropped or bool(node.doubt)
+    _spread(nodes)
+
+
+def _measure(nodes: list[Node]) -> None:
+    """Counts and densities of what is not dropped."""
+    _drop_boilerplate(nodes)
+    _count(nodes)
     whole = next((n for n in nodes if n.tag == "body" and not n.dropped), nodes[0])
     share = whole.link_chars / max(whole.chars, 1)
     for node in nodes:

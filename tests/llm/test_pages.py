@@ -46,6 +46,33 @@ def test_shapes_of_pages(page, text):
     assert html_density.main_text(page) == text
 
 
+STORY = "<h1>Title</h1><p>First paragraph of some length here.</p><p>Second paragraph, also long.</p>"
+STORY_TEXT = "Title First paragraph of some length here. Second paragraph, also long."
+
+
+@pytest.mark.parametrize("name", [
+    "layout has-sidebar", "no-sidebar", "ad-free", "menu-open", "share-enabled", "sidebar", "page-header", "comments"])
+@pytest.mark.parametrize("inner", [
+    f"<article>{STORY}</article>", f"<main>{STORY}</main>", STORY, STORY.replace("h1", "h2")])
+def test_a_wrapper_keeps_its_article(name, inner):
+    page = "<body><nav><a>Home</a></nav>{}<div class=ad>Buy</div><footer>foot</footer></body>"
+    for wrapped in (f"<div class='{name}'>{inner}</div>", f"<div id=a><div id='{name.split()[-1]}'>{inner}</div></div>",
+                    f"<form action=x><input name=y><div class='{name}'>{inner}</div><div class=login>Sign in</div></form>"):
+        assert html_density.main_text(page.format(wrapped)) == STORY_TEXT
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><div class='article-header'><h1>Title</h1></div><p>Text</p></article>", "Title Text"),
+    ("<article><div class='header'><h1>Title</h1></div><p>Text</p></article>", "Title Text"),
+    (f"<body><nav><a>Home</a><div>{STORY}</div></body>", STORY_TEXT),  # never closed
+    (f"<article>{STORY}<div class=comment-list><article>{'A reply. ' * 40}</article></div></article>", STORY_TEXT),
+    (f"<article>{STORY}</article><div class=cookie-notice>{'We use cookies. ' * 40}</div>", STORY_TEXT),
+    (f"<main>{STORY}<aside><article>A teaser</article></aside><form>name</form><div class=relatedPosts>More</div></main>", STORY_TEXT),
+])
+def test_boilerplate_beside_an_article_goes(page, text):
+    assert html_density.main_text(page) == text
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (3, "u", "<p>" + "long " * 50_000 + "</p>")]
     pages = spark.createDataFrame(rows, PAGES).withColumn("text", F.lit(1)).withColumn("n_chars", F.lit("mine"))
