@@ -2,16 +2,18 @@
 
 Every DOM node gets a density: its characters for each tag, lowered the more of them stand in
 links. A node's sum adds up its children's densities; the node of the largest sum holds the
-article. The least density on its way up to the body is the threshold that sibling blocks of
-the same kind must meet to belong to it. Parts that no reader sees as text are taken out
-before; parts that their tag, role, class or id calls boilerplate only if they hold neither
-the article nor most of the text. Work is per page, in Arrow batches, without a shuffle.
+article. The least density on its way up to the body is the threshold that blocks beside it
+and beside its ancestors must meet to belong to it; titles, prose and bare text there always
+do, unless most of it are links. Parts that no reader sees as text are taken out before; parts
+that their tag, role, class or id calls boilerplate only if they hold neither the article nor
+most of the text. Work is per page, in Arrow batches, without a shuffle.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -32,7 +34,7 @@ ENDS = {
 }
 # Never text of an article.
 DROPPED = frozenset(
-    "head script style noscript template iframe object svg canvas button select textarea input audio video math".split())
+    "head title script style noscript template iframe object svg canvas button select textarea input audio video math".split())
 # Boilerplate by element, role and words of class or id, unless it wraps the article.
 ASIDES = frozenset("nav footer aside dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -50,19 +52,22 @@ NEUTRAL = frozenset(
 LANDMARKS = frozenset(("article", "main", "h1"))
 #: Share of the page's text outside links that a wrapper holds.
 LARGE = 2 / 3
+# Blocks that hold text rather than parts of a page.
+PROSE = frozenset("p ul ol li dl dt dd table caption blockquote pre figure figcaption details summary address".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 SPACE = re.compile(r"\s+")
 
 
 class Node:
     __slots__ = (
-        "tag", "parent", "parts", "dropped", "doubt", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
+        "tag", "parent", "parts", "dropped", "doubt", "holds", "chars", "tags", "blocks", "link_chars", "link_tags", "density",
+        "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: str = ""):
         self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
         self.holds: frozenset[str] = frozenset()
         self.parts: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.blocks = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
@@ -155,13 +160,14 @@ def _spread(nodes: list[Node]) -> None:
 def _count(nodes: list[Node]) -> None:
     """Children before parents; dropped parts count nothing."""
     for node in reversed(nodes):
-        node.tags = node.link_chars = node.link_tags = 0
+        node.tags = node.blocks = node.link_chars = node.link_tags = 0
         node.holds = LANDMARKS & {node.tag}
         node.chars = sum(len(SPACE.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
         for child in node.parts:
             if isinstance(child, Node) and not child.dropped:
                 node.chars += child.chars
                 node.tags += 1 + child.tags
+                node.blocks += (child.tag in BLOCK) + child.blocks
                 node.link_chars += child.chars if child.tag == "a" else child.link_chars
                 node.link_tags += (child.tag == "a") + child.link_tags
                 node.holds |= child.holds
@@ -226,7 +232,7 @@ def _measure(nodes: list[Node]) -> None:
         node.total = sum(c.density for c in node.parts if isinstance(c, Node) and not c.dropped)
 
 
-def _text(roots: list[Node]) -> str:
+def _text(roots: list[Node | str]) -> str:
     """Blocks in page order, white space inside them as one space, joined by one."""
     out: list[str] = []
     stack: list[Node | str] = list(reversed(roots))
@@ -265,15 +271,64 @@ def main_text(html: str) -> str:
         node = node.parent
     if article is not None:
         return _text([article])
-    threshold, parent = min(path, default=0.0), best.parent
-    if parent is None or best.tag in ("body", "html"):
+    if best.tag in ("body", "html", "#root"):
         return _text([best])
-    same = [
-        c for c in parent.parts
-        if isinstance(c, Node) and (c is best or not c.dropped and (
-            c.tag == best.tag and c.density >= threshold and c.density > 0 or c.tag in HEADINGS))
-    ]
-    return _text(same)
+    return _text(_around(best, min(path, default=0.0)))
+
+
+def _sides(node: Node, stays) -> tuple[list[Node | str], list[Node | str]]:
+    """What is kept of the parent before and after the node: blocks that ``stays`` allows, and bare text.
+
+    Bare text goes with the inline elements in it and is left out where most of it are links.
+    """
+    before: list[Node | str] = []
+    after: list[Node | str] = []
+    out, run = before, []
+
+    def close() -> None:
+        chars = sum(len(p.strip()) if isinstance(p, str) else p.chars for p in run)
+        links = sum(0 if isinstance(p, str) else p.chars if p.tag == "a" else p.link_chars for p in run)
+        out.extend(run if chars > 2 * links else [" "])
+        run.clear()
+
+    for part in node.parent.parts:
+        if part is node:
+            close()
+            out = after
+        elif isinstance(part, str):
+            run.append(part)
+        elif part.tag in BLOCK or part.blocks:
+            close()
+            out.append(part if not part.dropped and stays(part) else " ")
+        elif not part.dropped:
+            run.append(part)
+    close()
+    return before, after
+
+
+def _around(best: Node, threshold: float) -> list[Node | str]:
+    """The node and, from each of its ancestors up to the body, titles, prose, bare text and what meets the threshold.
+
+    The threshold is the least density on this way, so every ancestor meets it.
+    """
+    unlinked = lambda n: n.chars > 2 * n.link_chars
+
+    def stays(n: Node) -> bool:
+        if n.density > 0 and n.density >= threshold or n.tag in HEADINGS and node is best:
+            return True
+        return unlinked(n) and (n.tag in HEADINGS or n.tag in PROSE or "h1" in n.holds)
+
+    kept: deque[Node | str] = deque([best])
+    node = best
+    while node.parent is not None and node.tag not in ("body", "html"):
+        before, after = _sides(node, stays)
+        if node.tag in BLOCK:
+            before.append(" ")
+            kept.append(" ")
+        kept.extendleft(reversed(before))
+        kept.extend(after)
+        node = node.parent
+    return list(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -73,6 +73,27 @@ def test_boilerplate_beside_an_article_goes(page, text):
     assert html_density.main_text(page) == text
 
 
+LONG = "".join(f"<p>Paragraph {i} of the story, with enough words in it to be dense.</p>" for i in range(6))
+LONG_TEXT = " ".join(f"Paragraph {i} of the story, with enough words in it to be dense." for i in range(6))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div id=text><p>An intro.</p><div>{LONG}</div><ul><li>one<li>two</ul><blockquote>Quoted.</blockquote>"
+     "<table><tr><td>a<td>b</table><pre>code</pre><figure><figcaption>Seen</figcaption></figure></div>",
+     f"An intro. {LONG_TEXT} one two Quoted. a b code Seen"),
+    (f"<div>Bare <b>te</b>xt, then<div>{LONG}</div>and more <a href=x>of</a> it</div>", f"Bare text, then {LONG_TEXT} and more of it"),
+    (f"<div><div class=meta><h1>Title</h1></div><div><p>Lead of the story.</p><div><div>{LONG}</div></div></div><p>End.</p></div>",
+     f"Title Lead of the story. {LONG_TEXT} End."),
+    (f"<div><section>{'A dense section of another tag. ' * 9}</section><div>{LONG}</div></div>",
+     f"{('A dense section of another tag. ' * 9).strip()} {LONG_TEXT}"),
+    (f"<div><a href=a>Home</a> | <a href=b>News</a><div>{LONG}</div><ul><li><a href=c>Older</a><li><a href=d>Newer</a></ul></div>",
+     LONG_TEXT),
+])
+@pytest.mark.parametrize("frame", ["{}", "<html><head><title>T</title></head><body><nav><a>x</a></nav>{}</body></html>", "<title>T</title>{}"])
+def test_text_around_the_densest_node_stays(frame, page, text):
+    assert html_density.main_text(frame.format(page)) == text
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (3, "u", "<p>" + "long " * 50_000 + "</p>")]
     pages = spark.createDataFrame(rows, PAGES).withColumn("text", F.lit(1)).withColumn("n_chars", F.lit("mine"))
