@@ -1,7 +1,7 @@
 """Order MinHash fingerprints: sketches that follow edit distance, with DataFrame functions only.
 
-A text is a sequence of units (runs of up to eight non-space characters); its k-mers are
-numbered by occurrence, so repeats count. The numbered k-mers of a text are hashed once and
+A text's k-mers start at every character, white space included; they are numbered by
+occurrence, so repeats count. The numbered k-mers of a text are hashed once and
 sorted on a ring; sample i takes the first ``picked`` of them clockwise of point i, which are
 the minimal ones under the i-th rotation of the hash order. They are put back in text order
 and hashed as one tuple. Two texts are alike to the share of samples in which they agree:
@@ -14,38 +14,57 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from isobar.llm.common import count_at_most, free_name, let, longs, pieces, quantiles
 
-UNIT = r"\S{1,8}"
-KMER = 3
+KMER = 16
 PICKED = 2
 SAMPLES = 64
 PLACE_BITS = 24
 PLACE = (1 << PLACE_BITS) - 1
+#: Numbered k-mers that a sample of a long text chooses from, on average; that too few are there has a chance of e^-60.
+NEAR = 64
 
 
-def _numbered(kmers: Column) -> Column:
-    """Ascending array of hashes of (k-mer, occurrence) with the 1-based place in their low bits."""
+def _numbered(kmers: Column, samples: int) -> Column:
+    """Ascending array of hashes of (k-mer, occurrence) with the 1-based place in their low bits.
+
+    In a long text only those that are near behind a sample's point.
+    """
+    kmer = lambda x: F.shiftright(x, PLACE_BITS)
+    numbered = lambda x, o: F.xxhash64(kmer(x), o).bitwiseAND(~PLACE).bitwiseOR(x.bitwiseAND(PLACE))
+
     def by_runs(s: Column) -> Column:
         n = F.size(s)
-        kmer = lambda i: F.shiftright(F.get(s, i), PLACE_BITS)
-        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (kmer(i) != kmer(i - 1)))
-        occurrence = lambda x, o: F.xxhash64(F.shiftright(x, PLACE_BITS), o).bitwiseAND(~PLACE).bitwiseOR(x.bitwiseAND(PLACE))
-        return let(starts, lambda st: F.flatten(F.transform(
-            st, lambda i, j: F.transform(F.slice(s, i + 1, F.coalesce(F.get(st, j + 1), n) - i), occurrence))))
-    return F.sort_array(let(F.sort_array(kmers), by_runs))
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (kmer(F.get(s, i)) != kmer(F.get(s, i - 1))))
+        return let(starts, lambda st: F.flatten(F.transform(st, lambda i, j: F.transform(
+            F.slice(s, i + 1, F.coalesce(F.get(st, j + 1), n) - i), lambda x, o: numbered(x, o + 1)))))
+
+    def of_sorted(s: Column) -> Column:
+        new = lambda x, i: (i == 0) | (kmer(x) != kmer(F.get(s, i - 1)))
+        first = F.transform(F.filter(s, new), lambda x: numbered(x, F.lit(0)))
+        again = F.filter(s, lambda x, i: ~new(x, i))
+        later = let(again, lambda r: F.when(F.size(r) == 0, F.array().cast("array<bigint>")).otherwise(by_runs(r)))
+        return F.concat(first, later)
+
+    def near(t: Column) -> Column:
+        arc = 2**64 // samples
+        reach = (F.lit(float(arc)) * (NEAR * samples) / F.size(t)).cast("bigint")
+        close = let(reach, lambda l: F.filter(t, lambda x: F.pmod(x, F.lit(arc)) < l))
+        return F.when(F.size(t) <= 4 * NEAR * samples, t).otherwise(close)
+
+    return F.sort_array(let(let(F.sort_array(kmers), of_sorted), near))
 
 
 def signature(text: Column, samples: int = SAMPLES, kmer: int = KMER, picked: int = PICKED) -> Column:
-    """``samples`` 16-bit tuple hashes as array<int>; empty for a text without a unit. Null counts as empty.
+    """``samples`` (a power of two) 16-bit tuple hashes as array<int>; empty for an empty text. Null counts as empty.
 
-    A text shorter than a k-mer counts as one; beyond 2^24 units, places are equal.
+    A text shorter than a k-mer counts as one; beyond 2^24 characters, places are equal.
     """
-    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
+    wide = F.encode(F.coalesce(text, F.lit("")), "UTF-32")  # four bytes a character, so any offset is found at once
 
-    def of_hashes(h: Column) -> Column:
-        count = F.greatest(F.size(h) - (kmer - 1), F.lit(1))
-        composite = lambda x, i: F.xxhash64(x, *(F.get(h, i + d) for d in range(1, kmer))).bitwiseAND(~PLACE).bitwiseOR(
+    def of_bytes(b: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest((F.octet_length(b) / 4).cast("int") - kmer, F.lit(0)))
+        composite = lambda i: F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * kmer))).bitwiseAND(~PLACE).bitwiseOR(
             F.least(i + 1, F.lit(PLACE)).cast("bigint"))
-        return let(_numbered(F.transform(F.slice(h, F.lit(1), count), composite)), of_sorted)
+        return let(_numbered(F.transform(starts, composite), samples), of_sorted)
 
     def of_sorted(t: Column) -> Column:
         n = F.size(t)
@@ -57,9 +76,8 @@ def signature(text: Column, samples: int = SAMPLES, kmer: int = KMER, picked: in
         return F.transform(at, lambda p, i: F.xxhash64(F.transform(
             F.sort_array(chosen(p, i)), lambda e: e.kmer)).bitwiseAND(0xFFFF).cast("int"))
 
-    hashes = F.transform(units, lambda u: F.xxhash64(u))
     none = F.array().cast("array<int>")
-    return let(hashes, lambda h: F.when(F.size(h) == 0, none).otherwise(of_hashes(h)))
+    return let(wide, lambda b: F.when(F.octet_length(b) == 0, none).otherwise(of_bytes(b)))
 
 
 def fingerprint(sig: Column) -> Column:

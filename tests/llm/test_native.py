@@ -42,6 +42,20 @@ def test_signature_follows_order_and_repeats(documents):
     assert like(5, 6) < 1  # the same k-mers, but not as often
 
 
+def test_signature_follows_single_characters(documents):
+    rng = random.Random(5)
+    unspaced = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(4000))
+    spaced = " ".join(f"word{rng.randrange(10**6)}" for _ in range(300))
+    wide = "".join(rng.choice("\U0001F600\U0001F680ab") for _ in range(20_000))
+    short = "three words and a bit"
+    pairs = [(unspaced, "\u4e00" + unspaced), (unspaced, unspaced[:2000] + "x" + unspaced[2000:]), (wide, wide[1:]),
+             (spaced, spaced.replace(" ", "  ", 3)), (short, short + "s"), (spaced, unspaced)]
+    rows = documents(*[(2 * i + j, t) for i, pair in enumerate(pairs) for j, t in enumerate(pair)])
+    sig = {r.doc_id: r.s for r in rows.select("doc_id", order_minhash.signature(F.col("text")).alias("s")).collect()}
+    like = [sum(p == q for p, q in zip(sig[2 * i], sig[2 * i + 1])) / 64 for i in range(len(pairs))]
+    assert min(like[:3]) > 0.9 and 0.6 < like[3] < 1 and 0 < like[4] < 1 and like[5] < 0.1
+
+
 def test_order_minhash_odd_rows(odd):
     found = order_minhash.fingerprinted_edits(odd).collect()
     assert len(found) == 10
