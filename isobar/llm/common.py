@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -96,3 +99,55 @@ def map_texts(df: DataFrame, prepare: Callable[[], Callable[[list[str]], list]],
             yield pa.RecordBatch.from_arrays([*(batch.column(n).cast(schema.field(n).type) for n in names), *made], schema=schema)
 
     return df.select(*dict.fromkeys([*names, column])).mapInArrow(run, out)
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[tuple[list[bytes], pa.Table]]:
+    """Consecutive rows of about ``limit`` bytes of text: the texts, null as empty, and a table of the other columns."""
+    texts, kept, size = [], [], 0
+    for batch in batches:
+        rest, start = pa.Table.from_batches([batch.drop_columns([column])]), 0
+        for i, text in enumerate(batch.column(column).cast(pa.binary()).to_pylist()):
+            texts.append(text or b"")
+            size += 1 + len(texts[-1])
+            if size >= limit:
+                yield texts, pa.concat_tables([*kept, rest.slice(start, i + 1 - start)])
+                texts, kept, size, start = [], [], 0, i + 1
+        if start < batch.num_rows:
+            kept.append(rest.slice(start))
+    if texts:
+        yield texts, pa.concat_tables(kept)
+
+
+def one_list(rows: pa.Table, kind: pa.DataType) -> pa.Array:
+    """The table's rows as the one element of a list array of the given type."""
+    structs = rows.to_struct_array()
+    if isinstance(structs, pa.ChunkedArray):
+        structs = pa.concat_arrays(structs.chunks) if structs.num_chunks else pa.array([], structs.type)
+    return pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs).cast(kind)
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return to_arrow_schema(schema)
+
+
+def packed(values: np.ndarray, kind: str = "<u4") -> bytes:
+    """Integers as compressed byte planes of a fixed-width type."""
+    width = np.dtype(kind).itemsize
+    planes = values.astype(kind).view(np.uint8).reshape(-1, width).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked(blob: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """The rows, written once to the shared folder as one file for each bucket of ``key``: joins by it move only their other side."""
+    spark, alias = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.option("path", scratch_path(spark, name)).option("compression", "zstd").bucketBy(
+        buckets, key).saveAsTable(alias)
+    found = spark.table(alias)
+    found.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {alias}")
+    return found

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isobar.llm import (
-    bpe, curriculum, histogram_sort, html_density, language_mixture, maxscore, ngram_join, order_minhash, toxicity, wacz)
+    bpe, curriculum, fill_in_middle, filter_audit, histogram_sort, html_density, language_mixture, maxscore, ngram_join,
+    order_minhash, super_kmers, toxicity, wacz)
 from isobar.llm.common import table
 
 
@@ -90,10 +91,28 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 35 words that stand more than once."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return super_kmers.strip_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, counted for each source."""
+    return filter_audit.audit(filter_audit.flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut at lines and rearranged, and put together again."""
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_maxscore, op2_order_minhash, op3_byte_bpe, op4_curriculum, op5_ngram_join,
     op6_compression_toxicity, op7_text_density, op8_language_mixture, op9_zip_warc,
-    op10_histogram_sort)}
+    op10_histogram_sort, op11_super_kmers, op12_filter_audit, op13_fill_in_middle)}
 
 ORACLE = {
     "op1_maxscore": """
@@ -146,4 +165,82 @@ ORACLE = {
                CASE WHEN y1 > 0 THEN round(least(2 * y1 / (rate + sqrt(greatest(rate * rate + 2 * slope * y1, 0))), 1), 9) ELSE y1 END AS position,
                CASE WHEN y2 > 0 THEN round(least(2 * y2 / (rate + sqrt(greatest(rate * rate + 2 * slope * y2, 0))), 1), 9) ELSE y2 END AS position_again
         FROM placed""",
+    "op11_super_kmers": """
+        WITH lists AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+        words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM lists),
+        windows AS (
+            SELECT r, i, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS n FROM words
+            WINDOW f AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+        repeated AS (SELECT s FROM windows WHERE n = 35 GROUP BY s HAVING count(*) > 1),
+        starts AS (SELECT r, i, CASE WHEN n = 35 AND s IN (SELECT s FROM repeated) THEN 1 ELSE 0 END AS hit FROM windows),
+        covered AS (
+            SELECT r, i, max(hit) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM starts),
+        kept AS (
+            SELECT r, sum(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS text
+            FROM covered JOIN words USING (r, i) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM lists LEFT JOIN kept USING (r)""",
+    "op12_filter_audit": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        least AS (SELECT text, min(doc_id) AS least FROM texts GROUP BY text),
+        marks AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        flags AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {
+                'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+                'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+                'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(texts.doc_id > least, false)} AS f
+            FROM texts JOIN least USING (text) LEFT JOIN marks ON marks.doc_id = texts.doc_id),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+            FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+            JOIN letters d ON d.l NOT IN (a.l, b.l, c.l) JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)),
+        states AS (
+            SELECT part, good, toxic, (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END)
+                || (CASE WHEN f.C THEN 'C' ELSE '' END) || (CASE WHEN f.D THEN 'D' ELSE '' END)
+                || (CASE WHEN f.E THEN 'E' ELSE '' END) AS failed, count(*) AS n
+            FROM flags GROUP BY ALL),
+        steps AS (
+            SELECT part, filter_order, step, filter_order[step] AS letter, n, good, toxic, length(failed) AS fails,
+                   contains(failed, filter_order[step]) AS here,
+                   length(translate(filter_order[:step - 1], failed, '')) = step - 1 AS reached,
+                   length(translate(filter_order[:step], failed, '')) = step AS passed
+            FROM states, orders, (SELECT unnest(range(1, 6)) AS step)),
+        counted AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+                   CAST(sum(CASE WHEN passed THEN n ELSE 0 END) AS BIGINT) AS kept,
+                   CAST(sum(CASE WHEN here AND reached THEN n ELSE 0 END) AS BIGINT) AS removed,
+                   CAST(sum(CASE WHEN here AND NOT reached THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                   CAST(sum(CASE WHEN here AND fails = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                   CAST(sum(CASE WHEN here AND reached AND good = 1 THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+                   CAST(sum(CASE WHEN here AND reached AND toxic = 1 THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+            FROM steps GROUP BY ALL)
+        SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted""",
+    "op13_fill_in_middle": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+                   sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        drawn AS (
+            SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS one,
+                   CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS two,
+                   text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                       OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 AS plain,
+                   CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS spm FROM texts),
+        cut AS (
+            SELECT *, array_to_string(list_slice(u, 1, least(one, two)), '') AS p,
+                   array_to_string(list_slice(u, least(one, two) + 1, greatest(one, two)), '') AS m,
+                   array_to_string(list_slice(u, greatest(one, two) + 1, n), '') AS s FROM drawn)
+        SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN NOT plain THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || s || '<P>' || p || '<M>' || m
+                      ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM cut""",
 }
