@@ -27,7 +27,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from isobar.llm.common import bounded_batches, pieces
 from isobar.session import scratch_path
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Bytes of words whose ids a task remembers; beyond that it starts anew, which costs time only.
+KNOWN_BYTES = 32 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -132,6 +134,7 @@ ENCODED = pa.schema([("block", pa.string()), ("shelf", pa.int32()), ("lengths",
 
 def _encoded(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, list[int]] = {}  # a word stands on one shelf only, so it is encoded here and nowhere else
+    size = 0
     for batch in batches:
         for row in batch.to_pylist():
             flat = zstandard.ZstdDecompressor().decompress(row["words"])
@@ -139,6 +142,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iter
             for word in _lists(_unpacked(row["lengths"]), flat):
                 found = known.get(word)
                 if found is None:
+                    size += 200 + 2 * len(word)
+                    if size > KNOWN_BYTES:
+                        known.clear()
+                        size = 0
                     found = known[word] = encode_word(word, ranks)
                 ids.append(found)
             yield pa.RecordBatch.from_pylist([{
@@ -184,12 +191,8 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """The rows without ``text``, with ``ids``: its token ids as packed little-endian unsigned 32-bit integers.
-
-    A null text counts as empty and has no ids. All other columns are kept, but one called ids
-    is replaced. No special tokens are recognised.
-    """
+def _assembly(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> tuple[DataFrame, T.StructType]:
+    """Blocks beside the ids of their words, and the type of the encoded rows."""
     bounded_batches(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
     kept = T.StructType([T.StructField(f.name, f.dataType) for f in rest])
@@ -201,17 +204,43 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         T.StructField("docs", T.ArrayType(kept)),
     ])
     out = T.StructType([*kept.fields, T.StructField("ids", T.BinaryType())])
-    block_arrow, out_arrow, shelves = _arrow(block), _arrow(out), pieces(docs.sparkSession, 1)
+    block_arrow, shelves = _arrow(block), pieces(docs.sparkSession, 1)
     blocks = _shelved(docs.select("text", *kept.names).mapInArrow(
-        lambda b: _blocks(b, pattern, shelves, block_arrow), block), shelves)
+        lambda b: _released(_blocks(b, pattern, shelves, block_arrow)), block), shelves)
     encoded = blocks.select("block", F.inline("words")).repartition("shelf").mapInArrow(
-        lambda b: _encoded(b, ranks), "block string, shelf int, lengths binary, ids binary")
+        lambda b: _released(_encoded(b, ranks)), "block string, shelf int, lengths binary, ids binary")
     entries = encoded.groupBy("block").agg(
         F.collect_list(F.struct("shelf", "lengths", "ids")).alias("shelves"))  # the words of one block, bounded by its bytes
     return (
         blocks.select("block", "docs", "counts", "places").join(entries.hint("merge"), "block", "left")
-        .select("docs", "counts", "places", "shelves").mapInArrow(lambda b: _assembled(b, out_arrow), out)
-    )
+        .select("docs", "counts", "places", "shelves")
+    ), out
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """The rows without ``text``, with ``ids``: its token ids as packed little-endian unsigned 32-bit integers.
+
+    A null or empty text has no ids. All other columns are kept, but one called ids is replaced;
+    repeated rows come back as often as they were given, no rows give none. No special tokens are
+    recognised. A text is held whole by one task.
+    """
+    blocks, out = _assembly(docs, ranks, pattern)
+    schema = _arrow(out)
+    return blocks.mapInArrow(lambda b: _released(_assembled(b, schema)), out)
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """What ``decode(encode(...))`` gives, with both last steps in the same Python worker."""
+    blocks, encoded = _assembly(docs, ranks, pattern)
+    tokens, out = _tokens(ranks), _with_bytes(encoded)
+    middle, schema = _arrow(encoded), _arrow(out)
+    return blocks.mapInArrow(lambda b: _released(_decoded(_assembled(b, middle), tokens, schema)), out)
+
+
+def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; workers are used again, so what Arrow keeps for later goes back to the system at the end."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], tokens: list[bytes], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -230,11 +259,18 @@ def _decoded(batches: Iterator[pa.RecordBatch], tokens: list[bytes], schema: pa.
         yield pa.RecordBatch.from_arrays([*columns, texts], schema=schema)
 
 
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    if sorted(ranks.values()) != list(range(len(ranks))):
+        raise ValueError("ranks must be gapless from 0")
+    return sorted(ranks, key=ranks.__getitem__)
+
+
+def _with_bytes(encoded: T.StructType) -> T.StructType:
+    return T.StructType([*(f for f in encoded.fields if f.name != "decoded"), T.StructField("decoded", T.BinaryType())])
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Add ``decoded``: the bytes of the packed ``ids``, null where they are; an id outside the vocabulary stops the job."""
-    tokens = [token for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
-    if sorted(ranks.values()) != list(range(len(tokens))):
-        raise ValueError("ranks must be gapless from 0")
-    out = T.StructType([*(f for f in encoded.schema.fields if f.name != "decoded"), T.StructField("decoded", T.BinaryType())])
+    tokens, out = _tokens(ranks), _with_bytes(encoded.schema)
     arrow = _arrow(out)
-    return encoded.mapInArrow(lambda b: _decoded(b, tokens, arrow), out)
+    return encoded.mapInArrow(lambda b: _released(_decoded(b, tokens, arrow)), out)

@@ -26,7 +26,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     """Token ids of all documents, and the texts decoded from them, as digests."""
     ranks = bpe.read_ranks(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).select(
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

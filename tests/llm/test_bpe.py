@@ -31,6 +31,9 @@ def test_ids_and_round_trip(odd, documents, monkeypatch, block):
     found = bpe.decode(encoded, RANKS).collect()
     expected = sorted((repr(r.doc_id), LIBRARY.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect())
     assert sorted((repr(r.doc_id), ids(r.ids), bytes(r.decoded)) for r in found) == expected
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 500)
+    found = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((repr(r.doc_id), ids(r.ids), bytes(r.decoded)) for r in found) == expected
 
 
 def test_empty_and_clashing(documents):
