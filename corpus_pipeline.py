@@ -47,7 +47,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     text = F.coalesce("text", F.lit(""))
     checked = docs.select("doc_id", "lang", "source", "text", F.sha2(text, 256).alias("text_sha256"))
-    done = bpe.decode(bpe.encode(checked, ranks, public_tokenizers.PATTERN), ranks)
+    done = bpe.round_trip(checked, ranks, public_tokenizers.PATTERN)
     return done.select(
         "doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
