@@ -10,11 +10,12 @@ from pyspark.sql.types import DataType, TimestampNTZType
 from isobar.session import require_utc
 
 GRAINS = ("day", "month", "year")
+DIRECTORY_GRAINS = ("hour", *GRAINS)
 
 
 def bucket(df: DataFrame, grain: str, column: str = "datetime") -> Column:
     """Start of the UTC calendar period, in the type of the column itself; refused in sessions of another zone."""
-    if grain not in GRAINS:
+    if grain not in DIRECTORY_GRAINS:
         raise ValueError(f"unknown grain {grain}")
     require_utc(df.sparkSession)
     return F.date_trunc(grain, column).cast(df.schema[column].dataType)
@@ -22,7 +23,10 @@ def bucket(df: DataFrame, grain: str, column: str = "datetime") -> Column:
 
 def floor_to(grain: str, instant: datetime) -> datetime:
     """Start of the UTC calendar period holding ``instant``."""
-    instant = _utc(instant).replace(hour=0, minute=0, second=0, microsecond=0)
+    instant = _utc(instant).replace(minute=0, second=0, microsecond=0)
+    if grain == "hour":
+        return instant
+    instant = instant.replace(hour=0)
     if grain == "day":
         return instant
     if grain == "month":
@@ -34,8 +38,8 @@ def floor_to(grain: str, instant: datetime) -> datetime:
 
 def next_period(grain: str, start: datetime) -> datetime:
     """Start of the period after the one holding ``start``."""
-    step = {"day": 1, "month": 32, "year": 367}[grain]
-    return floor_to(grain, floor_to(grain, start) + timedelta(days=step))
+    step = {"hour": timedelta(hours=1), "day": timedelta(days=1), "month": timedelta(days=32), "year": timedelta(days=367)}[grain]
+    return floor_to(grain, floor_to(grain, start) + step)
 
 
 def period_range(grain: str, start: datetime, end: datetime | None = None) -> tuple[datetime, datetime]:

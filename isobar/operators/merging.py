@@ -35,6 +35,14 @@ def merge(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(batch)
 
 
+def merge_newer(existing: DataFrame, batch: DataFrame, keys: Sequence[str], rank: Sequence[str]) -> DataFrame:
+    """One row per key, that of the greatest rank on either side: a stored row yields only to a greater one.
+
+    With a rank that orders all rows of a key, batches may come in any order and again.
+    """
+    return last_write(existing.unionByName(batch), keys, rank)
+
+
 def add_counters(target: DataFrame, delta: DataFrame, keys: Sequence[str], counters: Sequence[str]) -> DataFrame:
     """Counters of ``target`` increased by ``delta``; applying a delta twice counts it twice."""
     columns = [*keys, *counters]

@@ -78,8 +78,16 @@ def precipitation(df: DataFrame, grain: str) -> DataFrame:
 
 
 def daily_partials(df: DataFrame) -> DataFrame:
-    """Mergeable day partials: the only pass over the readings a full roll-up needs."""
-    return _by_period(df, "day").agg(
+    """Mergeable day partials."""
+    return partials(df, "day")
+
+
+def partials(df: DataFrame, grain: str) -> DataFrame:
+    """Mergeable partials of hours or days: the only pass over the readings a full roll-up needs.
+
+    ``temp_min`` and ``temp_max`` are the extremes of the readings' own, ``low`` and ``high`` those of ``temp``.
+    """
+    return _by_period(df, grain).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("temp").alias("temp_sum"),
         F.count("temp").alias("temp_count"),
@@ -87,6 +95,8 @@ def daily_partials(df: DataFrame) -> DataFrame:
         F.count("pressure").alias("pressure_count"),
         F.min("temp_min").alias("temp_min"),
         F.max("temp_max").alias("temp_max"),
+        F.min("temp").alias("low"),
+        F.max("temp").alias("high"),
         F.sum(total_precipitation()).alias("sum_precipitation"),
     )
 
@@ -102,8 +112,14 @@ def precipitation_from_partials(partials: DataFrame, grain: str) -> DataFrame:
 
 
 def summary_from_partials(partials: DataFrame, grain: str) -> DataFrame:
-    """Statistics and precipitation of any grain from finer partials, in one aggregation."""
-    return _by_period(partials, grain).agg(*_merge_statistics(), F.sum("sum_precipitation").alias("sum_precipitation"))
+    """Statistics and precipitation of any grain from finer partials, in one aggregation; ``low`` and ``high`` besides."""
+    return _by_period(partials, grain).agg(*_merge_statistics(), F.min("low").alias("low"), F.max("high").alias("high"),
+                                           F.sum("sum_precipitation").alias("sum_precipitation"))
+
+
+def with_extremes_of_temp(summary: DataFrame) -> DataFrame:
+    """A summary from partials whose extremes are those of ``temp`` itself, as in :func:`day_summary`."""
+    return summary.withColumns({"temp_min": F.col("low"), "temp_max": F.col("high")})
 
 
 def coarser_partials(partials: DataFrame, grain: str) -> DataFrame:
@@ -111,7 +127,7 @@ def coarser_partials(partials: DataFrame, grain: str) -> DataFrame:
     sums = ("n", "temp_sum", "temp_count", "pressure_sum", "pressure_count")
     return _by_period(partials, grain).agg(
         *[F.sum(c).alias(c) for c in sums], F.min("temp_min").alias("temp_min"), F.max("temp_max").alias("temp_max"),
-        F.sum("sum_precipitation").alias("sum_precipitation"))
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("sum_precipitation").alias("sum_precipitation"))
 
 
 def all_grains(df: DataFrame) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.functions.temporal import bucket, floor_to, next_period, period_range
 from isobar.operators.rollups import (
-    PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, daily_partials, day_summary, summary_from_partials,
+    PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, day_summary, partials, summary_from_partials,
+    with_extremes_of_temp,
 )
 from isobar.schemas import (
-    DAILY_PARTIALS, DAY_SUMMARY, MONTHLY_PARTIALS, OBSERVATIONS, PARTITION, PRECIPITATION_TOTALS, STATISTICS, TableSpec,
+    DAILY_PARTIALS, DAY_SUMMARY, HOURLY_PARTIALS, KEY, LATEST, MONTHLY_PARTIALS, OBSERVATIONS, PARTITION,
+    PRECIPITATION_TOTALS, STATISTICS, TableSpec,
 )
 from isobar.session import configure
 from isobar.sinks.upsert import read_parts, read_stored, recover, replace, upsert
@@ -24,7 +26,7 @@ from isobar.sources.payloads import rows_from_documents
 from isobar.streaming.ingest import ingest
 
 
-AGGREGATES = (DAILY_PARTIALS, MONTHLY_PARTIALS, *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
+AGGREGATES = (HOURLY_PARTIALS, DAILY_PARTIALS, MONTHLY_PARTIALS, DAY_SUMMARY, *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
 
 
 def table_path(root: str, spec: TableSpec) -> str:
@@ -42,9 +44,9 @@ def process_day(spark: SparkSession, root: str, instant: datetime,
                 cities: DataFrame | Sequence[str] | None = None) -> None:
     """Both daily results of the day holding ``instant``, for some or all cities.
 
-    One scan of one day's directory feeds both tables. The extremes are those of ``temp``
-    and so have their own table; :func:`rollup` and :func:`refresh` keep those of the
-    readings' own ``temp_min`` and ``temp_max``.
+    One scan of one day's directories feeds both tables. The extremes are those of ``temp``
+    and so have their own table, beside the one with those of the readings' own ``temp_min`` and
+    ``temp_max``; :func:`rollup` and :func:`refresh` keep both.
     """
     start, end = period_range("day", instant)
     observations = read_stored(spark, table_path(root, OBSERVATIONS), OBSERVATIONS, start, end)
@@ -67,37 +69,48 @@ def rollup(spark: SparkSession, root: str) -> None:
     """All aggregate tables anew: the readings are scanned once, each grain's partials once."""
     path = lambda spec: table_path(root, spec)
     for spec in (OBSERVATIONS, *AGGREGATES):
-        recover(spark, path(spec), spec)
-    replace(daily_partials(read_stored(spark, path(OBSERVATIONS), OBSERVATIONS)), path(DAILY_PARTIALS), DAILY_PARTIALS)
+        recover(spark, path(spec))
+    replace(partials(read_stored(spark, path(OBSERVATIONS), OBSERVATIONS), "hour"), path(HOURLY_PARTIALS), HOURLY_PARTIALS)
+    hours = read_stored(spark, path(HOURLY_PARTIALS), HOURLY_PARTIALS)
+    replace(coarser_partials(hours, "day"), path(DAILY_PARTIALS), DAILY_PARTIALS)
     days = read_stored(spark, path(DAILY_PARTIALS), DAILY_PARTIALS)
     replace(coarser_partials(days, "month"), path(MONTHLY_PARTIALS), MONTHLY_PARTIALS)
     months = read_stored(spark, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS)
-    for grain, partials in (("day", days), ("month", months), ("year", months)):
-        summary = summary_from_partials(partials, grain).persist()
-        try:
-            store_summary(summary, root, STATISTICS[grain], PRECIPITATION_TOTALS[grain], replace)
-        finally:
-            summary.unpersist()
+    for grain, finer in (("day", days), ("month", months), ("year", months)):
+        store_grain(summary_from_partials(finer, grain), root, grain, replace)
+
+
+def store_grain(summary: DataFrame, root: str, grain: str,
+                write: Callable[[DataFrame, str, TableSpec], object] | None = None) -> None:
+    """Write a grain's statistics and precipitation, for days both kinds of statistics."""
+    summary = summary.persist()
+    try:
+        store_summary(summary, root, STATISTICS[grain], PRECIPITATION_TOTALS[grain], write)
+        if grain == "day":
+            write = write or (lambda df, path, spec: upsert(df, path, spec, rank=[]))
+            write(with_extremes_of_temp(summary).select(*STATISTICS_COLUMNS), table_path(root, DAY_SUMMARY), DAY_SUMMARY)
+    finally:
+        summary.unpersist()
 
 
 def refresh(spark: SparkSession, root: str, changed: DataFrame) -> None:
     """Bring the aggregate tables up to date after readings of some (city, datetime) changed.
 
-    Only the changed cities' days are recomputed from the readings, then their months from
-    the day partials and their years from the month partials. What is read is the directories
-    that hold them, what is rewritten the directories of the results.
+    Only the changed cities' hours are recomputed from the readings, then their days from the
+    hour partials, and so on up to years, however long ago the readings were. What is read is the
+    directories that hold them, what is rewritten the directories of the results. The tables are
+    those of :func:`rollup`; partials must be complete, so the first batches go into an empty root
+    or a roll-up comes first.
     """
     path = lambda spec: table_path(root, spec)
-    for spec in (OBSERVATIONS, *AGGREGATES):
-        recover(spark, path(spec), spec)
-    days = changed.select("city", bucket(changed, "day").alias("datetime")).distinct().persist()
-    held: list[DataFrame] = [days]
+    hours = changed.select("city", bucket(changed, "hour").alias("datetime")).distinct().persist()
+    held: list[DataFrame] = [hours]
 
     def of(source: TableSpec, grain: str) -> DataFrame:
         """Stored rows of the changed cities in their changed periods of ``grain``."""
-        touched = days.select("city", bucket(days, grain).alias("_period")).distinct()
-        names = days.select(bucket(days, grain).alias("_period")).distinct().collect()  # one row for each period
-        rows = read_parts(spark, path(source), source, _directories(source, grain, [r[0] for r in names]))
+        touched = hours.select("city", bucket(hours, grain).alias("_period")).distinct()
+        names = hours.select(bucket(hours, grain).alias("_period")).distinct().collect()  # one row for each period
+        rows = read_parts(spark, path(source), source, _directories(source, grain, [r[0] for r in names if r[0]]))
         period = bucket(rows, grain)
         return rows.withColumn("_period", period).join(touched, ["city", "_period"], "left_semi").drop("_period", PARTITION)
 
@@ -106,38 +119,56 @@ def refresh(spark: SparkSession, root: str, changed: DataFrame) -> None:
         return df
 
     try:
-        if days.isEmpty():
+        if hours.isEmpty():
             return
-        fresh = keep(daily_partials(of(OBSERVATIONS, "day")))
+        upsert(partials(of(OBSERVATIONS, "hour"), "hour"), path(HOURLY_PARTIALS), HOURLY_PARTIALS, rank=[])
+        fresh = keep(coarser_partials(of(HOURLY_PARTIALS, "day"), "day"))
         upsert(fresh, path(DAILY_PARTIALS), DAILY_PARTIALS, rank=[])
-        store_summary(summary_from_partials(fresh, "day"), root, STATISTICS["day"], PRECIPITATION_TOTALS["day"])
+        store_grain(summary_from_partials(fresh, "day"), root, "day")
         months = keep(coarser_partials(of(DAILY_PARTIALS, "month"), "month"))
         upsert(months, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS, rank=[])
-        store_summary(summary_from_partials(months, "month"), root, STATISTICS["month"], PRECIPITATION_TOTALS["month"])
-        years = keep(summary_from_partials(of(MONTHLY_PARTIALS, "year"), "year"))
-        store_summary(years, root, STATISTICS["year"], PRECIPITATION_TOTALS["year"])
+        store_grain(summary_from_partials(months, "month"), root, "month")
+        store_grain(summary_from_partials(of(MONTHLY_PARTIALS, "year"), "year"), root, "year")
     finally:
         for df in held:
             df.unpersist()
 
 
-def _directories(spec: TableSpec, grain: str, periods: Sequence[datetime]) -> set[date]:
+def _directories(spec: TableSpec, grain: str, periods: Sequence[datetime]) -> set[date | str]:
     """Directories of a table that can hold rows of whole periods of ``grain``."""
     found = set()
     for start in periods:
         at, end = floor_to(spec.grain, start), next_period(grain, start)
         while at < end:
-            found.add(at.date())
+            found.add(spec.part(at))
             at = next_period(spec.grain, at)
     return found
 
 
+def store_latest(readings: DataFrame, root: str) -> None:
+    """Keep the newest reading of each city, as :func:`isobar.operators.series.latest` chooses it.
+
+    A stored reading yields only to a newer one, of equal times to that of the greater other values,
+    so batches may come in any order and again. Readings without a time or city have no place.
+    """
+    timed = readings.where("city IS NOT NULL AND datetime IS NOT NULL")
+    order = ["datetime", *(c for c in LATEST.columns if c not in KEY)]
+    upsert(timed, table_path(root, LATEST), LATEST, rank=order, newer=order)
+
+
 def run_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, every: str | None = None,
                max_files: int | None = None, archive: str | None = None):
-    """Stream landed payloads into the readings and refresh the aggregates of each batch."""
-    return ingest(spark, landing, table_path(root, OBSERVATIONS), checkpoint, every, max_files,
-                  after=lambda changed: refresh(spark, root, changed), rejects=f"{root.rstrip('/')}/rejected_payloads",
-                  archive=archive)
+    """Stream landed payloads into the readings, the latest ones, and the aggregates of each batch.
+
+    Everything is done in the batch that brings a reading, after its upsert: there is no second
+    stream, and a batch that fails in between is repeated whole, which changes nothing twice.
+    """
+    def after(readings: DataFrame) -> None:
+        refresh(spark, root, readings)
+        store_latest(readings, root)
+
+    return ingest(spark, landing, table_path(root, OBSERVATIONS), checkpoint, every, max_files, after=after,
+                  rejects=f"{root.rstrip('/')}/rejected_payloads", archive=archive)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

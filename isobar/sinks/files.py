@@ -27,34 +27,14 @@ class Folder:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at("")) if s.isDirectory()]
         return sorted(n for n in found if n.startswith(prefix))
 
-    def read(self, name: str) -> str | None:
-        if not self.has(name):
-            return None
-        stream = self._fs.open(self._at(name))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def write(self, name: str, text: str) -> None:
-        """Write a small file that appears whole or not at all."""
-        draft = self._at(f"{name}.draft")
-        stream = self._fs.create(draft, True)
-        try:
-            stream.write(text.encode())
-        finally:
-            stream.close()
-        self._fs.delete(self._at(name), False)
-        self._rename(draft, self._at(name))
+    def mark(self, name: str) -> None:
+        """Create an empty directory."""
+        self._fs.mkdirs(self._at(name))
 
     def remove(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
-    def take(self, source: str, name: str) -> None:
-        """Move the directory ``source`` (below this one) to ``name``, replacing what is there."""
-        self.remove(name)
-        self._rename(self._at(source), self._at(name))
-
-    def _rename(self, source, target) -> None:
-        if not self._fs.rename(source, target):
-            raise OSError(f"cannot rename {source} to {target}")
+    def restore(self, source: str, name: str) -> None:
+        """Move the directory ``source`` (below this one) to the free place ``name``."""
+        if not self._fs.rename(self._at(source), self._at(name)):
+            raise OSError(f"cannot move {source} to {name}")

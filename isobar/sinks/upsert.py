@@ -1,10 +1,9 @@
 """Keyed upsert into a partitioned parquet table.
 
-Parquet has no MERGE, so the directories a batch touches are read, merged and written
-anew, beside the table and in their final layout; then they are renamed into place. Only
-those directories are opened and listed, so the cost follows the batch, not the table.
-A mark stands while renames are under way: readers then take the new directories from
-beside the table, and a writer first finishes what a lost driver left. One writer at a time.
+Parquet has no MERGE, so the directories a batch touches are read, merged and written anew by
+Spark's dynamic partition overwrite: tasks write beside the table, and the old files of a
+directory stay until the job commits. Only touched directories are opened and listed, so the
+cost follows the batch, not the table. One writer at a time.
 """
 
 from __future__ import annotations
@@ -13,52 +12,56 @@ from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from isobar.functions.temporal import floor_to, in_period
-from isobar.operators.merging import last_write, merge
+from isobar.functions.temporal import in_period
+from isobar.operators.merging import last_write, merge, merge_newer
 from isobar.schemas import PARTITION, TableSpec
 from isobar.session import require_utc
 from isobar.sinks.files import Folder
 
-# Names starting with an underscore are hidden from Spark's own reads of the table.
-NEW, MARK, LAYOUT = "_new", "_moving", "_layout"
-UPSERT, REPLACE = "upsert", "replace"
+STAGING = ".spark-staging"  # fixed value: where Spark's dynamic overwrite keeps new directories until it commits
+LAYOUT = "_layout="  # hidden from Spark's own reads of the table
 STATEMENT_PARTITIONS = 500  # partitions named in one catalog statement; more take several
 
 
 def read_stored(spark: SparkSession, path: str, spec: TableSpec, start: datetime | None = None,
                 end: datetime | None = None, with_partition: bool = False) -> DataFrame:
     """Read an upserted table whole, or rows in ``[start, end)`` from the directories that can hold them."""
-    names = None
-    if spec.grain and (start is not None or end is not None):
-        low = _name(floor_to(spec.grain, start).date()) if start is not None else ""
-        high = _name(floor_to("day", end).date()) if end is not None else "~"
-        names = lambda n: low <= n <= high
+    folder = Folder(spark, path)
+    names = folder.directories(f"{PARTITION}=")
+    if not names and not folder.has(""):
+        raise FileNotFoundError(f"no table at {path}")
+    if spec.grain:
+        low = _name(spec.part(start)) if start is not None else ""
+        high = _name(spec.part(end)) if end is not None else "~"
+        names = [n for n in names if low <= n <= high]
     df = _opened(spark, path, spec, names)
     if spec.grain:
         df = in_period(df, start, end)
     return df if with_partition else df.drop(PARTITION)
 
 
-def read_parts(spark: SparkSession, path: str, spec: TableSpec, parts: Iterable[date | int]) -> DataFrame:
+def read_parts(spark: SparkSession, path: str, spec: TableSpec, parts: Iterable[date | int | str]) -> DataFrame:
     """Rows of the named directories, with their partition column; those that don't exist have none."""
-    wanted = {_name(p) for p in parts}
-    return _opened(spark, path, spec, wanted.__contains__, wanted)
+    folder = Folder(spark, path)
+    return _opened(spark, path, spec, [n for n in sorted({_name(p) for p in parts}) if folder.has(n)])
 
 
-def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], table: str | None = None) -> list[date | int]:
+def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], table: str | None = None,
+           newer: Sequence[str] | None = None) -> list[date | int | str]:
     """Insert or replace the batch's rows by key and return the touched directories.
 
     ``rank`` names the columns that decide between copies of a key inside the batch
     (greatest wins); they need not be stored. Pass an empty list only for a batch
     whose keys are unique, such as an aggregate grouped by them. Rows already
-    stored always yield to the batch, so repeating a batch changes nothing.
+    stored yield to the batch, so repeating a batch changes nothing; with ``newer``,
+    stored columns, they yield only to a row that is greater by these.
     ``table`` names a catalog table over the path, which is told of new directories.
     """
     spark = batch.sparkSession
     require_utc(spark)
-    recover(spark, path, spec)
+    recover(spark, path)
     rows = last_write(batch, spec.keys, rank) if rank else batch
     rows = _shaped(rows, spec).persist()
     try:
@@ -70,32 +73,52 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], ta
             raise ValueError(f"null in the key {spec.keys} of {spec.name}")
         parts = sorted(r[PARTITION] for r in touched)
         _check_layout(spark, path, spec)
-        known = [p for p in parts if Folder(spark, path).has(_name(p))]
-        merged = merge(read_parts(spark, path, spec, known), rows, spec.keys) if known else rows
-        _write_beside(merged, path, spec)
-        _move(spark, path, spec, UPSERT, table)
+        stored = read_parts(spark, path, spec, parts)
+        merged = merge_newer(stored, rows, spec.keys, newer) if newer else merge(stored, rows, spec.keys)
+        _write(merged, path, spec)
+        if table:
+            _tell_catalog(spark, table, spec, [_name(p) for p in parts])
         return parts
     finally:
         rows.unpersist()
 
 
 def replace(df: DataFrame, path: str, spec: TableSpec, table: str | None = None) -> None:
-    """Write a whole table anew; its keys must be unique. Until the new rows are complete the old ones stay."""
+    """Write a whole table anew; its keys must be unique. Until the new rows are complete the old ones stay.
+
+    Directories without new rows go last; after a driver lost before that, repeating the call drops them.
+    """
     spark = df.sparkSession
     require_utc(spark)
-    recover(spark, path, spec)
+    recover(spark, path)
     _check_layout(spark, path, spec)
-    _write_beside(_shaped(df, spec), path, spec)
-    _move(spark, path, spec, REPLACE, table)
+    written = Observation()
+    shaped = _shaped(df, spec).observe(written, F.collect_set(F.col(PARTITION).cast("string")).alias("parts"))
+    _write(shaped, path, spec)
+    folder, new = Folder(spark, path), {_name(p) for p in written.get["parts"] or []}
+    for name in set(folder.directories(f"{PARTITION}=")) - new:
+        folder.remove(name)
+    spark.catalog.refreshByPath(path)
+    if table:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        _tell_catalog(spark, table, spec, sorted(new))
+
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put right what a driver lost while Spark committed has left; harmless at any other time but during a write.
 
-def recover(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Finish the renames that a lost driver left; repeating it is harmless."""
-    if Folder(spark, path).has(MARK):
-        _finish(spark, path, spec)
+    Spark deletes a directory and moves the new one, which is complete by then, to its place. One
+    lost between the two is moved now; whatever else was staged belongs to a write that is repeated.
+    """
+    folder = Folder(spark, path)
+    for staging in folder.directories(STAGING):
+        for name in Folder(spark, f"{path}/{staging}").directories(f"{PARTITION}="):
+            if not folder.has(name):
+                folder.restore(f"{staging}/{name}", name)
+        folder.remove(staging)
 
 
-def _name(part: date | int) -> str:
+def _name(part: date | int | str) -> str:
     return f"{PARTITION}={part}"
 
 
@@ -104,77 +127,35 @@ def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:
     return typed.withColumn(PARTITION, spec.partition(typed))
 
 
-def _opened(spark: SparkSession, path: str, spec: TableSpec, wanted=None, among: set[str] | None = None) -> DataFrame:
-    """The table's directories that are ``wanted`` (all by default), as they will be once renames are finished.
-
-    ``among`` spares the listing of the root where the possible names are known.
-    """
-    folder, beside = Folder(spark, path), Folder(spark, f"{path}/{NEW}")
-    mark = folder.read(MARK)
-    here = {n for n in among if folder.has(n)} if among is not None else set(folder.directories(f"{PARTITION}="))
-    there: set[str] = set()
-    if mark is not None:
-        mode, *names = mark.split("\n")
-        there = {n for n in names if beside.has(n)}
-        here = (here & set(names) if mode == REPLACE else here) - there
-    frames = [
-        spark.read.schema(spec.stored_schema).option("basePath", base).parquet(*[f"{base}/{n}" for n in sorted(names)])
-        for base, found in ((path, here), (f"{path}/{NEW}", there))
-        if (names := [n for n in found if wanted is None or wanted(n)])
-    ]
-    if not frames:
-        if among is None and not folder.has(""):
-            raise FileNotFoundError(f"no table at {path}")
+def _opened(spark: SparkSession, path: str, spec: TableSpec, names: Sequence[str]) -> DataFrame:
+    if not names:
         return spark.createDataFrame([], spec.stored_schema)
-    return reduce(DataFrame.unionByName, frames)
+    return spark.read.schema(spec.stored_schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
 
 
 def _check_layout(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """The number of hashed directories is part of a stored table: another one would put a key in two places."""
+    """The directories' rule is part of a stored table: another one would put a key in two places."""
     folder, layout = Folder(spark, path), f"{spec.grain or spec.buckets}"
-    known = folder.read(LAYOUT)
-    if known is None:
-        folder.write(LAYOUT, layout)
-    elif known != layout:
-        raise ValueError(f"{path} is laid out by {known}, not {layout}")
+    known = folder.directories(LAYOUT)
+    if not known:
+        folder.mark(f"{LAYOUT}{layout}")
+    elif known != [f"{LAYOUT}{layout}"]:
+        raise ValueError(f"{path} is laid out by {known[0].removeprefix(LAYOUT)}, not {layout}")
 
 
-def _write_beside(df: DataFrame, path: str, spec: TableSpec) -> None:
+def _write(df: DataFrame, path: str, spec: TableSpec) -> None:
     # Rebalancing sizes files by bytes: adaptive execution splits a large
     # directory over tasks and joins small ones, whatever city dominates it.
     (df.hint("rebalance", PARTITION)
        .sortWithinPartitions(PARTITION, *spec.sort_columns())
-       .write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy(PARTITION).parquet(f"{path}/{NEW}"))
-
-
-def _move(spark: SparkSession, path: str, spec: TableSpec, mode: str, table: str | None) -> None:
-    names = Folder(spark, f"{path}/{NEW}").directories(f"{PARTITION}=")
-    Folder(spark, path).write(MARK, "\n".join([mode, *names]))
-    _finish(spark, path, spec)
-    if table:
-        _tell_catalog(spark, table, spec, mode, names)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**spec.file_options)
+       .partitionBy(PARTITION).parquet(path))
+    df.sparkSession.catalog.refreshByPath(path)  # frames cached over the old files
 
 
-def _finish(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    folder, beside = Folder(spark, path), Folder(spark, f"{path}/{NEW}")
-    mode, *names = folder.read(MARK).split("\n")
-    for name in names:
-        if beside.has(name):
-            folder.take(f"{NEW}/{name}", name)
-    if mode == REPLACE:
-        for name in set(folder.directories(f"{PARTITION}=")) - set(names):
-            folder.remove(name)
-    folder.remove(MARK)
-    folder.remove(NEW)
-    spark.catalog.refreshByPath(path)  # frames cached over the old files
-
-
-def _tell_catalog(spark: SparkSession, table: str, spec: TableSpec, mode: str, names: list[str]) -> None:
-    if mode == REPLACE:
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+def _tell_catalog(spark: SparkSession, table: str, spec: TableSpec, names: Sequence[str]) -> None:
     for i in range(0, len(names), STATEMENT_PARTITIONS):
-        value = lambda n: f"DATE'{n}'" if spec.grain else n
+        value = lambda n: n if spec.grain is None else f"'{n}'" if spec.grain == "hour" else f"DATE'{n}'"
         parts = " ".join(f"PARTITION ({PARTITION}={value(n.partition('=')[2])})" for n in names[i:i + STATEMENT_PARTITIONS])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
     spark.catalog.refreshTable(table)

@@ -40,8 +40,8 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, every
 
     Without ``every`` all waiting files are processed and the query ends. A restart
     on the same ``checkpoint`` repeats an unfinished batch, which the upsert absorbs,
-    and goes on with files that landed meanwhile. ``after`` gets the city and datetime of
-    every reading a batch brought, e.g. to refresh aggregates. Payloads that give no reading
+    and goes on with files that landed meanwhile. ``after`` gets
+    every reading a batch brought, copies included, once they are stored, e.g. to refresh aggregates. Payloads that give no reading
     go to the parquet table ``rejects``, one directory for each batch.
     """
     def store(batch: DataFrame, number: int) -> None:
@@ -51,7 +51,7 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, every
             if rejects:
                 rejected_payloads(batch, keep=("landed_at", "landed_file")).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
             if after is not None:
-                after(rows.select("city", "datetime"))
+                after(rows)
         finally:
             rows.unpersist()
 

@@ -1,9 +1,10 @@
 """Live daily aggregates with watermarked state.
 
 The state of a day lives until the watermark passes it, so readings later than
-``delay`` do not count in that form. ``stored`` names the ingested readings; days are then
-recomputed from them, and readings of any age count.
-Months and years come from day partials in batch: a stream cannot window them.
+``delay`` do not count here. Where readings of any age must count, ingest them with
+:func:`isobar.plans.jobs.run_ingest`: each batch then corrects the days it touches from the stored
+readings, right after it has stored its own. Months and years come from partials there, too: a
+stream cannot window them.
 """
 
 from __future__ import annotations
@@ -11,11 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from isobar.functions.temporal import bucket
 from isobar.operators.rollups import day_summary
 from isobar.plans.jobs import store_summary
-from isobar.schemas import DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS
-from isobar.sinks.upsert import read_parts
+from isobar.schemas import DAY_SUMMARY, PRECIPITATION_TOTALS
 from isobar.streaming.ingest import triggered
 
 
@@ -30,38 +29,18 @@ def live_days(observations: DataFrame, delay: str) -> DataFrame:
     return day_summary(first_polls(observations, delay))
 
 
-def maintain_days(observations: DataFrame, root: str, checkpoint: str, delay: str,
-                  every: str | None = None, stored: str | None = None) -> StreamingQuery:
-    """Keep the daily summary and precipitation tables under ``root`` current.
+def maintain_days(observations: DataFrame, root: str, checkpoint: str, delay: str, every: str | None = None) -> StreamingQuery:
+    """Keep the daily summary and precipitation tables under ``root`` current from state alone.
 
-    State covers readings up to ``delay`` late. With ``stored``, the path of the observations that
-    the same readings are ingested into, days that later readings belong to are recomputed from
-    there in the same micro-batches, so none is lost. These tables hold the extremes of ``temp``.
+    Nothing stored is read: this is the fast path, for a root of its own, and readings later than
+    ``delay`` don't count. These tables hold the extremes of ``temp``.
     """
-    spark = observations.sparkSession
-    write = lambda df: store_summary(df, root, DAY_SUMMARY, PRECIPITATION_TOTALS["day"])
-
     def store(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
-            write(batch)
+            store_summary(batch, root, DAY_SUMMARY, PRECIPITATION_TOTALS["day"])
         finally:
             batch.unpersist()
 
-    def correct(batch: DataFrame, _: int) -> None:
-        days = [r[0].date() for r in batch.select(bucket(batch, "day")).distinct().collect() if r[0]]  # one for each day
-        late = batch.select("city", bucket(batch, "day").alias("_day")).distinct()
-        rows = read_parts(spark, stored, OBSERVATIONS, days)
-        touched = rows.withColumn("_day", bucket(rows, "day")).join(late, ["city", "_day"], "left_semi")
-        summary = day_summary(touched).persist()
-        try:
-            write(summary)
-        finally:
-            summary.unpersist()
-
-    if stored is not None:
-        # The stored readings hold every one of them, however late; the stream says which days to redo.
-        writer = observations.select("city", "datetime").writeStream.foreachBatch(correct)
-    else:
-        writer = live_days(observations, delay).writeStream.outputMode("update").foreachBatch(store)
+    writer = live_days(observations, delay).writeStream.outputMode("update").foreachBatch(store)
     return triggered(writer.option("checkpointLocation", checkpoint), every).start()

@@ -7,9 +7,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.operators import rollups
+from isobar.operators import rollups, series
+from isobar.plans import jobs
 from isobar.plans.jobs import run_ingest, table_path
-from isobar.schemas import DAILY_PARTIALS, DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
+from isobar.schemas import DAILY_PARTIALS, DAY_SUMMARY, LATEST, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS
 from isobar.sinks.upsert import read_stored
 from isobar.sources.payloads import parse_payloads, read_landed
 from isobar.streaming.ingest import ingest, landed_stream
@@ -111,19 +112,39 @@ def test_live_days_follow_late_rows_and_ignore_repeats(spark, tmp_path):
 
 
 def test_a_row_behind_any_watermark_counts_in_the_stored_tables(spark, tmp_path):
-    landing, table, root = (str(tmp_path / n) for n in ("landing", "table", "root"))
-
-    def run():
-        readings = parse_payloads(landed_stream(spark, landing))
-        ingest(spark, landing, table, str(tmp_path / "cp")).awaitTermination()
-        maintain_days(readings, root, str(tmp_path / "cp2"), delay="1 hour", stored=table).awaitTermination()
-
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    run = lambda: run_ingest(spark, landing, root, str(tmp_path / "cp")).awaitTermination()
     land(landing, "0.json", ("A", datetime(2024, 1, 1, 6), 280.0), ("A", datetime(2024, 3, 1, 6), 280.0))
     run()
     land(landing, "1.json", ("A", datetime(2024, 1, 1, 7), 290.0))  # two months late
     run()
     expected = rollups.day_summary(parse_payloads(read_landed(spark, landing)))
     assert close(rows(read_stored(spark, f"{root}/{DAY_SUMMARY.name}", DAY_SUMMARY)), rows(expected, *DAY_SUMMARY.columns))
+    assert rows(read_stored(spark, f"{root}/{LATEST.name}", LATEST), "city", "temp") == [("A", 6.85)]
+
+
+@pytest.mark.parametrize("lost", ["refresh", "store_latest"])
+def test_restart_between_upsert_and_correction(spark, tmp_path, monkeypatch, lost):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    run = lambda: run_ingest(spark, landing, root, str(tmp_path / "cp")).awaitTermination()
+    land(landing, "0.json", *polls(0))
+    run()
+    land(landing, "1.json", ("C0", datetime(2023, 11, 1, 7), 290.0), *polls(1))
+
+    def fails(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(jobs, lost, fails)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    monkeypatch.undo()
+    land(landing, "2.json", *polls(2))
+    run()
+    readings = parse_payloads(read_landed(spark, landing)).cache()
+    for spec, expected in ((DAY_SUMMARY, rollups.daily_weather(readings)), (STATISTICS["month"], rollups.statistics(readings, "month")),
+                           (PRECIPITATION_TOTALS["year"], rollups.precipitation(readings, "year"))):
+        assert close(rows(read_stored(spark, table_path(root, spec), spec)), rows(expected))
+    assert rows(read_stored(spark, table_path(root, LATEST), LATEST)) == rows(series.latest(readings).select(*LATEST.columns))
 
 
 def test_processed_files_are_archived(spark, tmp_path):

@@ -1,16 +1,19 @@
 from __future__ import annotations
 
 import os
-from datetime import date, datetime, timedelta
+import shutil
+from datetime import datetime, timedelta
+from functools import reduce
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from isobar.operators.merging import add_counters, last_write, merge
-from isobar.schemas import OBSERVATIONS, PRECIPITATION_TOTALS, TableSpec, columns, TEXT, LONG
+from isobar.operators import series
+from isobar.plans import jobs
+from isobar.schemas import LATEST, OBSERVATIONS, PRECIPITATION_TOTALS, TableSpec, columns, TEXT, LONG
 from isobar.sinks import upsert as sink
-from isobar.sinks.files import Folder
 from isobar.sinks.upsert import read_stored, recover, replace, upsert
 from readings import observation, rows
 
@@ -29,7 +32,7 @@ def temps(spark, path):
 
 
 def files(path):
-    found = (p for p in Path(path).rglob("*.parquet") if "_new" not in p.parts)
+    found = Path(path).rglob("*.parquet")
     return {str(p.relative_to(path)): os.stat(p).st_mtime_ns for p in found}
 
 
@@ -37,8 +40,8 @@ def test_later_batch_wins_and_repeats_change_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     first = batch(spark, observation("A", D1, temp=1.0), observation("B", D1, temp=2.0), observation("A", D2, temp=3.0))
     second = batch(spark, observation("A", D1, temp=9.0), observation("C", D3, temp=4.0))
-    assert upsert(first, path, OBSERVATIONS, ["arrival"]) == [date(2024, 1, 1), date(2024, 1, 2)]
-    assert upsert(second, path, OBSERVATIONS, ["arrival"]) == [date(2024, 1, 1), date(2024, 2, 3)]
+    assert upsert(first, path, OBSERVATIONS, ["arrival"]) == ["2024-01-01-06", "2024-01-02-06"]
+    assert upsert(second, path, OBSERVATIONS, ["arrival"]) == ["2024-01-01-06", "2024-02-03-06"]
     expected = {("A", D1): 9.0, ("B", D1): 2.0, ("A", D2): 3.0, ("C", D3): 4.0}
     assert temps(spark, path) == expected
     upsert(second, path, OBSERVATIONS, ["arrival"])
@@ -61,7 +64,7 @@ def test_untouched_directories_keep_their_files(spark, tmp_path):
     upsert(batch(spark, observation("B", D2)), path, OBSERVATIONS, ["arrival"])
     after = files(path)
     same = {n for n in before if before[n] == after.get(n)}
-    assert same and all("part=2024-01-01" in n for n in same)
+    assert same and all("part=2024-01-01-06" in n for n in same)
     assert len(temps(spark, path)) == 3
 
 
@@ -92,7 +95,7 @@ def test_many_directories(spark, tmp_path):
     path = str(tmp_path / "t")
     days = [D1 + timedelta(days=i) for i in range(60)]
     assert upsert(batch(spark, *[observation("A", d, temp=1.0) for d in days]), path, OBSERVATIONS, ["arrival"]) == [
-        d.date() for d in days]
+        f"{d:%Y-%m-%d-%H}" for d in days]
     before = files(path)
     changed = batch(spark, *[observation("A", d, temp=2.0) for d in days[:40]], observation("B", days[0], temp=2.0))
     assert len(upsert(changed, path, OBSERVATIONS, ["arrival"])) == 40
@@ -126,7 +129,7 @@ def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_p
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
          spark__sql__adaptive__coalescePartitions__minPartitionSize="16k")
     path = str(tmp_path / "t")
-    spec = PRECIPITATION_TOTALS["month"]
+    spec = PRECIPITATION_TOTALS["year"]
     df = spark.range(0, 60000, numPartitions=16).select(
         F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 7)).alias("city"),
         (F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60)).alias("datetime"),
@@ -139,68 +142,64 @@ def test_a_large_directory_is_written_by_many_tasks_in_stored_order(spark, tmp_p
         assert stored == sorted(stored)
 
 
-@pytest.mark.parametrize("removed", [True, False])
-def test_a_driver_lost_during_the_swap(spark, tmp_path, monkeypatch, removed):
-    path = str(tmp_path / "t")
-    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), path, OBSERVATIONS, ["arrival"])
-
-    def lost(folder, source, name):
-        if removed:
-            folder.remove(name)
-        raise RuntimeError("driver lost")
-
-    monkeypatch.setattr(Folder, "take", lost)
-    with pytest.raises(RuntimeError):
-        upsert(batch(spark, observation("B", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
-    monkeypatch.undo()
-    expected = {("A", D1): 1.0, ("B", D1): 2.0, ("A", D3): 1.0}
-    assert temps(spark, path) == expected  # no row is missing meanwhile
-    found = read_stored(spark, path, OBSERVATIONS, datetime(2024, 1, 1), datetime(2024, 1, 2))
-    assert found.count() == 2
-    upsert(batch(spark, observation("C", D3, temp=3.0)), path, OBSERVATIONS, ["arrival"])
-    expected |= {("C", D3): 3.0}
-    assert temps(spark, path) == expected
-    recover(spark, path, OBSERVATIONS)
-    assert temps(spark, path) == expected
-    assert not [n for n in os.listdir(path) if n.startswith(("_new", "_moving"))]
-
-
-def test_a_driver_lost_while_a_table_is_replaced(spark, tmp_path, monkeypatch):
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D2, temp=1.0)), path, OBSERVATIONS, ["arrival"])
-    new = batch(spark, observation("A", D1, temp=5.0), observation("B", D3, temp=5.0))
-    take, moved = Folder.take, []
-
-    def lost(folder, source, name):
-        if moved:
-            raise RuntimeError("driver lost")
-        moved.append(name)
-        take(folder, source, name)
-
-    monkeypatch.setattr(Folder, "take", lost)
-    with pytest.raises(RuntimeError):
-        replace(new, path, OBSERVATIONS)
-    monkeypatch.undo()
-    expected = {("A", D1): 5.0, ("B", D3): 5.0}
-    assert temps(spark, path) == expected
-    recover(spark, path, OBSERVATIONS)
-    assert temps(spark, path) == expected
-    assert sorted(n for n in os.listdir(path) if n.startswith("part")) == ["part=2024-01-01", "part=2024-02-03"]
+    broken = batch(spark, observation("A", D1, temp=5.0)).withColumn("temp", F.raise_error(F.lit("lost")).cast("double"))
+    for write in (lambda: upsert(broken, path, OBSERVATIONS, ["arrival"]), lambda: replace(broken, path, OBSERVATIONS)):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert temps(spark, path) == {("A", D1): 1.0, ("A", D2): 1.0}
+    upsert(batch(spark, observation("B", D2, temp=2.0)), path, OBSERVATIONS, ["arrival"])
+    assert len(temps(spark, path)) == 3
 
 
-def test_a_driver_lost_before_the_swap(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("removed", [True, False])
+def test_a_driver_lost_while_spark_commits(spark, tmp_path, removed):
+    """Spark has deleted a directory, or not yet, and the new one still stands in its staging folder."""
+    path = tmp_path / "t"
+    upsert(batch(spark, observation("A", D1, temp=1.0), observation("A", D3, temp=1.0)), str(path), OBSERVATIONS, ["arrival"])
+    upsert(batch(spark, observation("B", D1, temp=2.0)), str(tmp_path / "new"), OBSERVATIONS, ["arrival"])
+    staging = path / f"{sink.STAGING}-17"
+    shutil.copytree(tmp_path / "new" / "part=2024-01-01-06", staging / "part=2024-01-01-06")
+    (staging / "_temporary" / "0").mkdir(parents=True)
+    if removed:
+        shutil.rmtree(path / "part=2024-01-01-06")
+    recover(spark, str(path))
+    here = ("B", D1) if removed else ("A", D1)
+    assert temps(spark, str(path)) == {here: 2.0 if removed else 1.0, ("A", D3): 1.0}
+    assert not staging.exists()
+    upsert(batch(spark, observation("C", D3, temp=3.0)), str(path), OBSERVATIONS, ["arrival"])
+    assert len(temps(spark, str(path))) == 3
+
+
+def test_bytes_rewritten_stay_level_over_a_day(spark, tmp_path):
+    """Polls every ten minutes: a batch rewrites its hour, however much of the day is stored."""
     path = str(tmp_path / "t")
-    upsert(batch(spark, observation("A", D1, temp=1.0)), path, OBSERVATIONS, ["arrival"])
-
-    def lost(*_):
-        raise RuntimeError("driver lost")
-
-    monkeypatch.setattr(sink, "_move", lost)
-    with pytest.raises(RuntimeError):
-        upsert(batch(spark, observation("A", D1, temp=2.0)), path, OBSERVATIONS, ["arrival"])
-    monkeypatch.undo()
-    recover(spark, path, OBSERVATIONS)
-    assert temps(spark, path) == {("A", D1): 1.0}
+    written = []
+    for hour in range(0, 24, 3):
+        for minute in (0, 30):
+            before = files(path)
+            when = datetime(2024, 1, 1, hour, minute)
+            upsert(batch(spark, *[observation(f"C{i}", when, temp=float(i)) for i in range(200)]), path, OBSERVATIONS, ["arrival"])
+            written.append(sum(os.path.getsize(f"{path}/{n}") for n, t in files(path).items() if before.get(n) != t))
+    assert max(written[1::2]) < 1.1 * min(written[1::2]) and max(written[::2]) < 1.1 * min(written[::2])
+    assert len(temps(spark, path)) == 16 * 200
+
+
+def test_stored_rows_yield_only_to_newer_ones(spark, tmp_path):
+    path = str(tmp_path / "root")
+    batches = [batch(spark, observation("A", D2, temp=2.0), observation("B", D1, temp=1.0), observation("A", None, temp=9.0)),
+               batch(spark, observation("A", D1, temp=7.0), observation("A", D1, temp=8.0), observation("B", D3, temp=3.0)),
+               batch(spark, observation("A", D2, temp=2.5), observation("C", D1), observation("C", D1, temp=0.5))]
+    expected = {("A", D2): 2.5, ("B", D3): 3.0, ("C", D1): 0.5}
+    for n, order in enumerate(([0, 1, 2], [2, 1, 0, 2, 0], [1, 1, 2, 0])):
+        for i in order:
+            jobs.store_latest(batches[i], f"{path}{n}")
+        found = read_stored(spark, jobs.table_path(f"{path}{n}", LATEST), LATEST)
+        assert {(r.city, r.datetime): r.temp for r in found.collect()} == expected
+    whole = reduce(lambda a, b: a.unionByName(b), batches).where("datetime IS NOT NULL").select(*LATEST.columns)
+    assert rows(found) == rows(series.latest(whole))
 
 
 def test_hashed_directories_for_tables_without_time(spark, tmp_path):
@@ -219,7 +218,7 @@ def test_reading_prunes_directories_and_rows(spark, tmp_path):
     found = read_stored(spark, path, OBSERVATIONS, datetime(2024, 1, 1, 7), datetime(2024, 1, 3))
     assert [r.datetime for r in found.collect()] == [D2]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert {f.split("part=")[1][:10] for f in found.inputFiles()} <= {"2024-01-01", "2024-01-02", "2024-01-03"}
+    assert {f.split("part=")[1][:13] for f in found.inputFiles()} == {"2024-01-02-06"}
     assert "GreaterThanOrEqual(datetime" in plan
 
 
