@@ -33,7 +33,7 @@ def history(df: DataFrame) -> DataFrame:
     return df.orderBy("city", F.desc("datetime"))
 
 
-def trend(df: DataFrame, measures: Sequence[str] | Mapping[str, Column | str]) -> DataFrame:
+def trend(df: DataFrame, measures: Sequence[str] | Mapping[str, Column | str], day: str | None = None) -> DataFrame:
     """Each reading with the change of its measures since the city's previous one.
 
     ``measures`` are columns, nested ones like ``wind.speed`` included (named wind_speed), or
@@ -42,12 +42,14 @@ def trend(df: DataFrame, measures: Sequence[str] | Mapping[str, Column | str]) -
     A plain window over the city would put a hot city into one task. Rows are
     windowed per (city, day) instead; the first row of a day takes its predecessor
     from the city's last earlier day, found over one row per city and day of the same
-    windowed rows. With (city, second) as key a day holds 86,400 rows at most.
+    windowed rows. With (city, second) as key a day holds 86,400 rows at most. ``day`` names a column
+    that holds the reading's day: over a table bucketed and sorted by city and this column, the
+    readings are then not shuffled at all. There, readings without a city are followed within a day only.
     """
     named = dict(measures) if isinstance(measures, Mapping) else {m.replace(".", "_"): m for m in measures}
     reading = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in named.items()])
     series = df.where(F.col("datetime").isNotNull()).select(
-        "city", "datetime", bucket(df, "day").alias("_day"), reading.alias("_reading"))
+        "city", "datetime", (F.col(day) if day else bucket(df, "day")).alias("_day"), reading.alias("_reading"))
 
     # Both uses of this frame shuffle the same columns, so the readings are scanned and shuffled once.
     within = Window.partitionBy("city", "_day").orderBy("datetime", "_reading")
@@ -59,8 +61,9 @@ def trend(df: DataFrame, measures: Sequence[str] | Mapping[str, Column | str]) -
         F.col("city").alias("_city"), F.col("_day").alias("_on"), F.lag("_reading").over(across).alias("_carried"))
     previous = F.coalesce("_previous", "_carried")
     # Null-safe, or one side's scan would get a filter that the other has not.
-    same_day = F.col("city").eqNullSafe(F.col("_city")) & F.col("_day").eqNullSafe(F.col("_on"))
-    return chained.join(carried, same_day).select(
+    same = (lambda a, b: a == b) if day else Column.eqNullSafe  # only a plain comparison fits a table's buckets
+    same_day = same(F.col("city"), F.col("_city")) & same(F.col("_day"), F.col("_on"))
+    return chained.join(carried, same_day, "left" if day else "inner").select(
         "city", "datetime", "_reading.*",
         *[(F.col(f"_reading.{m}") - previous.getField(m)).alias(f"{m}_delta") for m in named],
     )

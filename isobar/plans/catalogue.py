@@ -13,14 +13,16 @@ from isobar.functions.temporal import bucket, in_period, period_range
 from isobar.operators import merging, places, rollups, series
 from isobar.plans import jobs, views
 from isobar.schemas import (
-    CITIES, CITIES_SCHEMA, COUNTRIES_SCHEMA, DAY_SUMMARY, OBSERVATIONS, PRECIPITATION_TOTALS, STATISTICS,
+    CITIES, CITIES_SCHEMA, COUNTRIES_SCHEMA, DAY_SUMMARY, KEY, LATEST, OBSERVATIONS, PARTITION, PRECIPITATION_SCHEMA,
+    PRECIPITATION_TOTALS, STATISTICS, TRENDS,
 )
 from isobar.session import scratch_path
-from isobar.sinks.tables import create_table, write_table
+from isobar.sinks import counters
+from isobar.sinks.tables import create_table, write_bucketed, write_table
 from isobar.sinks.upsert import read_stored, upsert
 from isobar.sources import dimensions, payloads, tables
 from isobar.streaming.ingest import ingest
-from isobar.streaming.live import maintain_days
+from isobar.streaming.live import keep_first_polls, maintain_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -438,3 +440,160 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = tables.read_table(spark, database, views.LONG_READINGS.name)
     write_table(copy, database, "copy", "overwrite", path=f"{path}-copy", compression="zstd")
     return spread(tables.read_table(spark, database, "copy").select(*views.LONG_SCHEMA.fieldNames()))
+
+
+# -- stored results kept up by batches ---------------------------------------------
+
+def _landed_in_turn(spark: SparkSession, sf_dir: str, arrival, run: Callable[[str], None]) -> None:
+    """All payloads landed in turns, 0 first; copies of a key land in one file, and ``run`` takes each turn's files."""
+    landing, second = scratch_path(spark, "landing"), F.get_json_object("raw", "$.dt").cast("long")
+    landed = views.landed_payloads(spark, sf_dir).withColumn("_second", second).withColumn("_day", F.timestamp_seconds("_second"))
+    for turn in range(3):
+        part = landed.where(arrival == turn)
+        part.repartition("city", "_second").drop("_second", "_day").write.mode("append").json(landing)
+        run(landing)
+
+
+def _far_late():
+    """Readings of the month in two turns; a seventh of the first days', by city, comes last of all."""
+    late = (F.pmod(F.crc32(F.encode("city", "UTF-8")), F.lit(7)) == 0) & (F.dayofmonth("_day") <= 3)
+    return F.when(late, 2).otherwise((F.dayofmonth("_day") > 25).cast("int"))
+
+
+@query
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each hour's directory of the readings holds after three streamed batches, the last of them weeks late."""
+    path = scratch_path(spark, "readings")
+    _landed_in_turn(spark, sf_dir, _far_late(), lambda landing: ingest(spark, landing, path, f"{path}-offsets").awaitTermination())
+    stored = read_stored(spark, path, OBSERVATIONS, with_partition=True)
+    return rounded(stored.groupBy(PARTITION).agg(
+        F.count("*").alias("n_readings"), F.count_distinct("city").alias("n_cities"), F.avg("temp").alias("avg_temp")), "avg_temp")
+
+
+@query
+def stream_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily tables after readings weeks behind were ingested: each batch corrects the days it touches."""
+    root = scratch_path(spark, "root")
+    _landed_in_turn(spark, sf_dir, _far_late(),
+                    lambda landing: jobs.run_ingest(spark, landing, root, f"{root}-offsets").awaitTermination())
+    return _daily(spark, root, DAY_SUMMARY)
+
+
+@query
+def latest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current conditions kept by conditional upserts, in an order of batches that has nothing to do with time, one of them twice."""
+    root, obs = scratch_path(spark, "root"), views.observations(spark, sf_dir)
+    for turn in (2, 0, 1, 2):
+        jobs.store_latest(views.as_observations(obs.where(F.pmod("humidity", F.lit(3)) == turn)), root)
+    stored = read_stored(spark, jobs.table_path(root, LATEST), LATEST)
+    return spread(stored.select("city", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "main", "temp", "pressure", "precipitation"))
+
+
+@query
+def counter_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly precipitation counted batch by batch into a ledger; two batches come again, one after it was folded."""
+    path, counted = scratch_path(spark, "counters"), ["sum_precipitation"]
+    deltas = [rollups.precipitation(b, "month").withColumn("datetime", F.col("datetime").cast("timestamp")) for b in _batches(spark, sf_dir)]
+    for number in (0, 1, 1):
+        counters.add(deltas[number], path, number, KEY, counted)
+    counters.fold(spark, path, 0, PRECIPITATION_SCHEMA, KEY, counted)
+    for number in (0, 2):
+        counters.add(deltas[number], path, number, KEY, counted)
+    totals = counters.totals(spark, path, PRECIPITATION_SCHEMA, KEY, counted)
+    return rounded(totals.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")), *counted)
+
+
+@query
+def stream_first_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First polls of a stream with repeats inside and outside the delay, which carry other values, and rows that are late."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "polls")
+    obs = views.observations(spark, sf_dir).select("city", "datetime", "temp")
+    day, tenth = F.dayofmonth("datetime"), F.expr("substr(city, 6)").cast("int") % 10
+    held = F.when((tenth == 0) & (day <= 10), 2).when((tenth == 1) & (day == 20), 2)  # too late, and just in time
+    turn = F.coalesce(held, F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2))
+    again = obs.withColumn("temp", F.col("temp") + 1000)
+    for arrival in range(3):
+        rows = obs.where(turn == arrival)
+        if arrival:  # of all that came before, recent and long past
+            rows = rows.unionByName(again.where(turn < arrival))
+        rows.write.mode("append").parquet(landing)
+        keep_first_polls(spark.readStream.schema(obs.schema).parquet(landing), path, f"{path}-offsets", "2 days").awaitTermination()
+    return spark.read.parquet(path).select("city", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "temp")
+
+
+@query
+def trend_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored trends after batches out of order: a late reading changes its own row and its successor's."""
+    root, obs = scratch_path(spark, "root"), views.observations(spark, sf_dir)
+    day = F.dayofmonth("datetime")
+    late = (F.pmod(F.xxhash64("city", "datetime"), F.lit(3)) == 0) & day.between(10, 12)
+    turn = F.when(late, 1).otherwise(F.when(day <= 2, 2).otherwise(0))  # some between others, then some before all others
+    for arrival in range(3):
+        batch = views.as_observations(obs.where(turn == arrival)).cache()
+        upsert(batch, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS, rank=["temp", "pressure"])
+        jobs.refresh(spark, root, batch)
+        jobs.refresh_trends(spark, root, batch, ["temp", "pressure"], TRENDS)
+        batch.unpersist()
+    stored = read_stored(spark, jobs.table_path(root, TRENDS), TRENDS)
+    return rounded(stored.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")), "temp_delta", "pressure_delta")
+
+
+@query
+def scan_city_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One city's days from the stored readings: directories by time, row groups by the city's filter and order."""
+    root = _stored_readings(spark, sf_dir)
+    start, end = period_range("day", datetime(2024, 1, 5), datetime(2024, 1, 8))
+    stored = read_stored(spark, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS, start, end)
+    return tables.of_city(stored, CITY).select("city", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "main", "temp", "pressure")
+
+
+@query
+def coverage_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly coverage merged from the days' sketches, without readings; these few cities come out exact."""
+    days = places.coverage_partials(views.listed_cities(spark, sf_dir), views.observations(spark, sf_dir))
+    return places.coverage_from_partials(days, "month")
+
+
+@query
+def json_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads read as open objects: the rows are those of the closed form."""
+    return views.flat_readings(payloads.parse_variants(views.landed_payloads(spark, sf_dir)))
+
+
+@query
+def json_unseen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that payloads carry beyond the schema, with their types and counts."""
+    landed = views.landed_payloads(spark, sf_dir)
+    second = F.get_json_object("raw", "$.dt").cast("long")
+    extra = (F.when(second % 3 == 0, F.concat(F.lit('"uvi":'), (second % 11).cast("string"), F.lit(',"base":"stations",')))
+             .when(second % 3 == 1, F.lit('"alert":{"level":2},')).otherwise(""))
+    opened = landed.withColumn("raw", F.concat(F.lit("{"), extra, F.expr("substr(raw, 2)")))
+    return payloads.unseen_keys(opened.withColumn("raw", F.regexp_replace("raw", '"wind":\\{', '"wind":{"dir":"N",')))
+
+
+@query
+def trend_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trends over readings bucketed and sorted by city and day: the readings are not shuffled again."""
+    database = f"bucketed_{uuid.uuid4().hex[:8]}"
+    obs = views.observations(spark, sf_dir).select("city", "datetime", "temp", "pressure")
+    name = write_bucketed(obs, database, "readings", scratch_path(spark, "bucketed"), 8)
+    changes = series.trend(spark.table(name), ["temp", "pressure"], day="day")
+    return rounded(changes, "temp_delta", "pressure_delta")
+
+
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows of a CSV of cities, and the lines turned away with the reason."""
+    path = scratch_path(spark, "cities-csv")
+    city = views.numbered_cities(spark, sf_dir)
+    value = lambda c: F.col(c).cast("string")
+    kind = F.col("city_id") % 5
+    line = (F.when(kind == 0, F.concat_ws(",", "city", value("lat"), value("lng")))
+            .when(kind == 1, F.concat_ws(",", "city", value("lat"), F.lit("east"), value("country_id"), value("city_id")))
+            .when(kind == 2, F.concat_ws(",", F.lit(""), value("lat"), value("lng"), value("country_id"), value("city_id")))
+            .when(kind == 3, F.concat_ws(",", "city", value("lat"), value("lng"), value("country_id"), value("city_id"), F.lit("x")))
+            .otherwise(F.concat_ws(",", F.concat(F.lit('"'), "city", F.lit(', in all"')), value("lat"), value("lng"), value("country_id"), value("city_id"))))
+    # One column whose name is the header; separator and quote stand in no line, so lines are written as they are.
+    city.select(line.alias(",".join(CITIES_SCHEMA.fieldNames()))).write.csv(path, header=True, sep="\x01", quote="\x02")
+    good, away = dimensions.read_with_rejects(spark, path, CITIES_SCHEMA)
+    return merging.union_batches([good.select("city", "city_id", F.lit("kept").alias("outcome")), away.select(F.col("reason").alias("outcome"), "line")])

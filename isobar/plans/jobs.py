@@ -6,16 +6,17 @@ Run one with e.g. ``python -m isobar.plans.jobs rollup --root <path>``.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
-from datetime import date, datetime, timezone
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from isobar.functions.temporal import bucket, floor_to, next_period, period_range
 from isobar.operators.rollups import (
     PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, day_summary, partials, summary_from_partials,
     with_extremes_of_temp,
 )
+from isobar.operators.series import trend
 from isobar.schemas import (
     DAILY_PARTIALS, DAY_SUMMARY, HOURLY_PARTIALS, KEY, LATEST, MONTHLY_PARTIALS, OBSERVATIONS, PARTITION,
     PRECIPITATION_TOTALS, STATISTICS, TableSpec,
@@ -156,9 +157,72 @@ def store_latest(readings: DataFrame, root: str) -> None:
     upsert(timed, table_path(root, LATEST), LATEST, rank=order, newer=order)
 
 
+def refresh_trends(spark: SparkSession, root: str, changed: DataFrame, measures: Sequence[str], spec: TableSpec) -> None:
+    """Bring stored trends up to date after readings of some (city, datetime) changed and :func:`refresh` has run.
+
+    A reading changes its own row and that of its successor, however far away, and no other: only
+    these are written. Which hours hold the neighbours is looked up in the hour partials of the
+    days around, beyond those in the day partials; of the readings only these hours are read.
+    """
+    path = lambda s: table_path(root, s)
+    keys = changed.select(*KEY).where("city IS NOT NULL AND datetime IS NOT NULL").distinct().persist()
+    try:
+        if keys.isEmpty():
+            return
+        hours = _hours_around(spark, root, keys)
+        names = [OBSERVATIONS.part(r[0]) for r in hours.select("_hour").distinct().collect()]  # one for each hour
+        rows = read_parts(spark, path(OBSERVATIONS), OBSERVATIONS, names)
+        rows = rows.withColumn("_hour", bucket(rows, "hour")).join(hours, ["city", "_hour"], "left_semi")
+        marked = rows.join(keys.withColumn("_mark", F.lit(1)), list(KEY), "left")
+        mark = F.coalesce("_mark", F.lit(0))
+        named = {m.replace(".", "_"): m for m in measures}
+        trends = trend(marked, {**named, "_changed": mark})
+        touched = (F.col("_changed") == 1) | (F.col("_changed") - F.col("_changed_delta") == 1)
+        upsert(trends.where(touched), path(spec), spec, rank=[])
+    finally:
+        keys.unpersist()
+
+
+def _hours_around(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
+    """city and _hour: the hours of the keys, and the nearest hours before and after them that hold readings of the city."""
+    day = timedelta(days=1)
+    own = keys.select("city", bucket(keys, "hour").alias("_hour")).distinct().withColumn("_own", F.lit(True))
+    cities = keys.select("city").distinct()
+    touched = [floor_to("day", r[0]) for r in keys.select(bucket(keys, "day")).distinct().collect()]  # one for each day
+    near = {at + i * day for at in touched for i in (-1, 0, 1)}
+
+    def filled(days: Iterable[datetime]) -> DataFrame:
+        found = read_parts(spark, table_path(root, HOURLY_PARTIALS), HOURLY_PARTIALS, _directories(HOURLY_PARTIALS, "day", list(days)))
+        return found.select("city", F.col("datetime").alias("_hour")).join(cities, "city", "left_semi")
+
+    by_city = Window.partitionBy("city").orderBy("_hour")  # hours of the few days, not readings
+    linked = filled(near).join(own, ["city", "_hour"], "left").select(
+        "*", F.lag("_hour").over(by_city).alias("_before"), F.lead("_hour").over(by_city).alias("_after")).where("_own").persist()
+    to_day = lambda c: F.date_trunc("day", c)
+    # A neighbour more than a day off may have others between, in days that were not read.
+    linked = linked.withColumns({
+        "_before": F.when(to_day(F.col("_hour")) - to_day(F.col("_before")) <= F.expr("INTERVAL 1 DAY"), F.col("_before")),
+        "_after": F.when(to_day(F.col("_after")) - to_day(F.col("_hour")) <= F.expr("INTERVAL 1 DAY"), F.col("_after"))})
+    found = linked.select("city", F.explode(F.array("_hour", "_before", "_after")).alias("_hour")).where("_hour IS NOT NULL")
+    open_ = linked.where("_before IS NULL OR _after IS NULL").persist()
+    if open_.isEmpty():
+        return found.distinct()
+    days = read_stored(spark, table_path(root, DAILY_PARTIALS), DAILY_PARTIALS)
+    days = days.select("city", F.col("datetime").alias("_day")).join(cities, "city", "left_semi")
+    far = open_.join(days, "city").groupBy("city", "_hour").agg(
+        F.max(F.when(F.col("_day") < to_day(F.col("_hour")), F.col("_day"))).alias("_back"),
+        F.min(F.when(F.col("_day") > to_day(F.col("_hour")), F.col("_day"))).alias("_on"))
+    wanted = far.select("city", F.explode(F.array("_back", "_on")).alias("_day")).where("_day IS NOT NULL").distinct().persist()
+    others = filled(r[0] for r in wanted.select("_day").distinct().collect())
+    others = others.withColumn("_day", to_day(F.col("_hour"))).join(wanted, ["city", "_day"], "left_semi").groupBy("city", "_day").agg(
+        F.min("_hour").alias("_first"), F.max("_hour").alias("_last"))
+    return found.unionByName(others.select("city", F.explode(F.array("_first", "_last")).alias("_hour"))).distinct()
+
+
 def run_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, every: str | None = None,
-               max_files: int | None = None, archive: str | None = None):
-    """Stream landed payloads into the readings, the latest ones, and the aggregates of each batch.
+               max_files: int | None = None, archive: str | None = None, trends: TableSpec | None = None,
+               measures: Sequence[str] = ("temp", "pressure")):
+    """Stream landed payloads into the readings, the latest ones, and the aggregates of each batch; with ``trends`` into that table, too.
 
     Everything is done in the batch that brings a reading, after its upsert: there is no second
     stream, and a batch that fails in between is repeated whole, which changes nothing twice.
@@ -166,6 +230,8 @@ def run_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, ev
     def after(readings: DataFrame) -> None:
         refresh(spark, root, readings)
         store_latest(readings, root)
+        if trends is not None:
+            refresh_trends(spark, root, readings, measures, trends)
 
     return ingest(spark, landing, table_path(root, OBSERVATIONS), checkpoint, every, max_files, after=after,
                   rejects=f"{root.rstrip('/')}/rejected_payloads", archive=archive)

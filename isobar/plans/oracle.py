@@ -113,6 +113,18 @@ FROM obs""")
 ENRICHED = _with(OBS, CITIES, query="""
 SELECT obs.city, datetime, temp, lat, lng, country_id FROM obs JOIN cities ON obs.city = cities.city""")
 
+TREND = """
+SELECT city, datetime, temp, pressure, round(temp - lag(temp) OVER w, 9) AS temp_delta,
+       round(pressure - lag(pressure) OVER w, 9) AS pressure_delta
+FROM obs WINDOW w AS (PARTITION BY city ORDER BY datetime)"""
+
+# Of two readings in one second the greater payload text wins: an empty
+# condition list sorts below a filled one, then the condition and Kelvin text.
+NEWEST_TEXT = """
+QUALIFY row_number() OVER (
+  PARTITION BY city, date_trunc('second', datetime)
+  ORDER BY main <> 'error' DESC, main DESC, temp_k::VARCHAR DESC) = 1"""
+
 ORACLE: dict[str, str] = {
     "scan_project": "SELECT user_id, ts, value FROM events WHERE event_type = 'view'",
     "scan_city": _with(OBS, query="SELECT * FROM obs WHERE city = 'CITY_7'"),
@@ -224,11 +236,42 @@ SELECT city, datetime, main, temp, CASE WHEN main IN ('view', 'signup') THEN hum
 SELECT city, date_trunc('second', datetime)::TIMESTAMP AS datetime, main, temp, pressure FROM obs
 QUALIFY row_number() OVER (
   PARTITION BY city, date_trunc('second', datetime) ORDER BY temp DESC, pressure DESC, main DESC) = 1"""),
-    # Of two readings in one second the greater payload text wins: an empty
-    # condition list sorts below a filled one, then the condition and Kelvin text.
-    "stream_ingest": FLATTENED + """
-QUALIFY row_number() OVER (
-  PARTITION BY city, date_trunc('second', datetime)
-  ORDER BY main <> 'error' DESC, main DESC, temp_k::VARCHAR DESC) = 1""",
+    "stream_ingest": FLATTENED + NEWEST_TEXT,
     "stream_daily": _with(OBS, query=DAY_SUMMARY.format(where="")),
+    "stream_hourly": f"""
+WITH stored AS ({FLATTENED} {NEWEST_TEXT})
+SELECT strftime(datetime, '%Y-%m-%d-%H') AS part, count(*) AS n_readings, count(DISTINCT city) AS n_cities,
+       round(avg(temp), 9) AS avg_temp FROM stored GROUP BY 1""",
+    "stream_late_days": f"""
+WITH obs AS ({FLATTENED} {NEWEST_TEXT}) {DAY_SUMMARY.format(where='')}""",
+    "latest_stored": _with(OBS, query="""
+SELECT city, datetime, main, temp, pressure, rain, snow FROM obs
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1"""),
+    "counter_stored": _with(LONG, query=_precipitation("month")),
+    "trend_refresh": _with(OBS, query=TREND),
+    "trend_bucketed": _with(OBS, query=TREND),
+    "scan_city_stored": _with(OBS, query="""
+SELECT city, datetime, main, temp, pressure FROM obs
+WHERE city = 'CITY_7' AND datetime >= TIMESTAMP '2024-01-05' AND datetime < TIMESTAMP '2024-01-08'"""),
+    "coverage_from_partials": _with(OBS, LISTED, query="""
+SELECT date_trunc('month', datetime)::TIMESTAMP AS datetime, count(*) AS n_readings, count(DISTINCT listed.city) AS n_covered
+FROM obs LEFT JOIN listed ON obs.city = listed.city GROUP BY 1"""),
+    "json_variant": FLATTENED,
+    "json_unseen_keys": _with(OBS, query="""
+, third AS (SELECT epoch(date_trunc('second', datetime))::BIGINT % 3 AS k FROM obs)
+SELECT 'uvi' AS path, 'BIGINT' AS kind, count(*) AS n FROM third WHERE k = 0 HAVING count(*) > 0
+UNION ALL SELECT 'base', 'STRING', count(*) FROM third WHERE k = 0 HAVING count(*) > 0
+UNION ALL SELECT 'alert', 'OBJECT<level: BIGINT>', count(*) FROM third WHERE k = 1 HAVING count(*) > 0
+UNION ALL SELECT 'wind.dir', 'STRING', count(*) FROM third HAVING count(*) > 0"""),
+    "csv_rejects": _with(CITIES, query="""
+, numbered AS (SELECT *, (lat + 1075)::BIGINT AS city_id, ((lat + 1075)::BIGINT) % 5 AS kind FROM cities),
+texts AS (SELECT *, concat_ws(',', lat::VARCHAR, lng::VARCHAR) AS place, concat_ws(',', country_id, city_id) AS ids FROM numbered)
+SELECT CASE WHEN kind = 4 THEN concat(city, ', in all') END AS city, CASE WHEN kind = 4 THEN city_id END AS city_id,
+       ['too few fields', 'value of another type', 'no value of city', 'too many fields', 'kept'][kind + 1] AS outcome,
+       CASE kind WHEN 0 THEN concat(city, ',', place) WHEN 1 THEN concat(city, ',', lat, ',east,', ids)
+            WHEN 2 THEN concat(',', place, ',', ids) WHEN 3 THEN concat(city, ',', place, ',', ids, ',x') END AS line
+FROM texts"""),
+    # Every reading is kept once, but for those that first arrive far behind the watermark.
+    "stream_first_poll": _with(OBS, query="""
+SELECT city, datetime, temp FROM obs WHERE NOT (day(datetime) <= 10 AND substr(city, 6)::INT % 10 = 0)"""),
 }

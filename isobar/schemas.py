@@ -42,6 +42,9 @@ PARTIALS_SCHEMA = columns(
     pressure_sum=DOUBLE, pressure_count=LONG, temp_min=DOUBLE, temp_max=DOUBLE, low=DOUBLE, high=DOUBLE,
     sum_precipitation=DOUBLE,
 )
+TRENDS_SCHEMA = columns(
+    KEY, city=TEXT, datetime=TIME, temp=DOUBLE, pressure=DOUBLE, temp_delta=DOUBLE, pressure_delta=DOUBLE,
+)
 CITIES_SCHEMA = columns(("city",), city=TEXT, lat=DOUBLE, lng=DOUBLE, country_id=INT, city_id=LONG)
 COUNTRIES_SCHEMA = columns(("id",), id=INT, name=TEXT, subregion=TEXT, region=TEXT)
 
@@ -124,6 +127,7 @@ class TableSpec:
 # A directory is rewritten whole, so each table's holds no longer a period than a batch of fresh readings touches.
 OBSERVATIONS = TableSpec("realtime_weather", OBSERVATION_SCHEMA, KEY, "hour", bloom=("city",), group_bytes=16 << 20)
 LATEST = TableSpec("latest_weather", OBSERVATION_SCHEMA, ("city",), buckets=16)
+TRENDS = TableSpec("weather_trend", TRENDS_SCHEMA, KEY, "hour")
 HOURLY_PARTIALS = TableSpec("hourly_partials", PARTIALS_SCHEMA, KEY, "hour")
 DAILY_PARTIALS = TableSpec("daily_partials", PARTIALS_SCHEMA, KEY, "day")
 MONTHLY_PARTIALS = TableSpec("monthly_partials", PARTIALS_SCHEMA, KEY, "month")
@@ -144,7 +148,7 @@ PRECIPITATION_TOTALS = {
 }
 TABLES = {
     spec.name: spec
-    for spec in (OBSERVATIONS, LATEST, HOURLY_PARTIALS, DAILY_PARTIALS, MONTHLY_PARTIALS, DAY_SUMMARY, CITIES, COUNTRIES,
+    for spec in (OBSERVATIONS, LATEST, TRENDS, HOURLY_PARTIALS, DAILY_PARTIALS, MONTHLY_PARTIALS, DAY_SUMMARY, CITIES, COUNTRIES,
                  *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
 }
 

@@ -37,6 +37,34 @@ def read_dimension(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False, mode="FAILFAST")
 
 
+def read_with_rejects(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV that fit the schema, and those that don't: file, line (its text) and reason.
+
+    Each line is in one of the two. A line is turned away if it has too few or too many fields,
+    a value of another type, or none where the column must have one. The header is skipped.
+    """
+    corrupt = "_line"
+    while corrupt in schema.fieldNames():
+        corrupt += "_"
+    loose = StructType([StructField(f.name, f.dataType) for f in schema.fields] + [StructField(corrupt, StringType())])
+    rows = spark.read.csv(path, schema=loose, header=True, enforceSchema=True, mode="PERMISSIVE",
+                          columnNameOfCorruptRecord=corrupt).select("*", F.col("_metadata.file_path").alias("_file"))
+    required = [f.name for f in schema.fields if not f.nullable]
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    separators = F.regexp_count(F.col(corrupt), F.lit(',(?=(?:[^"]*"[^"]*")*[^"]*$)'))  # outside quotes
+    reason = (
+        F.when(separators > len(schema) - 1, "too many fields")
+        .when(separators < len(schema) - 1, "too few fields")
+        .when(F.col(corrupt).isNotNull(), "value of another type")
+        .when(missing != "", F.concat(F.lit("no value of "), missing))
+    )
+    values = F.concat_ws(",", *[F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema.fields])
+    rows = rows.where(values >= "")  # always so; only columns that are used are parsed and checked, and this uses them all
+    good = rows.where(reason.isNull()).select(*schema.fieldNames())
+    away = rows.select(F.col("_file").alias("file"), F.coalesce(F.col(corrupt), values).alias("line"), reason.alias("reason"))
+    return good, away.where(F.col("reason").isNotNull())
+
+
 def bulk_load(spark: SparkSession, path: str, columns: Sequence[str], schema: StructType) -> DataFrame:
     """Read a CSV by position: the caller's column list replaces the skipped header.
 

@@ -57,6 +57,55 @@ def rejected_payloads(landed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.col("reason").isNotNull())
 
 
+def _variants(landed: DataFrame) -> DataFrame:
+    return landed.select(F.col("city").alias("_city"), F.inline(F.array(F.struct(F.try_parse_json("raw").alias("v")))))
+
+
+def parse_variants(landed: DataFrame, keep_open: bool = False) -> DataFrame:
+    """The rows of :func:`parse_payloads`, read from open objects: with ``keep_open`` each carries its whole payload as ``payload``.
+
+    A value of another type than its column's is null, as is a number that doesn't fit.
+    """
+    at = lambda path, kind: F.try_variant_get("v", path, kind)
+    amount = lambda name: F.coalesce(at(f"$.{name}['1h']", "double"), F.lit(0.0)).alias(name)
+    timed = _variants(landed).withColumn("dt", at("$.dt", "double")).filter(F.col("dt").between(*EPOCH_RANGE))
+    epoch = lambda path: epoch_to_timestamp(at(path, "double"))
+    values = {
+        "city": F.col("_city"),
+        "datetime": epoch_to_timestamp("dt"),
+        "main": at("$.weather[0].main", "string"),
+        "description": at("$.weather[0].description", "string"),
+        **{name: kelvin_to_celsius(at(f"$.main.{name}", "double")) for name in KELVIN_FIELDS},
+        **{name: at(f"$.main.{name}", "double") for name in ("pressure", "humidity", "sea_level", "grnd_level")},
+        "visibility": at("$.visibility", "double"),
+        "precipitation": F.struct(amount("rain"), amount("snow")),
+        "wind": F.struct(*[at(f"$.wind.{name}", "double").alias(name) for name in ("speed", "deg", "gust")]),
+        "clouds": at("$.clouds.all", "double"),
+        "sunrise": epoch("$.sys.sunrise"),
+        "sunset": epoch("$.sys.sunset"),
+    }
+    columns = [values[f.name].try_cast(f.dataType).alias(f.name) for f in OBSERVATION_SCHEMA.fields]
+    return timed.select(*columns, *([F.col("v").alias("payload")] if keep_open else []))
+
+
+def unseen_keys(landed: DataFrame) -> DataFrame:
+    """path, kind (type of its values) and n of every key that the payload's schema lacks, at the top or one level down."""
+    spark, known = landed.sparkSession, {f.name: f.dataType for f in PAYLOAD_SCHEMA.fields}
+    objects = [n for n, kind in known.items() if isinstance(kind, StructType)]
+    within = [f"{n}.{f}" for n in objects for f in known[n].fieldNames()]
+    v = _variants(landed).select("v").where("v IS NOT NULL AND startswith(schema_of_variant(v), 'OBJECT')")
+    return spark.sql("""
+        WITH tops AS (SELECT t.key AS path, t.value AS value FROM {v}, LATERAL variant_explode(v) t),
+             nested AS (SELECT concat(tops.path, '.', t.key) AS path, t.value AS value
+                        FROM tops, LATERAL variant_explode(tops.value) t
+                        WHERE array_contains(:objects, tops.path) AND startswith(schema_of_variant(tops.value), 'OBJECT'))
+        SELECT path, schema_of_variant(value) AS kind, count(*) AS n
+        FROM (SELECT * FROM tops WHERE NOT array_contains(:tops, path) UNION ALL
+              SELECT * FROM nested WHERE NOT array_contains(:within, path))
+        GROUP BY path, schema_of_variant(value)""",
+        args={"objects": objects, "tops": list(known), "within": within}, v=v)
+
+
 def _parsed(landed: DataFrame, keep: Sequence[str]) -> DataFrame:
     return landed.select(
         F.col("city").alias("_city"), F.col("raw").alias("_raw"), *[c for c in keep if c != "raw"],

@@ -24,6 +24,17 @@ def first_polls(observations: DataFrame, delay: str) -> DataFrame:
     return timed.withWatermark("datetime", delay).dropDuplicatesWithinWatermark(["city", "datetime"])
 
 
+def keep_first_polls(observations: DataFrame, path: str, checkpoint: str, delay: str, every: str | None = None) -> StreamingQuery:
+    """Append each (city, datetime) to the parquet files at ``path`` once, as it first arrives.
+
+    A repeat inside ``delay`` meets the key's state, one behind the watermark is late: either is left out.
+    So is a first arrival behind the watermark; the state of a key goes once the watermark passes it.
+    The file sink lists finished files itself, so a repeated batch appends nothing twice.
+    """
+    writer = first_polls(observations, delay).writeStream.outputMode("append").format("parquet").option("path", path)
+    return triggered(writer.option("checkpointLocation", checkpoint), every).start()
+
+
 def live_days(observations: DataFrame, delay: str) -> DataFrame:
     """Daily statistics and precipitation of a stream, duplicates counted once."""
     return day_summary(first_polls(observations, delay))

@@ -10,7 +10,8 @@ from isobar.plans.catalogue import QUERIES
 
 WRITING = {
     "upsert_stored", "bulk_load", "csv_dimension", "stream_ingest", "stream_daily", "table_roundtrip", "document_insert",
-    "process_day_stored", "refresh_stored",
+    "process_day_stored", "refresh_stored", "stream_hourly", "stream_late_days", "latest_stored", "counter_stored",
+    "stream_first_poll", "trend_refresh", "scan_city_stored", "trend_bucketed", "csv_rejects",
 }
 LAZY = sorted(QUERIES.keys() - WRITING)
 
