@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -114,6 +114,7 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("#root", None)
         self.nodes = [self.root]
+        self._opened = Counter()  # by tag, so that an end tag without a start walks no chain
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -126,29 +127,38 @@ class Builder(HTMLParser):
         self.nodes.append(node)
         if tag not in VOID:
             self.open = node
+            self._opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.open
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.open = node.parent
+        if self._opened[tag]:
+            node = self.open
+            while node.tag != tag:
+                node = node.parent
+            self._close(node)
 
     def handle_data(self, data):
         self.open.parts.append(data)
 
     def _end(self, tags, stop):
         """Close the topmost open element of the given tags."""
+        if not any(self._opened[t] for t in tags):
+            return
         node, found = self.open, None
         while node is not None and node.tag not in stop:
             if node.tag in tags:
                 found = node
             node = node.parent
         if found is not None:
-            self.open = found.parent
+            self._close(found)
+
+    def _close(self, node):
+        """Close an open element with all that is open in it."""
+        while self.open is not node.parent:
+            self._opened[self.open.tag] -= 1
+            self.open = self.open.parent
 
 
 def _spread(nodes: list[Node]) -> None:

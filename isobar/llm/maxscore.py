@@ -6,8 +6,8 @@ by these bounds: the non-essential ones together cannot lift a vector over the k
 score so far, so postings of essential terms are traversed first and the others are probed,
 strongest first, only for vectors that may still compete. Shard results are merged by query.
 
-Vectors are packed into blocks of fixed size, as are queries; every pair of blocks is one
-row of work, so tasks are equal and no side is broadcast or collected.
+Vectors are packed into blocks of fixed size, as are queries; a block of vectors is a shard and is
+shuffled once, the blocks of queries go to every shard. No side is broadcast or collected.
 """
 
 from __future__ import annotations
@@ -28,13 +28,13 @@ def quantised(df: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id and ``terms``: floor(scale * component) as longs, one row for each vec_id.
 
     Rows with a null vec_id, a null vector, or a null, NaN or infinite component take no part.
-    Of rows that share a vec_id the smallest vector counts. Components beyond 2^24 are refused
-    while running: their scores might not fit in a long.
+    Of rows that share a vec_id the smallest vector counts. Scaled components that don't fit in a
+    long are refused while running, as are scores that don't.
     """
     x = F.transform("embedding", lambda v: v.cast("double"))
     bad = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
     valid = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("x", bad)
-    checked = lambda v: F.when(F.abs(v * scale) < 2.0**24, F.floor(v * scale).cast("long")).otherwise(
+    checked = lambda v: F.when(F.abs(v * scale) < 2.0**62, F.floor(v * scale).cast("long")).otherwise(
         F.raise_error(F.lit("component too large")).cast("long"))
     return (
         df.select("vec_id", "embedding", x.alias("x")).where(valid)
@@ -64,12 +64,12 @@ def search_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np
     bound = np.maximum(query * low, query * high)
     order = np.argsort(-(bound - np.minimum(query * low, query * high)), kind="stable")  # widest range first
     left = np.concatenate([np.cumsum(bound[order][::-1])[::-1], [0]])  # most that the terms from i on add
-    best_scores, best_ids = np.empty(0, np.int64), np.empty(0, np.int64)
+    best_scores, best_ids = np.empty(0, postings.dtype), np.empty(0, np.int64)
     for start in range(0, len(ids), CHUNK):
         rows = np.arange(start, min(start + CHUNK, len(ids)))
         rows = rows[ids[rows] != query_id]
         need = best_scores[-1] if len(best_scores) == k else None
-        scores = np.zeros(len(rows), np.int64)
+        scores = np.zeros(len(rows), postings.dtype)
         # Essential: with all of these terms at their bounds, the rest falls short of what is needed.
         gain = np.concatenate([[0], np.cumsum((bound - np.minimum(query * low, query * high))[order])])
         floor_ = left[0] - gain  # most that a vector reaches which is lowest in the first i terms
@@ -84,7 +84,8 @@ def search_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np
             if query[term]:
                 scores = scores + query[term] * postings[term, rows]
         scores, found = np.concatenate([best_scores, scores]), np.concatenate([best_ids, ids[rows]])
-        top = np.lexsort((found, -scores))[:k]
+        exact = scores.dtype == object  # beyond a long on the way
+        top = sorted(range(len(found)), key=lambda j: (-scores[j], found[j]))[:k] if exact else np.lexsort((found, -scores))[:k]
         best_scores, best_ids = scores[top], found[top]
     return list(zip(best_scores.tolist(), best_ids.tolist()))
 
@@ -93,13 +94,16 @@ def _search(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for ids, terms, query_ids, queries in zip(batch["shard_ids"], batch["shard_terms"], batch["query_ids"], batch["query_terms"]):
             dims = max((len(t) for part in (terms, queries) for t in part), default=0)
-            postings = np.ascontiguousarray(_matrix(terms, dims).T)
+            postings, wanted = np.ascontiguousarray(_matrix(terms, dims).T), _matrix(queries, dims)
+            reach = lambda m, axis: np.abs(m.astype(float)).max(axis=axis, initial=0)
+            if (reach(postings, 1) * reach(wanted, 0)).sum() > 2**60:  # sums might not fit: count in whole numbers of any size
+                postings, wanted = postings.astype(object), wanted.astype(object)
             low = postings.min(axis=1, initial=2**62, where=True) if dims else np.empty(0, np.int64)
             high = postings.max(axis=1, initial=-(2**62)) if dims else np.empty(0, np.int64)
             ids = np.asarray(ids)
             found = [
                 (q, v, s)
-                for q, query in zip(query_ids, _matrix(queries, dims))
+                for q, query in zip(query_ids, wanted)
                 for s, v in search_shard(ids, postings, q, query, low, high, k)
             ]
             yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
@@ -114,9 +118,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     shards = -(-vectors.count() // SHARD_ROWS)
     blocks = -(-queries.count() // QUERY_ROWS)
     of = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(max(n, 1)))
-    shard = _packed(vectors, of(shards), "shard").withColumn("query", F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))))
+    shard = _packed(vectors, of(shards), "shard")
     query = _packed(queries, of(blocks), "query").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))))
-    pairs = shard.join(query.hint("merge"), [shard["shard"] == query["shard"], shard["query"] == query["query"]]).select(
+    pairs = shard.join(query.hint("merge"), "shard").select(
         "shard_ids", "shard_terms", "query_ids", "query_terms")
     found = pairs.mapInPandas(lambda batches: _search(batches, k), RESULT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -46,7 +46,8 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(folds: int) -> Column:
-    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % folds
+    """A document's fold; one without an id is in fold 0, as an empty text is."""
+    return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % folds
 
 
 def fitted_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Model:

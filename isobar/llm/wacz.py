@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from isobar.llm.common import bounded_batches, free_name, stored
+from isobar.llm.common import bounded_batches, free_name, pieces, stored
 from isobar.session import scratch_path
 
 ARCHIVE_BYTES = 32 << 20
@@ -223,8 +223,14 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, limit: int = A
 
 
 def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, record_type and refers_to of all records of the listed archives."""
-    return archives.select("archive").repartition("archive").mapInArrow(
+    """page_id, url, payload, payload_bytes, payload_digest, record_type and refers_to of all records of the listed archives.
+
+    The names are few bytes, so their partitions would be merged into one: the number of reading tasks is
+    stated, one for each archive up to the number of shuffle partitions.
+    """
+    names = archives.select("archive")
+    tasks = max(1, min(names.count(), pieces(archives.sparkSession, 1)))
+    return names.repartition(tasks, "archive").mapInArrow(
         lambda b: _read(b, payload),
         "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 

@@ -8,6 +8,7 @@ import html
 import io
 import re
 import struct
+import time
 import zipfile
 
 import pytest
@@ -94,6 +95,31 @@ def test_text_around_the_densest_node_stays(frame, page, text):
     assert html_density.main_text(frame.format(page)) == text
 
 
+@pytest.mark.parametrize("broken", ["<b>" * 100_000 + "</i>" * 100_000, "<p>" + "<b>" * 1000 + "</p>" * 100_000 + "<hr>" * 100_000])
+def test_broken_markup_takes_linear_time(broken):
+    started = time.process_time()
+    assert html_density.main_text(f"<body>{broken}<p>{'text ' * 50}</p></body>") == ("text " * 50).strip()
+    assert time.process_time() - started < 20
+
+
+def test_density_chooses_among_parts_without_landmarks(monkeypatch):
+    """Two like sections; with a constant density there would be nothing to choose them by."""
+    short = "".join(f"<div><a href={i}>Item {i}</a><span>x</span></div>" for i in range(30))
+    page = f"<body><div id=a>{short}</div><div id=b>{''.join(f'<div>{p}</div>' for p in LONG.split('</p>') if p)}</div></body>"
+    assert html_density.main_text(page) == LONG_TEXT
+    measure = html_density._measure
+
+    def constant(nodes):
+        measure(nodes)
+        for node in nodes:
+            node.density = float(not node.dropped and node.chars > 0)
+        for node in nodes:
+            node.total = sum(c.density for c in node.parts if isinstance(c, html_density.Node))
+
+    monkeypatch.setattr(html_density, "_measure", constant)
+    assert html_density.main_text(page) != LONG_TEXT
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (3, "u", "<p>" + "long " * 50_000 + "</p>")]
     pages = spark.createDataFrame(rows, PAGES).withColumn("text", F.lit(1)).withColumn("n_chars", F.lit("mine"))

@@ -45,6 +45,12 @@ def test_top_k_odd_rows(spark):
     found = [tuple(r) for r in maxscore.top_k(vectors, vectors.where("vec_id = 0"), 9).orderBy("rank").collect()]
     assert found == [(0, 1, 7, 5 * 65536), (0, 2, 5, 65536), (0, 3, 6, 0), (0, 4, 8, 0)]
     assert maxscore.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+    large = [(1, [300.0, -7e4]), (2, [1e5, 1.0]), (3, [2.0**24, -1.0]), (4, [0.25, 2.0**21]), (5, [-1.0, 2.0**20])]
+    vectors = maxscore.quantised(spark.createDataFrame([(*r, None) for r in large], VECTORS))
+    assert sorted(tuple(r) for r in maxscore.top_k(vectors, vectors, 3).collect()) == sorted(brute(large, 3))
+    beyond = maxscore.quantised(spark.createDataFrame([(1, [2.0**40], None), (2, [2.0**40], None)], VECTORS))
+    with pytest.raises(Exception, match="int too (big|large)|Overflow"):
+        maxscore.top_k(beyond, beyond, 3).collect()
     huge = maxscore.quantised(spark.createDataFrame([(1, [1e30], None)], VECTORS))
     with pytest.raises(Exception, match="too large"):
         huge.collect()
