@@ -36,8 +36,13 @@ def of_city(df: DataFrame, city: str) -> DataFrame:
     return df.filter(F.col("city") == city)
 
 
+LISTED_CITIES = 200  # a longer list is a table of its own, not a predicate
+
+
 def of_cities(df: DataFrame, cities: DataFrame | Sequence[str]) -> DataFrame:
-    """Readings of many cities: a short list, or a frame with a ``city`` column."""
+    """Readings of many cities: a list, or a frame with a ``city`` column."""
+    if not isinstance(cities, DataFrame) and len(cities) > LISTED_CITIES:
+        cities = df.sparkSession.createDataFrame([(c,) for c in cities], "city string")
     if isinstance(cities, DataFrame):
         return df.join(cities.select("city"), "city", "left_semi")
     return df.filter(F.col("city").isin(list(cities)))

@@ -87,6 +87,8 @@ def test_city_filters(spark):
     assert of_city(df, "B").collect() == [("B",)]
     assert of_cities(df, ["A", "C"]).count() == 2
     assert of_cities(df, spark.createDataFrame([("A",), ("A",), ("Z",)], "city string")).collect() == [("A",)]
+    many = of_cities(df, ["A", "B", *(f"X{i}" for i in range(1000))])
+    assert many.count() == 2 and "LeftSemi" in many._jdf.queryExecution().executedPlan().toString()
 
 
 def test_bound_parameters(spark):
