@@ -96,6 +96,9 @@ class TableSpec:
     def file_options(self) -> dict[str, str]:
         """Writer options: bloom filters, and row groups small enough for them and the sort to skip by."""
         options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.bloom}
+        options |= {f"parquet.bloom.filter.candidates.number#{c}": "12" for c in self.bloom}
+        if self.bloom:  # as large as the row group's values need, from 1 KB up; else each would take 1 MB
+            options["parquet.bloom.filter.adaptive.enabled"] = "true"
         return options | ({"parquet.block.size": str(self.group_bytes)} if self.group_bytes else {})
 
     @property

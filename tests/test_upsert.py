@@ -184,6 +184,7 @@ def test_bytes_rewritten_stay_level_over_a_day(spark, tmp_path):
             upsert(batch(spark, *[observation(f"C{i}", when, temp=float(i)) for i in range(200)]), path, OBSERVATIONS, ["arrival"])
             written.append(sum(os.path.getsize(f"{path}/{n}") for n, t in files(path).items() if before.get(n) != t))
     assert max(written[1::2]) < 1.1 * min(written[1::2]) and max(written[::2]) < 1.1 * min(written[::2])
+    assert max(written) < 50_000  # the filters are small where there is little to filter
     assert len(temps(spark, path)) == 16 * 200
 
 
