@@ -117,7 +117,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[int, str]]) -> Model:
-    """Three fifths of each class make the dictionaries, the rest the curve."""
+    """Three fifths of each class make the dictionaries, the rest the curve; without a signal in them every text scores 0."""
     by = {label: [t for x, t in rows if x == label] for label in (0, 1)}
     seen = {label: texts[: len(texts) * 3 // 5] for label, texts in by.items()}
     unseen = [(label, t) for label, texts in by.items() for t in texts[len(texts) * 3 // 5 :]]
@@ -130,6 +130,8 @@ def train(rows: list[tuple[int, str]]) -> Model:
         return fitted
     features = Scorer(fitted).features
     x, y = np.array([features(t) for _, t in unseen]), np.array([float(label) for label, _ in unseen])
+    if not toxic or not x.any():
+        return fitted
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
     return Model(ordinary, toxic, mean, spread, _logistic((x - mean) / spread, y))
 
@@ -151,7 +153,10 @@ def model(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
 
 
 def score(docs: DataFrame, fitted: Model, keep: bool = False) -> DataFrame:
-    """All columns (the text only with ``keep``), and ``score`` (0 to 1); a null text scores as an empty one."""
+    """All columns (the text only with ``keep``), and ``score`` (0 to 1); a null text scores as an empty one.
+
+    A score depends on the text alone, so repeated rows score alike; a column called score is replaced; no rows give none.
+    """
     def prepare():
         scorer = Scorer(fitted)
         return lambda texts: [[scorer(t) for t in texts]]

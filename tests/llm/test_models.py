@@ -89,3 +89,11 @@ def test_held_out_toxicity_of_the_tables(spark):
 def test_every_document_has_one_row(spark, name):
     docs = table(spark, SF, "documents")
     assert queries.QUERIES[name](spark, SF).groupBy("doc_id").count().where("count = 1").count() == docs.count()
+
+
+def test_nothing_learned_flags_nothing(documents):
+    """Toxic texts without a word of their own: no document may be taken for toxic."""
+    rows = [(x, " ".join(f"{a}{i % 7}" for a in "abcdefghijkl")) for i in range(60) for x in (0, 1)]
+    fitted = toxicity.train(rows)
+    docs = documents((1, rows[0][1]), (2, ""), (3, None), (4, "other words altogether"))
+    assert {r.score for r in toxicity.score(docs, fitted).collect()} == {0.0}
