@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows it is given and returns a frame; its
 result is written as Parquet and read again as the next stage's ``docs``.
+
+Stages keep the columns of ``documents`` and leave out others. A null or empty text has no letter
+and goes in the first stage; texts without a word are no copies of each other. Repeated rows are
+rows of their own until near duplicates, where one row of each class stays: that of the least doc_id,
+a null one only if no other has an id. Ties in the mix are broken by hash, so reruns agree. No documents,
+no rows.
 """
 
 from __future__ import annotations
