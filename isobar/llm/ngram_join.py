@@ -191,8 +191,8 @@ def text_classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
         .select("node", "kept_id", "root", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     )
     placed = keyed.join(work.hint("merge"), (keyed["digest"] == work["node"]) & keyed["doc_id"].eqNullSafe(work["kept_id"]))
-    groups = placed.groupBy("root", "i", "j").agg(  # at most two blocks of texts
-        F.collect_list(F.struct("digest", "side", "text")).alias("members")).select("members", (F.col("i") < F.col("j")).alias("crossing"))
+    groups = placed.groupBy("root", "i", "j").agg(  # at most two blocks of texts; rows that come again are dropped as they are gathered
+        F.collect_set(F.struct("digest", "side", "text")).alias("members")).select("members", (F.col("i") < F.col("j")).alias("crossing"))
     compared = stored(groups.mapInPandas(
         lambda b: _compared(b, n, threshold), "digest binary, links long, root binary"), "compared")
     roots = connected(compared.select(F.col("digest").alias("a"), F.col("root").alias("b")))
