@@ -25,11 +25,11 @@ RESULT = "query_id long, vec_id long, score long"
 
 
 def quantised(df: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and ``terms``: floor(scale * component) as longs, one row for each vec_id.
+    """vec_id and ``terms``: floor(scale * component) as longs, one row for each different pair of them.
 
     Rows with a null vec_id, a null vector, or a null, NaN or infinite component take no part.
-    Of rows that share a vec_id the smallest vector counts. Scaled components that don't fit in a
-    long are refused while running, as are scores that don't.
+    Rows that come again count once; different vectors of one vec_id all take part. Scaled components
+    that don't fit in a long are refused while running, as are scores that don't.
     """
     x = F.transform("embedding", lambda v: v.cast("double"))
     bad = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
@@ -38,8 +38,7 @@ def quantised(df: DataFrame, scale: int = 256) -> DataFrame:
         F.raise_error(F.lit("component too large")).cast("long"))
     return (
         df.select("vec_id", "embedding", x.alias("x")).where(valid)
-        .groupBy("vec_id").agg(F.min("x").alias("x"))
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("x", checked).alias("terms"))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("x", checked).alias("terms")).distinct()
     )
 
 
@@ -60,7 +59,8 @@ def _matrix(terms, dims: int) -> np.ndarray:
 
 def search_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np.ndarray,
                  low: np.ndarray, high: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The k best (score, vec_id) of a shard with ascending ids; postings has a row for each term."""
+    """The k best (score, vec_id) of a shard with ascending ids, one for each id; postings has a row for each term."""
+    repeated = bool((ids[1:] == ids[:-1]).any())
     bound = np.maximum(query * low, query * high)
     order = np.argsort(-(bound - np.minimum(query * low, query * high)), kind="stable")  # widest range first
     left = np.concatenate([np.cumsum(bound[order][::-1])[::-1], [0]])  # most that the terms from i on add
@@ -85,7 +85,10 @@ def search_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np
                 scores = scores + query[term] * postings[term, rows]
         scores, found = np.concatenate([best_scores, scores]), np.concatenate([best_ids, ids[rows]])
         exact = scores.dtype == object  # beyond a long on the way
-        top = sorted(range(len(found)), key=lambda j: (-scores[j], found[j]))[:k] if exact else np.lexsort((found, -scores))[:k]
+        top = np.array(sorted(range(len(found)), key=lambda j: (-scores[j], found[j])), int) if exact else np.lexsort((found, -scores))
+        if repeated:  # only the best vector of an id
+            top = top[np.sort(np.unique(found[top], return_index=True)[1])]
+        top = top[:k]
         best_scores, best_ids = scores[top], found[top]
     return list(zip(best_scores.tolist(), best_ids.tolist()))
 
@@ -113,16 +116,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best vectors other than itself; ties to the smaller vec_id.
 
     Both frames hold vec_id and terms, as ``quantised`` gives them. A vector may be shorter than
-    others: what it lacks counts as 0. Queries with fewer others get all; empty frames give no rows.
+    others: what it lacks counts as 0. Where an id has several vectors, as a query or a candidate, the
+    best of their scores is the pair's. Queries with fewer others get all; empty frames give no rows.
     """
     shards = -(-vectors.count() // SHARD_ROWS)
     blocks = -(-queries.count() // QUERY_ROWS)
-    of = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(max(n, 1)))
+    of = lambda n: F.pmod(F.xxhash64("vec_id", "terms"), F.lit(max(n, 1)))  # vectors of one id lie apart
     shard = _packed(vectors, of(shards), "shard")
     query = _packed(queries, of(blocks), "query").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))))
     pairs = shard.join(query.hint("merge"), "shard").select(
         "shard_ids", "shard_terms", "query_ids", "query_terms")
-    found = pairs.mapInPandas(lambda batches: _search(batches, k), RESULT)
+    found = pairs.mapInPandas(lambda batches: _search(batches, k), RESULT).repartition("query_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

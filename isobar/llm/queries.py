@@ -118,15 +118,14 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op1_maxscore": """
         WITH vectors AS (
-            SELECT vec_id, min(embedding::DOUBLE[]) AS x FROM embeddings
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
-            GROUP BY vec_id),
-        terms AS (SELECT vec_id, list_transform(x, lambda v: CAST(floor(256 * v) AS BIGINT)) AS t FROM vectors),
+              AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+        terms AS (SELECT DISTINCT vec_id, list_transform(x, lambda v: CAST(floor(256 * v) AS BIGINT)) AS t FROM vectors),
         scored AS (
             SELECT q.vec_id AS query_id, v.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.t, v.t), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
-            FROM terms q JOIN terms v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+                   max(CAST(list_sum(list_transform(list_zip(q.t, v.t), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT)) AS score
+            FROM terms q JOIN terms v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, v.vec_id)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5""",

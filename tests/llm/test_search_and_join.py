@@ -17,9 +17,12 @@ VECTORS = "vec_id long, embedding array<float>, label int"
 
 
 def brute(vectors, k):
-    terms = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in vectors}
+    terms = {}
+    for i, v in vectors:
+        terms.setdefault(i, []).append([math.floor(256 * float(np.float32(x))) for x in v])
     for q in terms:
-        scores = sorted(((-sum(a * b for a, b in zip(terms[q], terms[v])), v) for v in terms if v != q))[:k]
+        best = lambda v: max(sum(a * b for a, b in zip(x, y)) for x in terms[q] for y in terms[v])
+        scores = sorted((-best(v), v) for v in terms if v != q)[:k]
         for rank, (s, v) in enumerate(scores, 1):
             yield q, rank, v, -s
 
@@ -37,6 +40,18 @@ def test_top_k_is_exact(spark, monkeypatch, kind):
     assert sorted(tuple(r) for r in maxscore.top_k(df, df, 5).collect()) == sorted(brute(vectors, 5))
 
 
+@pytest.mark.parametrize("negative", [False, True])
+def test_top_k_of_ids_with_several_vectors(spark, monkeypatch, negative):
+    """One id holds a third of all vectors, others two each, and every row comes twice."""
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 40)
+    monkeypatch.setattr(maxscore, "QUERY_ROWS", 30)
+    monkeypatch.setattr(maxscore, "CHUNK", 16)
+    rng = random.Random(5)
+    vectors = [(7 if i % 3 == 0 else i // 2, [rng.gauss(-0.3 if negative else 0, 0.2) for _ in range(6)]) for i in range(120)]
+    df = maxscore.quantised(spark.createDataFrame([(*v, None) for v in vectors * 2], VECTORS))
+    assert sorted(tuple(r) for r in maxscore.top_k(df, df, 5).collect()) == sorted(brute(vectors, 5))
+
+
 def test_top_k_odd_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]),
             (5, [1.0]), (6, []), (7, [1.0, 2.0]), (7, [1.0, 2.0]), (8, [-1.0, 0.5])]
