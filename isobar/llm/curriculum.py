@@ -92,13 +92,15 @@ def assign(docs: DataFrame, size: Column, schedules: Sequence[Schedule] = SCHEDU
     taken until the target is met: to the word, the last one in part, or with ``whole`` those
     of which the greater part is within the target. All rows and columns are kept; columns named
     like added ones are replaced. Rows with no words take nothing. Rows of a null source are
-    a source of their own, and rows of equal doc_id (or none) are lined up by size.
+    a source of their own. Rows without a doc_id are lined up in md5 order of their content, so any
+    number of them is spread over the slices; rows of equal doc_id (or content) by size.
     """
     spark = docs.sparkSession
     if len(schedules) != len(weights):
         raise ValueError("one schedule for each weight")
     key, part, before, offset, name = (free_name(docs, n) for n in ("_key", "_part", "_before", "_offset", "_name"))
-    sized = docs.withColumn("size", size).withColumn(key, F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    nameless = F.to_json(F.struct(*docs.columns))
+    sized = docs.withColumn(key, F.md5(F.coalesce(F.col("doc_id").cast("string"), nameless))).withColumn("size", size)
     parts = min(65_536, pieces(spark))
     sized = sized.withColumn(part, F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") * parts / 2**32).cast("int"))
     sums = stored(sized.groupBy("source", F.col(part).alias("part")).agg(F.sum("size").alias("size")), "mix-sizes")

@@ -130,6 +130,20 @@ def test_training_order_and_whole_documents(documents):
     assert positions == sorted(positions) and len(positions) == sum(len(r.takes) for r in mixed.collect())
 
 
+def test_mix_of_rows_without_an_id(documents, monkeypatch):
+    """They don't meet in one window: their places follow their content."""
+    widths = []
+    kept = curriculum.stored
+    monkeypatch.setattr(curriculum, "stored", lambda df, name: widths.append(out := kept(df, name)) or out)
+    rows = [(None, t, None, "ab"[i % 2]) for i, t in enumerate(texts(200, 4))]
+    mixed = curriculum.assign(documents(*rows), curriculum.words(F.col("text")))
+    found = sorted((r.source, r.text, r.taken) for r in mixed.collect())
+    assert len(found) == 200 and found == sorted((r.source, r.text, r.taken) for r in mixed.repartition(5).collect())
+    target = {r.source: r.target for r in mixed.collect()}
+    assert all(abs(sum(n for s, _, n in found if s == x) - target[x]) < 1.001 for x in "ab")
+    assert widths[0].select("part").distinct().count() > 4
+
+
 def test_mix_odd_rows(odd):
     clashing = odd.withColumn("kind", F.lit("mine")).withColumn("size", F.lit(-1))
     found = curriculum.assign(clashing, curriculum.words(F.col("text"))).collect()
