@@ -24,8 +24,8 @@ from isobar.llm.components import connected
 
 NGRAM = 5
 THRESHOLD = 0.8
-RECALL = 0.9995
-HASHES = 128
+RECALL = 0.99999
+HASHES = 150
 BLOCK = 256
 CHUNK_WORDS = 1 << 16
 
