@@ -17,6 +17,7 @@ from isobar.sources.tables import of_cities
 
 STATISTICS_COLUMNS = ("city", "datetime", "avg_pressure", "avg_temp", "temp_min", "temp_max")
 PRECIPITATION_COLUMNS = ("city", "datetime", "sum_precipitation")
+PERIOD = "_period"  # holds the start of a row's period, in frames that have such a column
 
 
 def day_summary(df: DataFrame, cities: DataFrame | Sequence[str] | None = None,
@@ -167,7 +168,9 @@ def all_grains_from_partials(partials: DataFrame) -> DataFrame:
 
 
 def _by_period(df: DataFrame, grain: str):
-    return df.filter(F.col("datetime").isNotNull()).groupBy("city", bucket(df, grain).alias("datetime"))
+    # A period that rows were joined by is not derived again, or they would be shuffled again.
+    start = F.col(PERIOD) if PERIOD in df.columns else bucket(df, grain)
+    return df.filter(F.col("datetime").isNotNull()).groupBy("city", start.alias("datetime"))
 
 
 def _merge_statistics() -> list[Column]:

@@ -9,13 +9,13 @@ class Folder:
     """One directory and what lies directly in it."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self._jvm = spark.sparkContext._jvm
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # looked up once, not for each name
         self.path = path.rstrip("/")
         at = self._at("")
         self._fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return self._path(f"{self.path}/{name}" if name else self.path)
 
     def has(self, name: str) -> bool:
         return self._fs.exists(self._at(name))
