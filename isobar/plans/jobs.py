@@ -7,13 +7,15 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from isobar.functions.temporal import bucket, floor_to, next_period, period_range
 from isobar.operators.rollups import (
-    PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, day_summary, partials, summary_from_partials,
+    PERIOD, PRECIPITATION_COLUMNS, STATISTICS_COLUMNS, coarser_partials, day_summary, partials, summary_from_partials,
     with_extremes_of_temp,
 )
 from isobar.operators.series import trend
@@ -26,6 +28,8 @@ from isobar.sinks.upsert import read_parts, read_stored, recover, replace, upser
 from isobar.sources.payloads import rows_from_documents
 from isobar.streaming.ingest import ingest
 
+FEW = 200_000  # keys whose cities Spark can broadcast
+WRITERS = 3  # tables written at a time beside the one that the next grain is computed from
 
 AGGREGATES = (HOURLY_PARTIALS, DAILY_PARTIALS, MONTHLY_PARTIALS, DAY_SUMMARY, *STATISTICS.values(), *PRECIPITATION_TOTALS.values())
 
@@ -86,14 +90,17 @@ def store_grain(summary: DataFrame, root: str, grain: str,
     """Write a grain's statistics and precipitation, for days both kinds of statistics."""
     summary = summary.persist()
     try:
-        store_summary(summary, root, STATISTICS[grain], PRECIPITATION_TOTALS[grain], write)
-        if grain == "day":
-            write = write or (lambda df, path, spec: upsert(df, path, spec, rank=[]))
-            write(with_extremes_of_temp(summary).select(*STATISTICS_COLUMNS), table_path(root, DAY_SUMMARY), DAY_SUMMARY)
+        _store_grain(summary, root, grain, write or (lambda df, path, spec: upsert(df, path, spec, rank=[])))
     finally:
         summary.unpersist()
 
 
+def _store_grain(summary: DataFrame, root: str, grain: str, write: Callable[[DataFrame, str, TableSpec], object]) -> None:
+    store_summary(summary, root, STATISTICS[grain], PRECIPITATION_TOTALS[grain], write)
+    if grain == "day":
+        write(with_extremes_of_temp(summary).select(*STATISTICS_COLUMNS), table_path(root, DAY_SUMMARY), DAY_SUMMARY)
+
+
 def refresh(spark: SparkSession, root: str, changed: DataFrame) -> None:
     """Bring the aggregate tables up to date after readings of some (city, datetime) changed.
 
@@ -108,29 +115,38 @@ def refresh(spark: SparkSession, root: str, changed: DataFrame) -> None:
     held: list[DataFrame] = [hours]
 
     def of(source: TableSpec, grain: str) -> DataFrame:
-        """Stored rows of the changed cities in their changed periods of ``grain``."""
-        touched = hours.select("city", bucket(hours, grain).alias("_period")).distinct()
-        names = hours.select(bucket(hours, grain).alias("_period")).distinct().collect()  # one row for each period
-        rows = read_parts(spark, path(source), source, _directories(source, grain, [r[0] for r in names if r[0]]))
-        period = bucket(rows, grain)
-        return rows.withColumn("_period", period).join(touched, ["city", "_period"], "left_semi").drop("_period", PARTITION)
+        """Stored rows of the changed cities in their changed periods of ``grain``, with these as ``PERIOD``."""
+        touched = hours if grain == "hour" else hours.select("city", bucket(hours, grain).alias("datetime")).distinct()
+        rows = read_parts(spark, path(source), source, _directories(source, grain, sorted({floor_to(grain, at) for at in names})))
+        rows = rows.withColumn(PERIOD, bucket(rows, grain))
+        return rows.join(touched.withColumnRenamed("datetime", PERIOD), ["city", PERIOD], "left_semi").drop(PARTITION)
 
     def keep(df: DataFrame) -> DataFrame:
         held.append(df.persist())
         return df
 
+    def store(df: DataFrame, at: str, spec: TableSpec) -> None:
+        upsert(df, at, spec, rank=[], kept=True)
+
+    # No later step reads the results of a grain, so their tables are written while the next grain is computed.
+    writers, writing = ThreadPoolExecutor(WRITERS), []
+    beside = lambda df, at, spec: writing.append(writers.submit(inheritable_thread_target(spark)(store), df, at, spec))
     try:
-        if hours.isEmpty():
+        names = [r[0] for r in hours.select("datetime").distinct().collect() if r[0]]  # one for each hour
+        if not names:
             return
         upsert(partials(of(OBSERVATIONS, "hour"), "hour"), path(HOURLY_PARTIALS), HOURLY_PARTIALS, rank=[])
         fresh = keep(coarser_partials(of(HOURLY_PARTIALS, "day"), "day"))
-        upsert(fresh, path(DAILY_PARTIALS), DAILY_PARTIALS, rank=[])
-        store_grain(summary_from_partials(fresh, "day"), root, "day")
+        store(fresh, path(DAILY_PARTIALS), DAILY_PARTIALS)
+        _store_grain(keep(summary_from_partials(fresh.withColumn(PERIOD, F.col("datetime")), "day")), root, "day", beside)
         months = keep(coarser_partials(of(DAILY_PARTIALS, "month"), "month"))
-        upsert(months, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS, rank=[])
-        store_grain(summary_from_partials(months, "month"), root, "month")
-        store_grain(summary_from_partials(of(MONTHLY_PARTIALS, "year"), "year"), root, "year")
+        store(months, path(MONTHLY_PARTIALS), MONTHLY_PARTIALS)
+        _store_grain(keep(summary_from_partials(months.withColumn(PERIOD, F.col("datetime")), "month")), root, "month", beside)
+        _store_grain(keep(summary_from_partials(of(MONTHLY_PARTIALS, "year"), "year")), root, "year", beside)
+        for written in writing:
+            written.result()
     finally:
+        writers.shutdown()
         for df in held:
             df.unpersist()
 
@@ -166,57 +182,88 @@ def refresh_trends(spark: SparkSession, root: str, changed: DataFrame, measures:
     """
     path = lambda s: table_path(root, s)
     keys = changed.select(*KEY).where("city IS NOT NULL AND datetime IS NOT NULL").distinct().persist()
+    held = [keys]
     try:
-        if keys.isEmpty():
+        counts = keys.groupBy(bucket(keys, "hour").alias("_hour")).count().collect()  # one row for each hour
+        if not counts:
             return
-        hours = _hours_around(spark, root, keys)
-        names = [OBSERVATIONS.part(r[0]) for r in hours.select("_hour").distinct().collect()]  # one for each hour
-        rows = read_parts(spark, path(OBSERVATIONS), OBSERVATIONS, names)
-        rows = rows.withColumn("_hour", bucket(rows, "hour")).join(hours, ["city", "_hour"], "left_semi")
-        marked = rows.join(keys.withColumn("_mark", F.lit(1)), list(KEY), "left")
-        mark = F.coalesce("_mark", F.lit(0))
+        own = {r[0] for r in counts}
+        around = _hours_around(spark, root, keys, own, sum(r[1] for r in counts) <= FEW, held)
+        held.append(around.persist())
+        names = own | {r[0] for r in around.select("_hour").distinct().collect()}  # one for each hour
+        rows = read_parts(spark, path(OBSERVATIONS), OBSERVATIONS, [OBSERVATIONS.part(at) for at in names])
         named = {m.replace(".", "_"): m for m in measures}
-        trends = trend(marked, {**named, "_changed": mark})
-        touched = (F.col("_changed") == 1) | (F.col("_changed") - F.col("_changed_delta") == 1)
-        upsert(trends.where(touched), path(spec), spec, rank=[])
+        # Readings, changed keys and hours around them meet by city and day, as the trend needs them: one shuffle, no join.
+        values = [F.col(m).alias(name) for name, m in named.items()]
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.select(*values).schema]
+        met = (rows.select(*KEY, *values, F.lit(0).alias("_kind"))
+               .unionByName(keys.select(*KEY, *blank, F.lit(2).alias("_kind")))
+               .unionByName(around.select("city", F.col("_hour").alias("datetime"), *blank, F.lit(1).alias("_kind"))))
+        met = met.withColumns({"_day": bucket(met, "day"), "_hour": bucket(met, "hour")}).repartition("city", "_day")
+        kind = lambda *by: F.max("_kind").over(Window.partitionBy("city", "_day", "_hour", *by))
+        marked = met.withColumn("_mark", (kind("datetime") == 2).cast("int")).withColumn("_wanted", kind() > 0)
+        trends = trend(marked.where("_kind = 0 AND _wanted"), {**{name: name for name in named}, "_changed": F.col("_mark")}, day="_day")
+        changes = (F.col("_changed") == 1) | (F.col("_changed") - F.col("_changed_delta") == 1)
+        upsert(trends.where(changes), path(spec), spec, rank=[])
     finally:
-        keys.unpersist()
+        for df in held:
+            df.unpersist()
+
 
+def _hours_around(spark: SparkSession, root: str, keys: DataFrame, own: Iterable[datetime], few: bool, held: list[DataFrame]) -> DataFrame:
+    """city and _hour: the nearest hours before and after those of the keys that hold readings of the city, as far as no key lies in them.
 
-def _hours_around(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
-    """city and _hour: the hours of the keys, and the nearest hours before and after them that hold readings of the city."""
+    ``own`` are the hours of the keys, which are ``few`` if their cities are worth a join before
+    stored hours are shuffled. Frames that are kept for the result join ``held``; hours may repeat.
+    """
     day = timedelta(days=1)
-    own = keys.select("city", bucket(keys, "hour").alias("_hour")).distinct().withColumn("_own", F.lit(True))
     cities = keys.select("city").distinct()
-    touched = [floor_to("day", r[0]) for r in keys.select(bucket(keys, "day")).distinct().collect()]  # one for each day
-    near = {at + i * day for at in touched for i in (-1, 0, 1)}
+    near = {at + i * day for at in {floor_to("day", at) for at in own} for i in (-1, 0, 1)}
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
+
+    def of_cities(df: DataFrame) -> DataFrame:
+        return df.join(cities, "city", "left_semi") if few else df
 
     def filled(days: Iterable[datetime]) -> DataFrame:
         found = read_parts(spark, table_path(root, HOURLY_PARTIALS), HOURLY_PARTIALS, _directories(HOURLY_PARTIALS, "day", list(days)))
-        return found.select("city", F.col("datetime").alias("_hour")).join(cities, "city", "left_semi")
+        return of_cities(found.select("city", F.col("datetime").alias("_hour")))
 
+    # Hours of the keys and stored ones meet by city: the shuffle that the window needs serves for both.
+    hours = keys.select("city", bucket(keys, "hour").alias("_hour"), F.lit(True).alias("_own"))
+    met = filled(near).withColumn("_own", F.lit(False)).unionByName(hours).repartition("city")
+    both = met.groupBy("city", "_hour").agg(F.bool_or("_own").alias("_own"), F.bool_or(~F.col("_own")).alias("_stored")).where("_stored")
     by_city = Window.partitionBy("city").orderBy("_hour")  # hours of the few days, not readings
-    linked = filled(near).join(own, ["city", "_hour"], "left").select(
-        "*", F.lag("_hour").over(by_city).alias("_before"), F.lead("_hour").over(by_city).alias("_after")).where("_own").persist()
+    beside = F.struct("_hour", "_own")
+    linked = both.select("city", "_hour", "_own", F.lag(beside).over(by_city).alias("_before"), F.lead(beside).over(by_city).alias("_after"))
     to_day = lambda c: F.date_trunc("day", c)
     # A neighbour more than a day off may have others between, in days that were not read.
-    linked = linked.withColumns({
-        "_before": F.when(to_day(F.col("_hour")) - to_day(F.col("_before")) <= F.expr("INTERVAL 1 DAY"), F.col("_before")),
-        "_after": F.when(to_day(F.col("_after")) - to_day(F.col("_hour")) <= F.expr("INTERVAL 1 DAY"), F.col("_after"))})
-    found = linked.select("city", F.explode(F.array("_hour", "_before", "_after")).alias("_hour")).where("_hour IS NOT NULL")
-    open_ = linked.where("_before IS NULL OR _after IS NULL").persist()
+    linked = linked.where("_own").select(
+        "city", "_hour",
+        F.when(to_day(F.col("_hour")) - to_day(F.col("_before._hour")) <= F.expr("INTERVAL 1 DAY"), F.col("_before")).alias("_before"),
+        F.when(to_day(F.col("_after._hour")) - to_day(F.col("_hour")) <= F.expr("INTERVAL 1 DAY"), F.col("_after")).alias("_after"))
+    linked = keep(linked.where("_before IS NULL OR _after IS NULL OR NOT _before._own OR NOT _after._own"))
+    found = linked.select("city", F.explode(F.array("_before", "_after")).alias("_beside")).where("NOT _beside._own").select("city", "_beside._hour")
+    open_ = linked.where("_before IS NULL OR _after IS NULL")
     if open_.isEmpty():
-        return found.distinct()
+        return found
     days = read_stored(spark, table_path(root, DAILY_PARTIALS), DAILY_PARTIALS)
-    days = days.select("city", F.col("datetime").alias("_day")).join(cities, "city", "left_semi")
-    far = open_.join(days, "city").groupBy("city", "_hour").agg(
-        F.max(F.when(F.col("_day") < to_day(F.col("_hour")), F.col("_day"))).alias("_back"),
-        F.min(F.when(F.col("_day") > to_day(F.col("_hour")), F.col("_day"))).alias("_on"))
-    wanted = far.select("city", F.explode(F.array("_back", "_on")).alias("_day")).where("_day IS NOT NULL").distinct().persist()
+    days = of_cities(days.select("city", F.col("datetime").alias("_day")))
+    # The last stored day before an open hour's and the first one after it, over one row for each city and day.
+    asked = open_.select("city", to_day("_hour").alias("_day"), F.lit(True).alias("_open"))
+    listed = days.withColumn("_open", F.lit(False)).unionByName(asked).repartition("city").groupBy("city", "_day").agg(
+        F.bool_or("_open").alias("_open"), F.bool_or(~F.col("_open")).alias("_stored"))
+    stored = F.when(F.col("_stored"), F.col("_day"))
+    earlier = lambda order: Window.partitionBy("city").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    far = listed.select("city", "_open", F.max(stored).over(earlier(F.asc("_day"))).alias("_back"),
+                        F.min(stored).over(earlier(F.desc("_day"))).alias("_on")).where("_open")
+    wanted = keep(far.select("city", F.explode(F.array("_back", "_on")).alias("_day")).where("_day IS NOT NULL").distinct())
     others = filled(r[0] for r in wanted.select("_day").distinct().collect())
     others = others.withColumn("_day", to_day(F.col("_hour"))).join(wanted, ["city", "_day"], "left_semi").groupBy("city", "_day").agg(
         F.min("_hour").alias("_first"), F.max("_hour").alias("_last"))
-    return found.unionByName(others.select("city", F.explode(F.array("_first", "_last")).alias("_hour"))).distinct()
+    return found.unionByName(others.select("city", F.explode(F.array("_first", "_last")).alias("_hour")))
 
 
 def run_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, every: str | None = None,

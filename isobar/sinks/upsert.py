@@ -44,12 +44,11 @@ def read_stored(spark: SparkSession, path: str, spec: TableSpec, start: datetime
 
 def read_parts(spark: SparkSession, path: str, spec: TableSpec, parts: Iterable[date | int | str]) -> DataFrame:
     """Rows of the named directories, with their partition column; those that don't exist have none."""
-    folder = Folder(spark, path)
-    return _opened(spark, path, spec, [n for n in sorted({_name(p) for p in parts}) if folder.has(n)])
+    return _opened(spark, path, spec, _present(spark, path, parts))
 
 
 def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], table: str | None = None,
-           newer: Sequence[str] | None = None) -> list[date | int | str]:
+           newer: Sequence[str] | None = None, kept: bool = False) -> list[date | int | str]:
     """Insert or replace the batch's rows by key and return the touched directories.
 
     ``rank`` names the columns that decide between copies of a key inside the batch
@@ -58,12 +57,15 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], ta
     stored yield to the batch, so repeating a batch changes nothing; with ``newer``,
     stored columns, they yield only to a row that is greater by these.
     ``table`` names a catalog table over the path, which is told of new directories.
+    A batch is kept while it is read twice; ``kept`` says that the caller does so.
     """
     spark = batch.sparkSession
     require_utc(spark)
     recover(spark, path)
     rows = last_write(batch, spec.keys, rank) if rank else batch
-    rows = _shaped(rows, spec).persist()
+    rows = _shaped(rows, spec)
+    if not kept:
+        rows = rows.persist()
     try:
         # One row for each directory, which the driver has to name to open it.
         touched = rows.groupBy(PARTITION).agg(F.bool_or(_keyless(spec)).alias("keyless")).collect()
@@ -73,14 +75,18 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], ta
             raise ValueError(f"null in the key {spec.keys} of {spec.name}")
         parts = sorted(r[PARTITION] for r in touched)
         _check_layout(spark, path, spec)
-        stored = read_parts(spark, path, spec, parts)
-        merged = merge_newer(stored, rows, spec.keys, newer) if newer else merge(stored, rows, spec.keys)
+        names = _present(spark, path, parts)
+        merged = rows
+        if names:
+            stored = _opened(spark, path, spec, names)
+            merged = merge_newer(stored, rows, spec.keys, newer) if newer else merge(stored, rows, spec.keys)
         _write(merged, path, spec)
         if table:
             _tell_catalog(spark, table, spec, [_name(p) for p in parts])
         return parts
     finally:
-        rows.unpersist()
+        if not kept:
+            rows.unpersist()
 
 
 def replace(df: DataFrame, path: str, spec: TableSpec, table: str | None = None) -> None:
@@ -122,6 +128,11 @@ def _name(part: date | int | str) -> str:
     return f"{PARTITION}={part}"
 
 
+def _present(spark: SparkSession, path: str, parts: Iterable[date | int | str]) -> list[str]:
+    folder = Folder(spark, path)
+    return [n for n in sorted({_name(p) for p in parts}) if folder.has(n)]
+
+
 def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
     return typed.withColumn(PARTITION, spec.partition(typed))

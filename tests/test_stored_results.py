@@ -59,6 +59,37 @@ def test_a_late_reading_rewrites_two_rows(spark, tmp_path, monkeypatch):
     assert written == [(datetime(2024, 1, 21, 5), 1.0), (datetime(2024, 3, 5), -16.0)]
 
 
+def test_refreshes_keep_no_frames(spark, tmp_path):
+    """Frames left in the cache are listed and planned anew by every later write to a table they read."""
+    root, kept = str(tmp_path / "root"), lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = kept()
+    for day in (1, 20, 11):  # the last between the others, with neighbours in days that are looked up
+        df = spark.createDataFrame([observation(c, datetime(2024, 1, day), temp=float(day)) for c in "AB"], OBSERVATION_SCHEMA)
+        upsert(df, jobs.table_path(root, OBSERVATIONS), OBSERVATIONS, [])
+        jobs.refresh(spark, root, df)
+        jobs.refresh_trends(spark, root, df, ["temp", "pressure"], TRENDS)
+    assert kept() == before
+    assert [(c, t.day, d) for c, t, d in rows(read_stored(spark, jobs.table_path(root, TRENDS), TRENDS), "city", "datetime", "temp_delta")] == [
+        (c, day, delta) for c in "AB" for day, delta in ((1, None), (11, 10.0), (20, 9.0))]
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_neighbours_are_found_with_and_without_a_join_of_cities(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(jobs, "FEW", few)
+    test_trends_after_batches_out_of_order(spark, tmp_path, 2)
+
+
+def test_hundreds_of_directories_are_listed_by_few_tasks(spark, tmp_path):
+    path, times = str(tmp_path / "t"), [datetime(2024, 1, 1) + timedelta(hours=i) for i in range(100)]
+    upsert(spark.createDataFrame([observation("A", t) for t in times], OBSERVATION_SCHEMA), path, OBSERVATIONS, [])
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert read_stored(spark, path, OBSERVATIONS).schema.names == OBSERVATIONS.columns
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= 32
+
+
 def files_and_rows(df):
     """Files opened and rows read by the scan, from its metrics; of the frame's first run."""
     found = len(df.collect())
