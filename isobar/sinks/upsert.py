@@ -22,6 +22,9 @@ from isobar.sinks.files import Folder
 
 STAGING = ".spark-staging"  # fixed value: where Spark's dynamic overwrite keeps new directories until it commits
 LAYOUT = "_layout="  # hidden from Spark's own reads of the table
+PLACED_ROWS = 200_000  # a larger batch meets the stored rows where they are written; keys of a smaller one can be broadcast
+PIECE_ROWS = 250_000  # of a directory, in one task and file
+COPIES = 1.2  # rows for each key from which on copies are dropped before the shuffle
 STATEMENT_PARTITIONS = 500  # partitions named in one catalog statement; more take several
 
 
@@ -62,13 +65,13 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], ta
     spark = batch.sparkSession
     require_utc(spark)
     recover(spark, path)
-    rows = last_write(batch, spec.keys, rank) if rank else batch
-    rows = _shaped(rows, spec)
-    if not kept:
-        rows = rows.persist()
+    rows, order = _shaped(batch, spec, rank)
+    held = [] if kept or batch.storageLevel.useMemory else [rows.persist()]
     try:
         # One row for each directory, which the driver has to name to open it.
-        touched = rows.groupBy(PARTITION).agg(F.bool_or(_keyless(spec)).alias("keyless")).collect()
+        touched = rows.groupBy(PARTITION).agg(
+            F.bool_or(_keyless(spec)).alias("keyless"), F.count("*").alias("n"),
+            F.approx_count_distinct(F.xxhash64(*spec.keys)).alias("keys")).collect()
         if not touched:
             return []
         if any(r.keyless for r in touched):
@@ -76,17 +79,24 @@ def upsert(batch: DataFrame, path: str, spec: TableSpec, rank: Sequence[str], ta
         parts = sorted(r[PARTITION] for r in touched)
         _check_layout(spark, path, spec)
         names = _present(spark, path, parts)
-        merged = rows
-        if names:
-            stored = _opened(spark, path, spec, names)
-            merged = merge_newer(stored, rows, spec.keys, newer) if newer else merge(stored, rows, spec.keys)
-        _write(merged, path, spec)
+        stored = _opened(spark, path, spec, names) if names else None
+        n, copies = sum(r.n for r in touched), sum(r.n for r in touched) > COPIES * sum(r["keys"] for r in touched)
+        if rank and not newer and not copies and n > PLACED_ROWS:
+            _write_placed(rows, order, stored, {r[PARTITION]: r.n for r in touched}, path, spec)
+        else:
+            if rank:  # copies of a key shrink before they are shuffled; the keys of a small batch are broadcast
+                rows = last_write(rows, spec.keys, order).select(*spec.columns, PARTITION)
+                if stored is not None:
+                    held.append(rows.persist())
+            if stored is not None:
+                rows = merge_newer(stored, rows, spec.keys, newer) if newer else merge(stored, rows, spec.keys)
+            _write(rows, path, spec)
         if table:
             _tell_catalog(spark, table, spec, [_name(p) for p in parts])
         return parts
     finally:
-        if not kept:
-            rows.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def replace(df: DataFrame, path: str, spec: TableSpec, table: str | None = None) -> None:
@@ -99,7 +109,7 @@ def replace(df: DataFrame, path: str, spec: TableSpec, table: str | None = None)
     recover(spark, path)
     _check_layout(spark, path, spec)
     written = Observation()
-    shaped = _shaped(df, spec).observe(written, F.collect_set(F.col(PARTITION).cast("string")).alias("parts"))
+    shaped = _shaped(df, spec)[0].observe(written, F.collect_set(F.col(PARTITION).cast("string")).alias("parts"))
     _write(shaped, path, spec)
     folder, new = Folder(spark, path), {_name(p) for p in written.get["parts"] or []}
     for name in set(folder.directories(f"{PARTITION}=")) - new:
@@ -133,9 +143,13 @@ def _present(spark: SparkSession, path: str, parts: Iterable[date | int | str])
     return [n for n in sorted({_name(p) for p in parts}) if folder.has(n)]
 
 
-def _shaped(df: DataFrame, spec: TableSpec) -> DataFrame:
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
-    return typed.withColumn(PARTITION, spec.partition(typed))
+def _shaped(df: DataFrame, spec: TableSpec, rank: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """The stored columns, and the names of those that hold ``rank``: stored ones or, where they differ, columns beside them."""
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+    as_it_is = {f.name for f in spec.schema.fields if f.name in df.columns and df.schema[f.name].dataType == f.dataType}
+    order = [c if c in as_it_is else f"_rank{i}" for i, c in enumerate(rank)]
+    rows = df.select(*typed, *[F.col(c).alias(o) for c, o in zip(rank, order) if o != c])
+    return rows.withColumn(PARTITION, spec.partition(rows)), order
 
 
 def _opened(spark: SparkSession, path: str, spec: TableSpec, names: Sequence[str]) -> DataFrame:
@@ -157,13 +171,35 @@ def _check_layout(spark: SparkSession, path: str, spec: TableSpec) -> None:
 def _write(df: DataFrame, path: str, spec: TableSpec) -> None:
     # Rebalancing sizes files by bytes: adaptive execution splits a large
     # directory over tasks and joins small ones, whatever city dominates it.
-    (df.hint("rebalance", PARTITION)
-       .sortWithinPartitions(PARTITION, *spec.sort_columns())
+    _write_files(df.hint("rebalance", PARTITION), path, spec)
+
+
+def _write_files(df: DataFrame, path: str, spec: TableSpec) -> None:
+    (df.sortWithinPartitions(PARTITION, *spec.sort_columns())
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**spec.file_options)
        .partitionBy(PARTITION).parquet(path))
     df.sparkSession.catalog.refreshByPath(path)  # frames cached over the old files
 
 
+def _write_placed(rows: DataFrame, order: Sequence[str], stored: DataFrame | None, counts: dict, path: str, spec: TableSpec) -> None:
+    """Merge and write a large batch in one shuffle, which brings batch and stored rows to the task that writes them.
+
+    A directory is cut into pieces by its keys' hash, about ``PIECE_ROWS`` rows each, so a piece holds all rows of its keys.
+    """
+    rows = rows.withColumn("_new", F.lit(True))
+    if stored is not None:
+        for r in stored.groupBy(PARTITION).count().collect():  # one row for each directory
+            counts[r[PARTITION]] = counts.get(r[PARTITION], 0) + r["count"]
+        rows = rows.unionByName(stored.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    spark, total = rows.sparkSession, sum(counts.values())
+    pieces = -(-max(counts.values()) // PIECE_ROWS)
+    tasks = -(-total // PIECE_ROWS)
+    more = [tasks] if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else []  # else adaptive execution joins small ones
+    placed = rows.withColumn("_piece", F.pmod(F.xxhash64(*spec.keys), F.lit(pieces))).repartition(*more, PARTITION, "_piece")
+    best = last_write(placed, [PARTITION, "_piece", *spec.keys], ["_new", *order]).select(*spec.columns, PARTITION)
+    _write_files(best, path, spec)
+
+
 def _tell_catalog(spark: SparkSession, table: str, spec: TableSpec, names: Sequence[str]) -> None:
     for i in range(0, len(names), STATEMENT_PARTITIONS):
         value = lambda n: n if spec.grain is None else f"'{n}'" if spec.grain == "hour" else f"DATE'{n}'"

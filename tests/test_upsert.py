@@ -256,3 +256,44 @@ def test_counters_add(spark):
     a = spark.createDataFrame([("A", 1.5), ("B", 2.0)], "city string, n double")
     b = spark.createDataFrame([("A", 0.25), ("C", 1.0)], "city string, n double")
     assert rows(add_counters(a, b, ["city"], ["n"])) == [("A", 1.75), ("B", 2.0), ("C", 1.0)]
+
+
+def test_large_batches_are_placed_in_one_shuffle(spark, tmp_path, monkeypatch):
+    """Batches beyond what is broadcast give the rows that small ones give, and each row of either side is shuffled once."""
+    def shuffled(path, group, limit):
+        monkeypatch.setattr(sink, "PLACED_ROWS", limit)
+        monkeypatch.setattr(sink, "PIECE_ROWS", 7)
+        for i in range(3):
+            copies = [observation(f"C{(i + j) % 13}", D1 + timedelta(days=j % 5), temp=float(i * 100 + j)) for j in range(70)]
+            copies = list({(r[0], r[1]): r for r in copies}.values()) + [observation("C1", D1, temp=50.0), observation("C1", D1, temp=-1.0)]
+            spark.sparkContext.setJobGroup(group, group)
+            assert len(upsert(batch(spark, *copies), path, OBSERVATIONS, ["arrival"])) == 5
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return temps(spark, path)
+
+    placed, plain = (shuffled(str(tmp_path / name), name, limit) for name, limit in (("placed", 0), ("plain", 10**9)))
+    assert placed == plain and placed[("C1", D1)] == -1.0
+    assert len(read_stored(spark, str(tmp_path / "placed"), OBSERVATIONS).collect()) == len(placed)
+    for name in files(tmp_path / "placed"):
+        stored = [(r.city, -r.datetime.timestamp()) for r in spark.read.parquet(str(tmp_path / "placed" / name)).collect()]
+        assert stored == sorted(stored)
+    assert len(files(tmp_path / "placed")) > 5  # pieces of each directory
+
+
+def test_a_placed_batch_adds_one_exchange_of_rows(spark, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "t"), []
+    monkeypatch.setattr(sink, "PLACED_ROWS", 0)
+    real = sink._write_files
+    monkeypatch.setattr(sink, "_write_files", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, *a))
+    for temp in (1.0, 2.0):
+        upsert(batch(spark, observation("A", D1, temp=temp), observation("B", D2, temp=temp)), path, OBSERVATIONS, ["temp"])
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 1] and set(temps(spark, path).values()) == {2.0}
+
+
+def test_many_copies_shrink_before_a_large_batch_is_shuffled(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    monkeypatch.setattr(sink, "PLACED_ROWS", 0)
+    monkeypatch.setattr(sink, "_write_placed", None)
+    for start in (0, 50):
+        upsert(batch(spark, *[observation("A", D1, temp=float(start + i)) for i in range(50)]), path, OBSERVATIONS, ["arrival"])
+    assert temps(spark, path) == {("A", D1): 99.0}
