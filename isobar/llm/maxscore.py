@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SHARD_ROWS = 8192
 QUERY_ROWS = 512
 CHUNK = 1024
+PROBES = 16  # competing vectors of a chunk from which on a query's other terms are one product
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -57,40 +58,69 @@ def _matrix(terms, dims: int) -> np.ndarray:
     return out
 
 
-def search_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np.ndarray,
-                 low: np.ndarray, high: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The k best (score, vec_id) of a shard with ascending ids, one for each id; postings has a row for each term."""
+def _bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most and the least that each term adds to a query's score in the shard."""
+    at_low, at_high = queries * low, queries * high
+    return np.maximum(at_low, at_high), np.minimum(at_low, at_high)
+
+
+def search_shard(ids: np.ndarray, postings: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
+                 low: np.ndarray, high: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(query_id, vec_id, score) of the k best of a shard with ascending ids for each query, one for each id.
+
+    ``postings`` has a row for each term. Queries go through a chunk of vectors together: their essential
+    terms are traversed as one product, then the others are probed for the pairs that may still compete.
+    """
     repeated = bool((ids[1:] == ids[:-1]).any())
-    bound = np.maximum(query * low, query * high)
-    order = np.argsort(-(bound - np.minimum(query * low, query * high)), kind="stable")  # widest range first
-    left = np.concatenate([np.cumsum(bound[order][::-1])[::-1], [0]])  # most that the terms from i on add
-    best_scores, best_ids = np.empty(0, postings.dtype), np.empty(0, np.int64)
+    most, least = _bounds(queries, low, high)
+    spread = most - least
+    order = np.argsort(-spread, axis=1, kind="stable")  # widest range first
+    in_order = lambda m: np.take_along_axis(m, order, 1)
+    none = np.zeros((len(queries), 1), most.dtype)
+    left = np.concatenate([np.cumsum(in_order(most)[:, ::-1], axis=1)[:, ::-1], none], axis=1)  # most that the terms from i on add
+    floor_ = left[:, :1] - np.concatenate([none, np.cumsum(in_order(spread), axis=1)], axis=1)  # most with the first i terms lowest
+    place = np.argsort(order, axis=1)  # of a term in its query's order
+    best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, postings.dtype), np.empty(0, np.int64))] * len(queries)
     for start in range(0, len(ids), CHUNK):
-        rows = np.arange(start, min(start + CHUNK, len(ids)))
-        rows = rows[ids[rows] != query_id]
-        need = best_scores[-1] if len(best_scores) == k else None
-        scores = np.zeros(len(rows), postings.dtype)
+        chunk, here = postings[:, start:start + CHUNK], ids[start:start + CHUNK]
+        full = np.array([len(scores) == k for scores, _ in best], bool)
+        need = np.array([scores[-1] if len(scores) == k else 0 for scores, _ in best], postings.dtype)
         # Essential: with all of these terms at their bounds, the rest falls short of what is needed.
-        gain = np.concatenate([[0], np.cumsum((bound - np.minimum(query * low, query * high))[order])])
-        floor_ = left[0] - gain  # most that a vector reaches which is lowest in the first i terms
-        essential = len(order) if need is None else int(np.argmax(floor_ <= need)) if (floor_ <= need).any() else len(order)
-        for i, term in enumerate(order):
-            if i >= essential and need is not None:
-                keep = scores + left[i] > need
-                if not keep.all():
-                    rows, scores = rows[keep], scores[keep]
+        short = full[:, None] & (floor_ <= need[:, None])
+        essential = np.where(short.any(axis=1), short.argmax(axis=1), queries.shape[1])
+        traversed = place < essential[:, None]
+        scores = np.where(traversed, queries, 0) @ chunk
+        rest = np.take_along_axis(left, essential[:, None], 1)
+        may = (here[None, :] != query_ids[:, None]) & (~full[:, None] | (scores + rest > need[:, None]))
+        # Queries that many vectors still compete for are probed with all their other terms in one product.
+        probed = full & (essential < queries.shape[1]) & (may.sum(axis=1) > PROBES)
+        scores[probed] += np.where(traversed[probed], 0, queries[probed]) @ chunk
+        may[probed] &= scores[probed] > need[probed, None]
+        for i in np.flatnonzero(may.any(axis=1)):
+            rows = np.flatnonzero(may[i])
+            found = scores[i, rows]
+            for j, term in enumerate([] if probed[i] else order[i, essential[i]:], essential[i]):
+                keep = found + left[i, j] > need[i]
+                rows, found = rows[keep], found[keep]
                 if not len(rows):
                     break
-            if query[term]:
-                scores = scores + query[term] * postings[term, rows]
-        scores, found = np.concatenate([best_scores, scores]), np.concatenate([best_ids, ids[rows]])
-        exact = scores.dtype == object  # beyond a long on the way
-        top = np.array(sorted(range(len(found)), key=lambda j: (-scores[j], found[j])), int) if exact else np.lexsort((found, -scores))
-        if repeated:  # only the best vector of an id
-            top = top[np.sort(np.unique(found[top], return_index=True)[1])]
-        top = top[:k]
-        best_scores, best_ids = scores[top], found[top]
-    return list(zip(best_scores.tolist(), best_ids.tolist()))
+                if queries[i, term]:
+                    found = found + queries[i, term] * chunk[term, rows]
+            if len(rows):
+                best[i] = _best(np.concatenate([best[i][0], found]), np.concatenate([best[i][1], here[rows]]), k, repeated)
+    return [(q, v, s) for q, (scores, found) in zip(query_ids.tolist(), best) for s, v in zip(scores.tolist(), found.tolist())]
+
+
+def _best(scores: np.ndarray, found: np.ndarray, k: int, repeated: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The k best scores and their ids, ties to the smaller id."""
+    exact = scores.dtype == object  # beyond a long on the way
+    if not exact and not repeated and len(scores) > 4 * k:  # what is below the k-th best takes no part in the sort
+        competing = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores, found = scores[competing], found[competing]
+    top = np.array(sorted(range(len(found)), key=lambda j: (-scores[j], found[j])), int) if exact else np.lexsort((found, -scores))
+    if repeated:  # only the best vector of an id
+        top = top[np.sort(np.unique(found[top], return_index=True)[1])]
+    return scores[top[:k]], found[top[:k]]
 
 
 def _search(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
@@ -99,16 +129,14 @@ def _search(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
             dims = max((len(t) for part in (terms, queries) for t in part), default=0)
             postings, wanted = np.ascontiguousarray(_matrix(terms, dims).T), _matrix(queries, dims)
             reach = lambda m, axis: np.abs(m.astype(float)).max(axis=axis, initial=0)
-            if (reach(postings, 1) * reach(wanted, 0)).sum() > 2**60:  # sums might not fit: count in whole numbers of any size
+            most = (reach(postings, 1) * reach(wanted, 0)).sum()
+            if most > 2**60:  # sums might not fit: count in whole numbers of any size
                 postings, wanted = postings.astype(object), wanted.astype(object)
-            low = postings.min(axis=1, initial=2**62, where=True) if dims else np.empty(0, np.int64)
+            elif most < 2**50:  # doubles hold all of these sums exactly, and multiply faster
+                postings, wanted = postings.astype(float), wanted.astype(float)
+            low = postings.min(axis=1, initial=2**62) if dims else np.empty(0, np.int64)
             high = postings.max(axis=1, initial=-(2**62)) if dims else np.empty(0, np.int64)
-            ids = np.asarray(ids)
-            found = [
-                (q, v, s)
-                for q, query in zip(query_ids, wanted)
-                for s, v in search_shard(ids, postings, q, query, low, high, k)
-            ]
+            found = search_shard(np.asarray(ids), postings, np.asarray(query_ids), wanted, low, high, k)
             yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
 

@@ -146,3 +146,19 @@ def test_components(spark):
     found = {tuple(r) for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {(i, 0) for i in range(41)} | {(i, 100) for i in (100, 101, 102)}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("probes", [0, 3, 10**9])
+@pytest.mark.parametrize("kind", [float, "int64", object])
+def test_a_block_of_queries_is_searched_together(monkeypatch, probes, kind):
+    """Traversal and probes of a chunk take one product each, however many queries the block holds."""
+    monkeypatch.setattr(maxscore, "PROBES", probes)
+    monkeypatch.setattr(maxscore, "CHUNK", 16)
+    rng = np.random.default_rng(5)
+    vectors, queries = rng.integers(-9, 10, (200, 6)), rng.integers(-9, 10, (30, 6))
+    ids, asked = np.arange(0, 400, 2), np.arange(30) * 3
+    postings = np.ascontiguousarray(vectors.T).astype(kind)
+    found = maxscore.search_shard(ids, postings, asked, queries.astype(kind), postings.min(axis=1), postings.max(axis=1), 4)
+    expected = [(q, int(ids[j]), int(s)) for q, w in zip(asked.tolist(), queries)
+                for s, j in sorted(((s, j) for j, s in enumerate(vectors @ w) if ids[j] != q), key=lambda x: (-x[0], x[1]))[:4]]
+    assert [(q, v, int(s)) for q, v, s in found] == expected
